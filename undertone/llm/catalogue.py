@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from undertone.llm import leakage, lookalike, mixing, splitting, tokenise
+from undertone.llm import leakage, lookalike, mixing, personal, splitting, tokenise, transcripts
 
 
 def queries() -> dict:
@@ -13,12 +13,17 @@ def queries() -> dict:
         "p5_found": splitting.p5_found,
         "p5_pieces": splitting.p5_pieces,
         "p5_text_pieces": splitting.p5_text_pieces,
+        "p6_found": transcripts.p6_found,
+        "p6_turns": transcripts.p6_turns,
         "p7_found": lookalike.p7_found,
         "p7_canonical": lookalike.p7_canonical,
         "p8_ids": tokenise.p8_ids,
         "p8_token_counts": tokenise.p8_token_counts,
         "p9_found": leakage.p9_found,
         "p9_by_set": leakage.p9_by_set,
+        "p10_found": personal.p10_found,
+        "p10_redacted": personal.p10_redacted,
+        "p10_surrogates": personal.p10_surrogates,
     }
 
 
