@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -22,29 +23,46 @@ def schema_with(df: DataFrame, keep: list[str], **extra: T.DataType) -> T.Struct
     return T.StructType([T.StructField(c, types[c], True) for c in keep] + [T.StructField(c, t, True) for c, t in extra.items()])
 
 
-def duckdb_project(df: DataFrame, exprs: dict[str, str], keep: list[str]) -> DataFrame:
-    """Evaluate DuckDB string ``exprs`` over every Arrow batch of ``df``.
+def duckdb_project(df: DataFrame, exprs: dict[str, Callable[[set[str]], str]], keep: list[str], text: str) -> DataFrame:
+    """Evaluate DuckDB string expressions over every Arrow batch of ``df``.
 
-    The embedded engine sees each batch as the relation ``batch``; columns named
-    in ``keep`` pass through. No shuffle, no row leaves its partition.
+    An expression is made for each batch from the set of characters that the
+    batch's column ``text`` holds, so tables and steps for characters that are
+    not there are left out. The embedded engine sees the batch as the relation
+    ``batch``; columns in ``keep`` pass through. No shuffle, no row leaves its
+    partition.
     """
-    select = ", ".join([*(f'"{c}"' for c in keep), *(f'{e} AS "{n}"' for n, e in exprs.items())])
-    query = f"SELECT {select} FROM batch"
     schema = schema_with(df, keep, **{n: T.StringType() for n in exprs})
+    at = df.columns.index(text)
+    columns = ", ".join(f'"{c}"' for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con = _connection()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            chars = set().union(*(t for t in batch.column(at).to_pylist() if t))
             con.register("batch", pa.Table.from_batches([batch]))
-            out = con.sql(query).to_arrow_table()
+            made = ", ".join(f'{e(chars)} AS "{n}"' for n, e in exprs.items())
+            out = con.sql(f"SELECT {columns + ', ' if columns else ''}{made} FROM batch").to_arrow_table()
             con.unregister("batch")
             yield from out.combine_chunks().to_batches()
 
     return df.mapInArrow(run, schema)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the cluster's checkpoint folder and read from there.
+
+    For results that several later steps read. The folder is the session's
+    spark.checkpoint.dir; only a session without one (as in tests) gets its own.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="undertone_checkpoint_"))
+    return df.checkpoint()
+
+
 def fits(df: DataFrame, limit: int, columns: list[str]) -> list | None:
     """The rows of ``df`` if there are at most ``limit`` of them, else None.
 

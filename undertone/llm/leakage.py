@@ -17,16 +17,16 @@ from undertone.llm.arrow import duckdb_project, fits, schema_with
 from undertone.llm.lookalike import canonical_sql
 from undertone.sources.tables import table
 
-HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
 #: Items an automaton may hold: characters of one block of items.
 BLOCK_CHARS = 4_000_000
 MAX_ITEMS = 200_000
 
 
-def words_sql(column: str) -> str:
+def words_sql(column: str, chars: set[str]) -> str:
     """DuckDB expression: canonical lower-case text, other signs as one space."""
-    e = f"lower({canonical_sql(column, lines=False)})"
-    e = rf"regexp_replace({e}, '[''\x{{2019}}`\x{{b4}}]', '', 'g')"
+    e = f"lower({canonical_sql(column, chars, lines=False)})"
+    if chars & set("'\u2019`\u00b4"):
+        e = f"translate({e}, '''\u2019`\u00b4', '')"
     return rf"trim(regexp_replace({e}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g'))"
 
 
@@ -134,7 +134,7 @@ def leaked(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_
     in blocks of BLOCK_CHARS characters, so an automaton's size is bounded.
     """
     source = items.select(F.col(item_key).alias("item"), F.col(item_text).alias("t"), (F.lower(F.trim(F.coalesce(F.col(item_lang), F.lit("")))).startswith("zh")).alias("han")).filter("item is not null and t is not null")
-    norm = duckdb_project(source, {"norm": words_sql('"t"')}, ["item", "han"])
+    norm = duckdb_project(source, {"norm": lambda chars: words_sql('"t"', chars)}, ["item", "han"], "t")
     rows = fits(norm.distinct(), MAX_ITEMS, ["item", "norm", "han"])
     if rows is None:
         raise ValueError(f"more than {MAX_ITEMS} items; pass them in parts")
@@ -146,7 +146,7 @@ def leaked(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_
         blocks[-1].append((r["item"], r["norm"], r["han"]))
         size += len(r["norm"])
     slim = docs.select(F.col(doc_key).alias("doc"), F.col(doc_text).alias("t")).filter("doc is not null and t is not null")
-    text = duckdb_project(slim, {"norm": words_sql('"t"')}, ["doc"])
+    text = duckdb_project(slim, {"norm": lambda chars: words_sql('"t"', chars)}, ["doc"], "t")
     spark = docs.sparkSession
     schema = schema_with(slim, ["doc"], item=norm.schema["item"].dataType)
     result = None

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from undertone.llm.arrow import duckdb_project, key128
+from undertone.llm.arrow import cut, duckdb_project, key128
 from undertone.sources.tables import table
 
 # Letters of other scripts that draw like a Latin letter.
@@ -27,64 +27,72 @@ INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b\u200c\u200e\
 SAME_LOOK = ("<wide>", "<narrow>", "<font>", "<compat>", "<noBreak>", "<isolated>", "<initial>", "<medial>", "<final>")
 
 
+# Blanks of other widths, and line ends.
+BLANKS = "\t\x0b\x0c\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+LINE_ENDS = "\r\u2028\u2029"
+
+
 @lru_cache(maxsize=1)
-def _tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """(from, to) for ``translate`` and the forms that become several characters.
+def _tables() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that become one other, and forms that become several.
 
     Derived from the Unicode character database: every character whose
-    compatibility decomposition carries a tag in SAME_LOOK.
+    compatibility decomposition carries a tag in SAME_LOOK, with look-alike
+    letters, blanks and line ends.
     """
     one: dict[str, str] = {}
-    many: list[tuple[str, str]] = []
+    many: dict[str, str] = {}
     for code in [*range(0xA1, 0x3100), *range(0x3130, 0x3400), *range(0xFB00, 0xFB50), *range(0xFE10, 0xFFEF), *range(0x1D400, 0x1D800)]:
         ch = chr(code)
         tag = unicodedata.decomposition(ch).split(" ")[0]
-        if tag not in SAME_LOOK or ch.isspace():
+        if tag not in SAME_LOOK or ch.isspace() or ch == "\u0e33":
             continue
         to = unicodedata.normalize("NFKC", ch)
         if " " in to or to == ch:
             continue
         if len(to) == 1:
             one[ch] = to
-        elif 0xFB00 <= code <= 0xFB06 or code in (0x2026, 0x0E33):
-            many.append((ch, to))
+        elif 0xFB00 <= code <= 0xFB06 or code == 0x2026:
+            many[ch] = to
     for source, target in LOOKALIKES.items():
         assert len(source) == len(target)
         one.update(zip(source, target))
-    one.pop("\u0e33", None)
     for ch in list(one):  # a look-alike reached through a compatibility form
         one[ch] = one.get(one[ch], one[ch])
-    many = [(a, b) for a, b in many if a != "\u0e33"]
-    return "".join(one), "".join(one.values()), many
+    one |= dict.fromkeys(BLANKS, " ") | dict.fromkeys(LINE_ENDS, "\n")
+    return one, many
 
 
 def _quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def canonical_sql(column: str, lines: bool = True) -> str:
-    """DuckDB expression for the canonical form of ``column``.
+def canonical_sql(column: str, chars: set[str], lines: bool = True) -> str:
+    """DuckDB expression for the canonical form of ``column``, whose texts hold
+    no other characters than ``chars``.
 
     Null stays null, empty stays empty; a text of blanks and invisible
     characters becomes empty. Case, accents, punctuation and word breaks stay;
     a run of spaces of any width becomes one space, a run holding a line break
     one line break (a space with ``lines=False``).
     """
-    source, target, many = _tables()
-    e = f"translate({column}, {_quote(source + INVISIBLE)}, {_quote(target)})"
-    for a, b in many:
-        e = f"replace({e}, {_quote(a)}, {_quote(b)})"
-    # joiner inside a word, Thai sara am written as two signs
-    e = rf"regexp_replace({e}, '([\p{{L}}\p{{M}}])\x{{200d}}+', '\1', 'g')"
-    e = f"regexp_replace({e}, '\u0e4d([\u0e48-\u0e4b]?)\u0e32', '\\1\u0e33', 'g')"
-    e = f"nfc_normalize({e})"
-    blank = r"[\t\x{000b}\x{000c}\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000} ]"
-    if lines:
-        e = rf"regexp_replace({e}, '{blank}*[\r\n\x{{2028}}\x{{2029}}][\s\x{{00a0}}\x{{2028}}\x{{2029}}]*', chr(10), 'g')"
-        e = rf"regexp_replace({e}, '{blank}+', ' ', 'g')"
-        return rf"regexp_replace(trim({e}, ' ' || chr(10)), '^\s+|\s+$', '', 'g')"
-    e = rf"regexp_replace({e}, '(?:{blank}|[\r\n\x{{2028}}\x{{2029}}])+', ' ', 'g')"
-    return f"trim({e})"
+    one, many = _tables()
+    e = column
+    here = sorted(c for c in chars if c in one or c in INVISIBLE)
+    here.sort(key=lambda c: c in INVISIBLE)  # characters without a partner are removed
+    if here:
+        e = f"translate({e}, {_quote(''.join(here))}, {_quote(''.join(one[c] for c in here if c in one))})"
+    for ch in sorted(chars & many.keys()):
+        e = f"replace({e}, {_quote(ch)}, {_quote(many[ch])})"
+    if "\u200d" in chars:  # a joiner inside a word
+        e = rf"regexp_replace({e}, '([\p{{L}}\p{{M}}])\x{{200d}}+', '\1', 'g')"
+    if "\u0e4d" in chars:  # Thai sara am written as two signs
+        e = f"regexp_replace({e}, '\u0e4d([\u0e48-\u0e4b]?)\u0e32', '\\1\u0e33', 'g')"
+    if not all(c.isascii() for c in chars):
+        e = f"nfc_normalize({e})"
+    if chars & set("\n" + LINE_ENDS):
+        e = rf"regexp_replace({e}, ' *\n\s*', chr(10), 'g')" if lines else f"replace({e}, chr(10), ' ')"
+    return f"trim(regexp_replace({e}, '  +', ' ', 'g'), ' ' || chr(10))"
 
 
 def canonicalise(df: DataFrame, text: str, into: str = "canonical", keep: list[str] | None = None) -> DataFrame:
@@ -96,7 +104,7 @@ def canonicalise(df: DataFrame, text: str, into: str = "canonical", keep: list[s
     keep = keep if keep is not None else [c for c in df.columns if c != into]
     tmp = "__text" if "__text" not in keep else "__text_in"
     slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(tmp))
-    return duckdb_project(slim, {into: canonical_sql(f'"{tmp}"')}, keep)
+    return duckdb_project(slim, {into: lambda chars: canonical_sql(f'"{tmp}"', chars)}, keep, tmp)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +124,7 @@ def lookalike_pairs(df: DataFrame, key: str = "key", text: str = "text") -> Data
     """
     slim = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("drawn"))
     canon = canonicalise(slim, "text", "canonical", keep=["key", "drawn"])
-    members = canon.filter("canonical <> ''").select("key", "drawn", *key128(F.col("canonical"))).distinct()
+    members = cut(canon.filter("canonical <> ''").select("key", "drawn", *key128(F.col("canonical"))).distinct())
     drawings = members.select("k1", "k2", "drawn").distinct()
     several = drawings.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     drawings = drawings.join(several, ["k1", "k2"])
