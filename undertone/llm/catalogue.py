@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from undertone.llm import leakage, lookalike, mixing, personal, splitting, tokenise, transcripts
+from undertone.llm import language, leakage, lookalike, mixing, personal, splitting, tokenise, transcripts
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "p1_found": mixing.p1_found,
         "p1_shares": mixing.p1_shares,
         "p1_draw": mixing.p1_draw,
+        "p3_found": language.p3_found,
+        "p3_passages": language.p3_passages,
         "p5_found": splitting.p5_found,
         "p5_pieces": splitting.p5_pieces,
         "p5_text_pieces": splitting.p5_text_pieces,
