@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from undertone.llm import language, leakage, lookalike, mixing, personal, splitting, tokenise, transcripts
+from undertone.llm import language, leakage, lookalike, mixing, overlap, personal, splitting, tokenise, transcripts
 
 
 def queries() -> dict:
@@ -12,6 +12,8 @@ def queries() -> dict:
         "p1_draw": mixing.p1_draw,
         "p3_found": language.p3_found,
         "p3_passages": language.p3_passages,
+        "p4_found": overlap.p4_found,
+        "p4_report": overlap.p4_report,
         "p5_found": splitting.p5_found,
         "p5_pieces": splitting.p5_pieces,
         "p5_text_pieces": splitting.p5_text_pieces,
