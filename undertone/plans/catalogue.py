@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from undertone.operators import schema_drift
+from undertone.plans import base
 from undertone.sources.ship import ship
 
-Query = Callable[[SparkSession, str], DataFrame]
+FAMILIES = ("sampling_queries", "text_queries")
 
 
-def shipped(query: Query) -> Query:
+def shipped(query):
     """``query`` with the package sent to the executors first."""
 
     @wraps(query)
@@ -24,8 +25,14 @@ def shipped(query: Query) -> Query:
     return run
 
 
-def queries() -> dict[str, Query]:
-    return {
+def _load() -> None:
+    for family in FAMILIES:
+        importlib.import_module(f"undertone.plans.{family}")
+
+
+def queries() -> dict:
+    _load()
+    return base.QUERIES | {
         "p2_found": schema_drift.p2_found,
         "p2_lifespans": schema_drift.p2_lifespans,
         "p2_casts": schema_drift.p2_casts,
@@ -34,4 +41,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(base.SQL)
