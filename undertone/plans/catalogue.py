@@ -11,7 +11,7 @@ from undertone.operators import schema_drift
 from undertone.plans import base
 from undertone.sources.ship import ship
 
-FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries")
+FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries", "source_queries")
 
 
 def shipped(query):
