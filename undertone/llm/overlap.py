@@ -2,22 +2,30 @@
 
 A weighted cosine join between the training texts and the evaluation answers.
 The terms of an answer of n words are runs of words; their weights are the
-information of their words (from counts of pairs and triples of words over all
-answers). Of an answer only so many disjoint terms enter the inverted lists
+information of their words (from counts of words, pairs and triples over all
+answers). Only so many disjoint terms of an answer enter the inverted lists
 that whatever is left can't hold a match: a text within e = n / 8 edits keeps
-at least one of any e + 1 disjoint runs, so e + 1 terms that cover the answer
-are listed, cut so that the least of their weights is as large as can be
-(maximum-weight and residual pruning; without a listed term the residual can't
-reach the bound). Training texts look their runs up; a pair must share a listed
-term at nearly the same place, then gets its exact dot product and edit count.
+all but e of them, so of e + 2 terms that cover the answer it keeps two. The
+answer is cut so that the terms weigh nearly the same (the least is as heavy as
+can be), and pairs of its terms are the entries of the lists; without a shared
+entry the residual can't reach the bound. Pairs of records that share an entry
+at nearly the same places get their exact dot product and edit count.
+
+Answers counted in characters that may differ in CHAR_EDITS of them or more
+(long Thai texts) say too little in a pair of terms and would meet too many
+texts this way. They are held against all texts in blocks of bounded size:
+runs of GRAM tokens at their places are counted, a match keeps all but e of the
+n / GRAM disjoint runs, and what keeps them is compared at once.
 
 Equal texts of either side are one class until the end, so copies never meet
-each other, and a Bloom filter of fixed size keeps runs that are in no list
-from being shuffled.
+each other. Two Bloom filters of fixed size, for terms and for pairs of terms,
+keep what is in no list from being shuffled.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -35,6 +43,10 @@ LEAST_WORDS, LEAST_CHARS = 5, 10
 PART = 8
 #: Runs of words that are listed have lengths in this range.
 SHORTEST, LONGEST = 2, 14
+#: Pairs of terms that a batch looks up at once.
+CHUNK = 1_000_000
+CHAR_EDITS = 12
+GRAM, BLOCK = 5, 4096
 SLOTS = 1 << 18
 BLOOM_BITS = 26
 BLOCK_BITS = 16
@@ -82,12 +94,13 @@ def tokens(text: str) -> list[str]:
     return out
 
 
+def by_character(ts: list[str]) -> bool:
+    return 2 * sum(len(t) == 1 and ("฀" <= t <= "๿" or "⺀" <= t <= "鿿") for t in ts) > len(ts)
+
+
 def counts(ts: list[str]) -> bool:
     """Whether an answer of these tokens is long enough to count."""
-    if len(ts) < LEAST_WORDS:
-        return False
-    by_char = sum(len(t) == 1 and ("฀" <= t <= "๿" or "⺀" <= t <= "鿿") for t in ts)
-    return len(ts) >= (LEAST_CHARS if 2 * by_char > len(ts) else LEAST_WORDS)
+    return len(ts) >= LEAST_WORDS and (len(ts) >= LEAST_CHARS or not by_character(ts))
 
 
 class Hasher:
@@ -109,22 +122,27 @@ class Hasher:
             out.append(h)
         return np.array(out, np.uint64)
 
-    @staticmethod
-    def prefix(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    #: Powers of the base and of its inverse, longer as needed.
+    _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    @classmethod
+    def prefix(cls, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Prefix sums of h[i] * base^i and the inverse powers."""
         n = len(h)
         with np.errstate(over="ignore"):
-            powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, _BASE, np.uint64))]) if n else np.ones(1, np.uint64)
-            inverse = pow(int(_BASE), -1, 1 << 64)
-            back = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, np.uint64(inverse), np.uint64))]) if n else np.ones(1, np.uint64)
+            if len(cls._powers[0]) <= n:
+                size = max(1024, 2 * n)
+                inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+                cls._powers = tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, x, np.uint64))]) for x in (_BASE, inverse))
+            powers, back = cls._powers
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers[:n], dtype=np.uint64)])
         return sums, back
 
     @staticmethod
-    def mix(x: np.ndarray, k: int) -> np.ndarray:
-        """Spread the bits of run hashes of length k."""
+    def mix(x: np.ndarray, k) -> np.ndarray:
+        """Spread the bits of run hashes of length k (a number or an array)."""
         with np.errstate(over="ignore"):
-            x = x ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+            x = x ^ np.asarray(k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             return x ^ (x >> np.uint64(31))
@@ -136,35 +154,51 @@ class Hasher:
             return self.mix((sums[k:] - sums[:-k]) * back[: len(h) - k + 1], k) if len(h) >= k else np.zeros(0, np.uint64)
 
 
-def information(h: np.ndarray, hasher: Hasher, two: np.ndarray, three: np.ndarray) -> np.ndarray:
-    """Bits of each token given the two before it, from the count tables."""
+def laid_out(texts: list[str], hasher: Hasher):
+    """Token hashes of all texts in one array, with the texts' tokens, starts
+    and the end that holds for each token."""
+    split = [tokens(t) for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    stop = np.cumsum(sizes)
+    return hasher.hashes([t for ts in split for t in ts]), split, stop - sizes, np.repeat(stop, sizes)
+
+
+def information(h: np.ndarray, end: np.ndarray, first: np.ndarray, hasher: Hasher, tables: list[np.ndarray]) -> np.ndarray:
+    """Bits of each token given the two before it in its text, from the count
+    tables; ``first`` is the place of each token's text's first token."""
     n = len(h)
-    out = np.full(n, 12.0)
-    if n >= 3:
-        a = two[(hasher.runs(h, 2)[:-1] % SLOTS).astype(np.int64)].astype(np.float64)
-        b = three[(hasher.runs(h, 3) % SLOTS).astype(np.int64)].astype(np.float64)
-        out[2:] = -np.log2(np.maximum(b, 0.5) / np.maximum(a + 2.0, b))
-    return np.clip(out, 0.05, 20.0)
+    count = [np.zeros(n) for _ in range(3)]
+    for k in range(3):
+        r = hasher.runs(h, k + 1)
+        c = tables[k][(r % SLOTS).astype(np.int64)]
+        count[k][k:] = c  # of the run that ends at the token
+    one, two, three = count
+    before_one, before_two = np.concatenate([[1.0], one[:-1]]), np.concatenate([[1.0], two[:-1]])
+    at = np.arange(n) - first
+    p = np.where(at == 0, np.maximum(one, 1.0) / max(1.0, float(tables[0].sum())), np.where(at == 1, np.maximum(two, 0.5) / np.maximum(before_one + 2.0, two), np.maximum(three, 0.5) / np.maximum(before_two + 2.0, three)))
+    return np.clip(-np.log2(p), 0.05, 20.0)
 
 
 def terms(weights: np.ndarray, edits: int) -> list[tuple[int, int]]:
-    """``edits`` + 1 disjoint runs that cover all tokens, of nearly equal
-    weight, their lengths between SHORTEST and LONGEST where that can be."""
-    n, parts = len(weights), edits + 1
-    if parts == 1:
+    """``edits`` + 2 disjoint runs that cover all tokens, of nearly equal
+    weight, their lengths between SHORTEST and LONGEST where that can be.
+    Without edits the whole text is the only term."""
+    n, parts = len(weights), edits + 2
+    if not edits:
         return [(0, n)]
-    total = np.concatenate([[0.0], np.cumsum(weights)])
+    shortest = min(SHORTEST, n // parts)
+    total = [0.0, *itertools.accumulate(weights.tolist())]
     out, at = [], 0
     for left in range(parts, 0, -1):
         if left == 1:
             out.append((at, n))
             break
         goal = total[at] + (total[n] - total[at]) / left
-        to = int(np.searchsorted(total, goal))
+        to = bisect.bisect_left(total, goal)
         if to > at + 1 and goal - total[to - 1] < total[to] - goal:
             to -= 1
-        to = max(to, at + SHORTEST, n - (left - 1) * LONGEST)
-        to = min(to, at + LONGEST, n - (left - 1) * SHORTEST)
+        to = max(to, at + shortest, n - (left - 1) * LONGEST)
+        to = min(to, at + LONGEST, n - (left - 1) * shortest)
         out.append((at, to))
         at = to
     return out
@@ -209,51 +243,192 @@ def _normalised(df: DataFrame, key: str, text: str) -> DataFrame:
     return duckdb_project(slim, {"norm": lambda chars: comparable_sql('"t"', chars)}, ["key"], "t").filter("norm <> ''")
 
 
-def _count_tables(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of pairs and triples of words over all answers, in SLOTS slots."""
+def _count_tables(classes: DataFrame) -> list[np.ndarray]:
+    """Counts of words, pairs and triples over all answers, in SLOTS slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        table_ = np.zeros(2 * SLOTS, np.int64)
+        table_ = np.zeros(3 * SLOTS, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                h = hasher.hashes(tokens(t))
-                for k in (2, 3):
-                    np.add.at(table_, (hasher.runs(h, k) % SLOTS).astype(np.int64) + (k - 2) * SLOTS, 1)
+            h, _, _, end = laid_out(batch.column(0).to_pylist(), hasher)
+            for k in range(3):
+                r = hasher.runs(h, k + 1)
+                r = r[np.arange(len(r)) + k + 1 <= end[: len(r)]]
+                table_[k * SLOTS : (k + 1) * SLOTS] += np.bincount((r % SLOTS).astype(np.int64), minlength=SLOTS)
         slots = np.flatnonzero(table_)
         yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(table_[slots])], names=["slot", "c"])
 
-    rows = classes.select("norm").mapInArrow(run, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).collect()
-    both = np.zeros(2 * SLOTS, np.int64)
-    for r in rows:
-        both[r["slot"]] = r["c"]
-    return both[:SLOTS], both[SLOTS:]
+    rows = classes.select("norm").mapInArrow(run, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toPandas()
+    every = np.zeros(3 * SLOTS, np.int64)
+    every[rows["slot"].to_numpy(np.int64)] = rows["c"].to_numpy(np.int64)
+    return [every[k * SLOTS : (k + 1) * SLOTS] for k in range(3)]
+
+
+def length_class(n: int) -> int:
+    """Class of a text's number of tokens; n and n +- n / PART lie in at most
+    two neighbouring ones."""
+    return int(math.log(max(n, 1)) / math.log(1.3))
+
+
+def stretch(cls: int) -> int:
+    """Width of the places that count as one in texts of a length class."""
+    return 8 + int(1.3 ** (cls + 1)) // 4
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(h, at, k, n, ek): the listed terms of every class of answers."""
+def place_key(cls, place):
+    """What a run's hash is mixed with: its text's length class and place."""
+    with np.errstate(over="ignore"):
+        return (np.asarray(cls).astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) + np.asarray(place).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+
+
+def entry(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of a pair of terms from the hashes of its two terms."""
+    with np.errstate(over="ignore"):
+        return Hasher.mix(first * np.uint64(3) + second, 1)
+
+
+def split_answers(classes: DataFrame) -> DataFrame:
+    """(ek, norm, n, terms) of every class of answers long enough to count.
+
+    ``terms``: array of (run, at, k), the hash, place and length of each term;
+    null where they say too little (then the class goes through the blocks).
+    """
     shared = classes.sparkSession.sparkContext.broadcast(_count_tables(classes))
+    term = T.ArrayType(T.StructType([T.StructField("run", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("k", T.IntegerType())]))
+    schema = schema_with(classes, ["ek", "norm"], n=T.IntegerType(), terms=term)
+    arrow = pa.list_(pa.struct([("run", pa.int64()), ("at", pa.int32()), ("k", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        two, three = shared.value
+        tables = shared.value
         for batch in batches:
-            hs, ats, ks, ns, eks = [], [], [], [], []
-            for ek, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ts = tokens(t)
+            out: list[tuple] = []
+            texts = batch.column(1).to_pylist()
+            h, split, start, end = laid_out(texts, hasher)
+            sums, back = hasher.prefix(h)
+            bits = information(h, end, np.repeat(start, [len(ts) for ts in split]), hasher, tables)
+            cuts: list[tuple[int, int]] = []
+            for ek, t, ts, a in zip(batch.column(0).to_pylist(), texts, split, start.tolist()):
                 if not counts(ts):
                     continue
-                h = hasher.hashes(ts)
-                for a, b in terms(information(h, hasher, two, three), len(ts) // PART):
-                    hs.append(hasher.runs(h[a:b], b - a)[0])
-                    ats.append(a)
-                    ks.append(b - a)
-                    ns.append(len(ts))
-                    eks.append(ek)
+                n, edits = len(ts), len(ts) // PART
+                made = None
+                if edits < CHAR_EDITS or not by_character(ts):
+                    made = terms(bits[a : a + n], edits)
+                    cuts += [(a + x, a + y) for x, y in made]
+                out.append((ek, t, n, made))
+            if out:
+                x, y = (np.array(v, np.int64) for v in zip(*cuts)) if cuts else (np.zeros(0, np.int64),) * 2
+                with np.errstate(over="ignore"):
+                    runs = iter(hasher.mix((sums[y] - sums[x]) * back[x], y - x).view(np.int64).tolist())
+                c = list(zip(*out))
+                made = [None if m is None else [{"run": next(runs), "at": a, "k": b - a} for a, b in m] for m in c[3]]
+                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int32()), pa.array(made, arrow)], names=["ek", "norm", "n", "terms"])
+
+    return classes.select("ek", "norm").mapInArrow(run, schema)
+
+
+def placed_terms(answers: DataFrame) -> DataFrame:
+    """(h): hashes of the terms with every length class and stretch of places
+    where a match may have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms_ = batch.column(1)
+            flat = terms_.flatten()
+            n = np.repeat(batch.column(0).to_numpy(), terms_.value_lengths().to_numpy())
+            run_, at, k = (flat.field(c).to_numpy() for c in ("run", "at", "k"))
+            edits = n // PART
+            classes = np.array([length_class(i) for i in range(int((n + edits).max(initial=1)) + 1)])
+            wide_of = np.array([stretch(c) for c in range(int(classes.max()) + 1)])
+            out = []
+            low = classes[n - edits]
+            for more in range(int((classes[n + edits] - low).max(initial=0)) + 1):
+                cls = low + more
+                i = np.flatnonzero(cls <= classes[n + edits])
+                wide = wide_of[cls[i]]
+                first, last = np.maximum(0, at[i] - edits[i]) // wide, (at[i] + edits[i]) // wide
+                for step in range(int((last - first).max(initial=0)) + 1):
+                    ok = first + step <= last
+                    j = i[ok]
+                    out.append(Hasher.mix(run_[j].view(np.uint64) ^ place_key(cls[j], first[ok] + step), k[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64))], names=["h"])
+
+    return answers.filter("terms is not null").select("n", "terms").mapInArrow(run, "h long")
+
+
+def inverted_lists(answers: DataFrame) -> DataFrame:
+    """(h, n, at, to, ek): the listed pairs of terms of every class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hs, ns, ats, tos, eks = [], [], [], [], []
+            for ek, n, ts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                r = np.array([t["run"] for t in ts], np.int64).view(np.uint64)
+                i, j = np.triu_indices(len(ts), 1) if len(ts) > 1 else (np.zeros(1, int), np.zeros(1, int))
+                at = np.array([t["at"] for t in ts], np.int32)
+                hs.append(entry(r[i], r[j]))
+                ats.append(at[i])
+                tos.append(at[j])
+                ns += [n] * len(i)
+                eks += [ek] * len(i)
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(hs, np.uint64).view(np.int64)), pa.array(ats, pa.int32()), pa.array(ks, pa.int32()), pa.array(ns, pa.int32()), pa.array(eks, pa.binary())], names=["h", "at", "k", "n", "ek"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(ns, pa.int32()), pa.array(np.concatenate(ats)), pa.array(np.concatenate(tos)), pa.array(eks, pa.binary())], names=["h", "n", "at", "to", "ek"])
 
-    return classes.select("ek", "norm").mapInArrow(run, "h long, at int, k int, n int, ek binary")
+    return answers.filter("terms is not null").select("ek", "n", "terms").mapInArrow(run, "h long, n int, at int, to int, ek binary")
+
+
+class Block:
+    """A bounded number of answers, held against texts by counting runs."""
+
+    def __init__(self, answers: list[tuple[bytes, str]]):
+        hasher = Hasher()
+        self.eks = [ek for ek, _ in answers]
+        self.tokens = [tokens(t) for _, t in answers]
+        self.n = np.array([len(t) for t in self.tokens], np.int64)
+        self.edits = self.n // PART
+        self.need = np.maximum(1, self.n // GRAM - self.edits)
+        runs, who, seg = [], [], []
+        for i, ts in enumerate(self.tokens):
+            r = hasher.runs(hasher.hashes(ts), GRAM)[::GRAM][: len(ts) // GRAM]
+            runs.append(r)
+            who.append(np.full(len(r), i))
+            seg.append(np.arange(len(r)))
+        runs, who, seg = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (runs, who, seg))
+        order = np.argsort(runs, kind="stable")
+        self.who, self.seg = who[order], seg[order]
+        self.hashes, self.first = np.unique(runs[order], return_index=True)
+        self.last = np.append(self.first[1:], len(runs))
+
+    def matches(self, runs: np.ndarray, owner: np.ndarray, place: np.ndarray, split: list[list[str]]):
+        """(text, answer, edits) of all matches; ``runs`` are the hashes of the
+        texts' runs of GRAM tokens, with text and place of each."""
+        if not len(self.hashes) or not len(runs):
+            return
+        at = np.searchsorted(self.hashes, runs)
+        at[at == len(self.hashes)] = 0
+        hit = np.flatnonzero(self.hashes[at] == runs)
+        at, owner, place = at[hit], owner[hit], place[hit]
+        least = int(self.need.min())
+        low, high = int((self.n - self.edits).min()), int((self.n + self.edits).max())
+        begin = np.flatnonzero(np.diff(owner, prepend=-1))
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(owner)]):
+            if b - a < least:
+                continue
+            o = int(owner[a])
+            if not low <= len(split[o]) <= high:
+                continue
+            i = at[a:b]
+            many = self.last[i] - self.first[i]
+            flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            who, seg = self.who[flat], self.seg[flat]
+            pos = np.repeat(place[a:b], many)
+            ok = (np.abs(pos - seg * GRAM) <= self.edits[who]) & (np.abs(len(split[o]) - self.n[who]) <= self.edits[who])
+            # a run found at two places counts twice, which only lets more by
+            for k in np.flatnonzero(np.bincount(who[ok], minlength=len(self.n)) >= self.need).tolist():
+                e = edit_distance(self.tokens[k], split[o])
+                if e * PART <= self.n[k]:
+                    yield o, k, e
 
 
 def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -261,22 +436,33 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def bloom(lists: DataFrame) -> np.ndarray:
-    """Bit array of 2^BLOOM_BITS bits with two probes a term; it is put
-    together in blocks, so its size does not depend on the lists."""
+def _inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Indices of the hashes whose two bits are set."""
+    a, b = _probes(h)
+    i = np.flatnonzero((bits[a >> 3] >> (a & 7).astype(np.uint8)) & 1)
+    b = b[i]
+    return i[(bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1 == 1]
+
+
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """Bit array of 2^BLOOM_BITS bits with two probes a hash of the only
+    column; put together in blocks, its size does not depend on the data."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 at = np.unique(np.concatenate(_probes(batch.column(0).to_numpy().view(np.uint64))))
-                yield pa.RecordBatch.from_arrays([pa.array((at >> BLOCK_BITS).astype(np.int32)), pa.array((at & ((1 << BLOCK_BITS) - 1)).astype(np.int32))], names=["block", "off"])
+                block, first = np.unique(at >> BLOCK_BITS, return_index=True)
+                offsets = np.split((at & ((1 << BLOCK_BITS) - 1)).astype("<u2"), first[1:])
+                yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array([o.tobytes() for o in offsets], pa.binary())], names=["block", "offsets"])
 
     def pack(key, batch):
         bits = np.zeros(1 << BLOCK_BITS, np.uint8)
-        bits[batch.column("off").to_numpy()] = 1
+        for o in batch.column("offsets").to_pylist():
+            bits[np.frombuffer(o, "<u2")] = 1
         return pa.table({"block": [key[0].as_py()], "bits": [np.packbits(bits, bitorder="little").tobytes()]}, schema=pa.schema([("block", pa.int32()), ("bits", pa.binary())]))
 
-    spread = lists.select("h").mapInArrow(parts, "block int, off int").distinct()
+    spread = hashes.mapInArrow(parts, "block int, offsets binary")
     out = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
     step = 1 << (BLOCK_BITS - 3)
     for r in spread.groupBy("block").applyInArrow(pack, "block int, bits binary").collect():
@@ -284,46 +470,86 @@ def bloom(lists: DataFrame) -> np.ndarray:
     return out
 
 
-def scan(texts: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFrame:
-    """(key, sk, n, norm, hits) of every training text: its class, and where
-    runs stand that may be listed. ``norm`` is kept only beside hits."""
-    shared = texts.sparkSession.sparkContext.broadcast((bits, lengths))
-    hit = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("k", T.IntegerType())]))
-    schema = schema_with(texts, ["key"], sk=T.BinaryType(), n=T.IntegerType(), norm=T.StringType(), hits=hit)
-    hit_type = pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("k", pa.int32())]))
+def scan(texts: DataFrame, single: np.ndarray, double: np.ndarray, lengths: list[int], block: list[tuple[bytes, str]]) -> DataFrame:
+    """(key, sk, n, norm, hits, found) of every training text: its class, the
+    entries that may be listed with the places of their terms, and its matches
+    in the block. ``norm`` is kept only beside hits."""
+    shared = texts.sparkSession.sparkContext.broadcast((single, double, lengths, block))
+    match = T.ArrayType(T.StructType([T.StructField("ek", T.BinaryType()), T.StructField("edits", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
+    match_type = pa.list_(pa.struct([("ek", pa.binary()), ("edits", pa.int32()), ("cosine", pa.float64())]))
+    names = ("h", "one", "two")
+    hit = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("one", T.IntegerType()), T.StructField("two", T.IntegerType())]))
+    schema = schema_with(texts, ["key"], sk=T.BinaryType(), n=T.IntegerType(), norm=T.StringType(), hits=hit, found=match)
+
+    def look_up(split: list[list[str]], hasher: Hasher, single, double, lengths, block: Block) -> tuple:
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        stop = np.cumsum(sizes)
+        start = stop - sizes
+        h = hasher.hashes([t for ts in split for t in ts])
+        owner = np.repeat(np.arange(len(split)), sizes)
+        sums, back = hasher.prefix(h)
+        end = stop[owner]
+        cls = np.array([length_class(n) for n in sizes.tolist()], np.int64)
+        wide = np.array([stretch(c) for c in cls.tolist()], np.int64)
+        where = place_key(cls[owner], (np.arange(len(h)) - start[owner]) // wide[owner])
+        at, hashes, length = [], [], []
+        matched: dict[int, list] = {}
+        for k in lengths:
+            if len(h) < k:
+                continue
+            with np.errstate(over="ignore"):
+                r = hasher.mix((sums[k:] - sums[:-k]) * back[: len(h) - k + 1], k)
+            i = _inside(single, hasher.mix(r ^ where[: len(r)], k))
+            i = i[i + k <= end[i]]
+            at.append(i)
+            hashes.append(r[i])
+            length.append(np.full(len(i), k))
+            if k == GRAM:
+                i = np.flatnonzero(np.arange(len(r)) + k <= end[: len(r)])
+                for o, a, e in block.matches(r[i], owner[i], i - start[owner[i]], split):
+                    matched.setdefault(o, []).append({"ek": block.eks[a], "edits": e, "cosine": cosine(split[o], block.tokens[a])})
+        at, hashes, length = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, hashes, length))
+        order = np.argsort(at, kind="stable")
+        at, hashes, length = at[order], hashes[order].astype(np.uint64), length[order]
+        own = owner[at] if len(at) else np.zeros(0, np.int64)
+        # whole short texts are entries of one term
+        whole = np.flatnonzero((at == start[own]) & (length == sizes[own]) & (sizes[own] < PART)) if len(at) else np.zeros(0, np.int64)
+        found = [(own[whole], entry(hashes[whole], hashes[whole]), at[whole], at[whole])]
+        # every two terms of one text, in chunks
+        partners = np.searchsorted(own, own, side="right") - np.arange(len(own)) - 1
+        upto = np.cumsum(partners)
+        lo = 0
+        while lo < len(own):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + CHUNK, side="right")))
+            many = partners[lo:hi]
+            one = np.repeat(np.arange(lo, hi), many)
+            two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(many) - many, many)
+            apart = at[one] + length[one] <= at[two]
+            one, two = one[apart], two[apart]
+            e = entry(hashes[one], hashes[two])
+            i = _inside(double, e)
+            found.append((own[one[i]], e[i], at[one[i]], at[two[i]]))
+            lo = hi
+        o, e, a, b = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(o, kind="stable")
+        o, e = o[order], e[order]
+        return sizes, o, e, a[order] - start[o], b[order] - start[o], matched
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         hasher = Hasher()
-        bits, lengths = shared.value
+        single, double, lengths, answers = shared.value
+        block = Block(answers)
         for batch in batches:
             norms = batch.column(1).to_pylist()
-            split = [tokens(t) for t in norms]
-            sizes = np.fromiter(map(len, split), np.int64, len(split))
-            stop = np.cumsum(sizes)
-            start = stop - sizes
-            h = hasher.hashes([t for ts in split for t in ts])
-            owner = np.repeat(np.arange(len(split)), sizes)
-            sums, back = hasher.prefix(h)
-            found: dict[int, list] = {}
-            end = stop[owner] if len(h) else np.zeros(0, np.int64)
-            for k in lengths:
-                if len(h) < k:
-                    continue
-                with np.errstate(over="ignore"):
-                    r = hasher.mix((sums[k:] - sums[:-k]) * back[: len(h) - k + 1], k)
-                a, b = _probes(r)
-                ok = (bits[a >> 3] >> (a & 7).astype(np.uint8)) & 1 == 1
-                i = np.flatnonzero(ok)
-                i = i[(bits[b[i] >> 3] >> (b[i] & 7).astype(np.uint8)) & 1 == 1]
-                i = i[i + k <= end[i]]
-                for j, o, v in zip(i.tolist(), owner[i].tolist(), r[i].view(np.int64).tolist()):
-                    found.setdefault(o, []).append({"h": v, "pos": j - int(start[o]), "k": k})
-            sk = [xxhash.xxh3_128_digest(t) for t in norms]
+            sizes, o, e, a, b, matched = look_up([tokens(t) for t in norms], hasher, single, double, lengths, block)
+            per = np.bincount(o, minlength=len(norms))
+            offsets = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
+            hits = pa.StructArray.from_arrays([pa.array(e.view(np.int64)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=list(names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sk, pa.binary()), pa.array(sizes.astype(np.int32)), pa.array([norms[o] if o in found else None for o in range(len(norms))], pa.string()), pa.array([found.get(o, []) for o in range(len(norms))], hit_type)],
-                names=["key", "sk", "n", "norm", "hits"],
+                [batch.column(0), pa.array([xxhash.xxh3_128_digest(t) for t in norms], pa.binary()), pa.array(sizes.astype(np.int32)), pa.array([t if c else None for t, c in zip(norms, per.tolist())], pa.string()), pa.ListArray.from_arrays(pa.array(offsets), hits), pa.array([matched.get(k, []) for k in range(len(norms))], match_type)],
+                names=["key", "sk", "n", "norm", "hits", "found"],
             )
 
     return texts.mapInArrow(run, schema)
@@ -355,18 +581,28 @@ def cross_split(train: DataFrame, train_key: str, train_text: str, held: DataFra
     under five words (ten characters) never count. Null and empty texts repeat
     nothing. Several rows of a key count once.
     """
-    held_rows = _normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))).distinct()
-    held_rows = cut(held_rows)
-    classes = held_rows.select("ek", "norm").distinct()
-    lists = cut(inverted_lists(classes))
-    lengths = sorted(r["k"] for r in lists.select("k").distinct().collect())
-    scanned = cut(scan(_normalised(train, train_key, train_text), bloom(lists), lengths))
-    hits = scanned.filter(F.size("hits") > 0).select("sk", "n", "norm", F.explode("hits").alias("x")).select("sk", F.col("n").alias("n_text"), "norm", "x.h", "x.pos", F.col("x.k").alias("kt"))
-    hits = hits.groupBy("sk", "h", "pos", "kt").agg(F.first("norm").alias("text"), F.first("n_text").alias("n_text"))
+    held_rows = cut(_normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))).distinct())
+    answers = cut(split_answers(held_rows.select("ek", "norm").distinct()))
+    lists = inverted_lists(answers)
+    single, double = bloom(placed_terms(answers)), bloom(lists.select("h"))
+    low = answers.filter("terms is null")
+    n_blocks = -(-low.count() // BLOCK)
+    blocks = [[(bytes(r["ek"]), r["norm"]) for r in low.filter(F.pmod(F.xxhash64("ek"), F.lit(n_blocks)) == i).select("ek", "norm").collect()] for i in range(min(n_blocks, 1))] or [[]]
+    lengths = list(range(SHORTEST, LONGEST + 1))
+    train_rows = _normalised(train, train_key, train_text)
+    scanned = cut(scan(train_rows, single, double, lengths, blocks[0]))
+    hits = scanned.filter(F.size("hits") > 0).select("sk", F.col("n").alias("n_text"), F.explode("hits").alias("x")).select("sk", "n_text", "x.h", F.col("x.one").alias("p"), F.col("x.two").alias("q")).distinct()
     edits = F.floor(F.col("n") / PART)
-    near = hits.join(lists, "h").filter((F.col("kt") == F.col("k")) & (F.abs(F.col("pos") - F.col("at")) <= edits) & (F.abs(F.col("n_text") - F.col("n")) <= edits))
-    pairs = near.groupBy("sk", "ek").agg(F.first("text").alias("text")).join(classes.withColumnRenamed("norm", "answer"), "ek")
-    same = verify(pairs)
+    near = hits.join(lists, "h").filter((F.abs(F.col("p") - F.col("at")) <= edits) & (F.abs(F.col("q") - F.col("to")) <= edits) & (F.abs(F.col("n_text") - F.col("n")) <= edits))
+    texts = scanned.filter("norm is not null").groupBy("sk").agg(F.first("norm").alias("text"))
+    pairs = near.select("sk", "ek").distinct().join(texts, "sk").join(answers.select("ek", F.col("norm").alias("answer")), "ek")
+    found = scanned.filter(F.size("found") > 0).select("sk", F.explode("found").alias("m")).select("sk", "m.*").distinct()
+    same = verify(pairs).unionByName(found)
+    nothing = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
+    for i in range(1, n_blocks):  # more low answers than a block holds
+        block = [(bytes(r["ek"]), r["norm"]) for r in low.filter(F.pmod(F.xxhash64("ek"), F.lit(n_blocks)) == i).select("ek", "norm").collect()]
+        more = cut(scan(train_rows, nothing, nothing, [GRAM], block).filter(F.size("found") > 0).select("sk", F.explode("found").alias("m")).select("sk", "m.*").distinct())
+        same = same.unionByName(more)
     members = scanned.select("key", "sk").distinct()
     out = same.join(members, "sk").withColumnRenamed("key", train_key)
     out = out.join(held_rows.select(F.col("key").alias(held_key), "ek").distinct(), "ek")
