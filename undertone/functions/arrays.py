@@ -9,13 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-RATE = 16_000
-
+from undertone.functions.tokens import let
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, also inside ``body``'s own
-    lambdas (an expression there would be computed for every element)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+RATE = 16_000
 
 
 def peak(x: Column) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from undertone.functions.tokens import edit_distance, ngrams, words
+from undertone.functions.tokens import edit_distance, let, ngrams, words
 
 REGISTRY: dict[str, "Metric"] = {}
 #: Unit of the error rate by language; words where none is named.
@@ -105,9 +105,13 @@ def _bleu(df, group, ref, hyp):
 
 def token_f1(ref: Column, hyp: Column) -> Column:
     """F1 of the word multisets."""
-    r, h = words(F.lower(ref)), words(F.lower(hyp))
-    common = F.aggregate(F.array_distinct(h), F.lit(0), lambda a, w: a + F.least(F.size(F.filter(h, lambda x: x == w)), F.size(F.filter(r, lambda x: x == w))))
-    return F.when((F.size(r) == 0) | (F.size(h) == 0), (F.size(r) == F.size(h)).cast("double")).otherwise(2.0 * common / (F.size(r) + F.size(h)))
+
+    def score(p):
+        r, h = p["r"], p["h"]
+        common = F.aggregate(F.array_distinct(h), F.lit(0), lambda a, w: a + F.least(F.size(F.filter(h, lambda x: x == w)), F.size(F.filter(r, lambda x: x == w))))
+        return F.when((F.size(r) == 0) | (F.size(h) == 0), (F.size(r) == F.size(h)).cast("double")).otherwise(2.0 * common / (F.size(r) + F.size(h)))
+
+    return let(F.struct(words(F.lower(ref)).alias("r"), words(F.lower(hyp)).alias("h")), score)
 
 
 def class_scores(df: DataFrame, truth: str, guess: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from undertone.functions import arrays as a
 from undertone.functions.keyed import hashed, key
+from undertone.functions.tokens import let
 from undertone.operators import linalg
 from undertone.plans.base import query
 from undertone.plans.sampling_queries import H
@@ -109,7 +110,7 @@ def augment_batch(spark, d):
         return F.when(uniform(key("p", F.col("vec_id"))) < 0.8, a.with_noise(y, noise, 5 + 15 * uniform(key("snr", F.col("vec_id"))))).otherwise(y)
 
     moved = vectors(spark, d).select("vec_id", "x", a.stretched(x, 0.9 + 0.2 * uniform(key("rate", F.col("vec_id")))).alias("y"))
-    done = moved.select("vec_id", a.let(noisy(F.col("y")), a.peak_guard).alias("y"))
+    done = moved.select("vec_id", let(noisy(F.col("y")), a.peak_guard).alias("y"))
     return done.select("vec_id", F.size("y").alias("n"), F.round(a.peak(F.col("y")), 4).alias("peak"))
 
 

@@ -7,11 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from undertone.operators import schema_drift
 from undertone.plans import base
 from undertone.sources.ship import ship
 
-FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries", "source_queries")
+FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries", "source_queries", "drift_queries")
 
 
 def shipped(query):
@@ -32,12 +31,7 @@ def _load() -> None:
 
 def queries() -> dict:
     _load()
-    return base.QUERIES | {
-        "p2_found": schema_drift.p2_found,
-        "p2_lifespans": schema_drift.p2_lifespans,
-        "p2_casts": schema_drift.p2_casts,
-        "p2_table": schema_drift.p2_table,
-    }
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
