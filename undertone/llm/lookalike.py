@@ -63,6 +63,12 @@ def _tables() -> tuple[dict[str, str], dict[str, str]]:
     return one, many
 
 
+def known_characters() -> set[str]:
+    """All characters that ``canonical_sql`` treats, and plain ones."""
+    one, many = _tables()
+    return set(one) | set(many) | set(INVISIBLE) | set("\n'\u2019`\u00b4\u200d\u0e4da")
+
+
 def _quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
