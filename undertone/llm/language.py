@@ -14,6 +14,7 @@ over all rows, in Arrow batches, without a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -84,28 +85,22 @@ def grams(word: str) -> list[str]:
     return [w[i : i + n] for n in SIZES for i in range(len(w) - n + 1)]
 
 
+_DIGIT = re.compile(r"\d")
+_UNSPACED = re.compile("[⺀-鿿฀-๿]")
+_RUNS = re.compile("[⺀-鿿]+|[฀-๿]+|[^⺀-鿿฀-๿]+")
+
+
 def words_of(text: str) -> list[str]:
     """Words of a ``spoken_sql`` text; fillers and words with digits left out;
     a run of Chinese or Thai stands for itself, apart from what it touches."""
-    if text.isascii():
-        return [w for w in text.split(" ") if w and w not in FILLERS and w.isalpha()]
-    out = []
-    for w in text.split(" "):
-        if w in FILLERS or not w:
-            continue
-        if w.isascii():
-            if w.isalpha():
-                out.append(w)
-            continue
-        at, kind = 0, None
-        for i, ch in enumerate(w):
-            k = 1 if "⺀" <= ch <= "鿿" else 2 if "฀" <= ch <= "๿" else 0
-            if kind is not None and k != kind:
-                out.append(w[at:i])
-                at = i
-            kind = k
-        out.append(w[at:])
-    return [w for w in out if not any("0" <= c <= "9" for c in w)]
+    out = text.split(" ") if text else []
+    if not FILLERS.isdisjoint(out):
+        out = [w for w in out if w not in FILLERS]
+    if _DIGIT.search(text):
+        out = [w for w in out if not _DIGIT.search(w)]
+    if not text.isascii() and _UNSPACED.search(text):
+        out = [r for w in out for r in ((w,) if w.isascii() else _RUNS.findall(w))]
+    return out
 
 
 def weight(word: str) -> float:
@@ -122,7 +117,8 @@ class Profiles:
     def __init__(self, prototypes: np.ndarray, scale: float = 1.0):
         self.prototypes, self.scale, self.size = prototypes, scale, prototypes.shape[1]
         self.letters: dict[str, np.ndarray] = {}
-        self.products: dict[str, np.ndarray] = {}
+        self.grams: dict[str, int] = {}
+        self.products = np.zeros((1024, len(prototypes)), np.float32)
         self.ids: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
         self.weights: list[float] = []
@@ -137,19 +133,25 @@ class Profiles:
             out = v if out is None else out * v
         return out
 
-    def product(self, gram: str) -> np.ndarray:
-        p = self.products.get(gram)
-        if p is None:
-            if len(self.products) > CACHE:
-                self.products.clear()
-            p = self.products[gram] = self.prototypes @ self.vector(gram).astype(np.float32)
-        return p
+    def product(self, gram: str) -> int:
+        """Row of ``products`` with the products of a new n-gram."""
+        if len(self.grams) >= CACHE:
+            self.grams.clear()
+        i = self.grams[gram] = len(self.grams)
+        if i >= len(self.products):
+            self.products = np.concatenate([self.products, np.zeros_like(self.products)])
+        self.products[i] = self.prototypes @ self.vector(gram).astype(np.float32)
+        return i
 
     def word(self, word: str) -> np.ndarray:
         """Sum of the word's n-gram products, in mean words of evidence."""
         gs = grams(word)
-        total = np.sum([self.product(g) for g in gs], axis=0)
-        if len(word) and not ("฀" <= word[0] <= "๿" or "⺀" <= word[0] <= "鿿"):
+        if len(self.grams) + len(gs) > CACHE:
+            self.grams.clear()
+        known = self.grams
+        at = [i if (i := known.get(g)) is not None else self.product(g) for g in gs]
+        total = self.products[at].sum(axis=0)
+        if not _UNSPACED.match(word):
             total = total / np.sqrt(len(gs))
         return total / self.scale
 
@@ -157,14 +159,17 @@ class Profiles:
         """One row of evidence a word."""
         if len(self.rows) > CACHE:
             self.ids, self.rows, self.weights = {}, [], []
-        ids, index = self.ids, []
-        for w in words:
-            i = ids.get(w)
-            if i is None:
-                i = ids[w] = len(self.rows)
-                self.rows.append(self.word(w))
-                self.weights.append(weight(w))
-            index.append(i)
+        ids = self.ids
+        index = list(map(ids.get, words))
+        if None in index:
+            for at, w in enumerate(words):
+                if index[at] is None:
+                    i = ids.get(w)
+                    if i is None:
+                        i = ids[w] = len(self.rows)
+                        self.rows.append(self.word(w))
+                        self.weights.append(weight(w))
+                    index[at] = i
         if getattr(self, "_table", None) is None or len(self._table) != len(self.rows):
             self._table, self._w = np.array(self.rows, np.float32), np.array(self.weights, np.float32)
         return self._table[index], self._w[index]
@@ -208,27 +213,27 @@ def fit(rows: list[tuple[str, str]], size: int = DIMENSIONS) -> tuple[np.ndarray
     return p.prototypes, float(np.median(gaps)) if gaps and np.median(gaps) > 0 else 1.0
 
 
-def segments(evidence: np.ndarray, weights: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int, int]]:
-    """(language, from, to) passages: the best path with a cost a change."""
-    n, k = evidence.shape
-    best = evidence[0].copy()
-    back = np.zeros((n, k), np.int8)
-    for i in range(1, n):
-        top = int(best.argmax())
+def segments(evidence: np.ndarray, languages: list[int], switch: float = SWITCH) -> list[tuple[int, int, int]]:
+    """(language, from, to) passages: the best path through ``languages`` with
+    a cost a change."""
+    rows = evidence[:, languages].tolist()
+    states = range(len(languages))
+    best, back = rows[0], []
+    for row in rows[1:]:
+        top = max(states, key=best.__getitem__)
         jump = best[top] - switch
-        stay = best >= jump
-        back[i] = np.where(stay, np.arange(k), top)
-        best = np.where(stay, best, jump) + evidence[i]
-    path = [int(best.argmax())]
-    for i in range(n - 1, 0, -1):
-        path.append(int(back[i][path[-1]]))
+        back.append([k if best[k] >= jump else top for k in states])
+        best = [(b if b >= jump else jump) + e for b, e in zip(best, row)]
+    path = [max(states, key=best.__getitem__)]
+    for step in reversed(back):
+        path.append(step[path[-1]])
     path.reverse()
     runs: list[list[int]] = []
-    for i, lang in enumerate(path):
-        if runs and runs[-1][0] == lang:
+    for i, k in enumerate(path):
+        if runs and runs[-1][0] == languages[k]:
             runs[-1][2] = i + 1
         else:
-            runs.append([lang, i, i + 1])
+            runs.append([languages[k], i, i + 1])
     return [tuple(r) for r in runs]
 
 
@@ -242,7 +247,8 @@ class Labeller:
         """Per text its passages as (language, confidence, words).
 
         Texts whose every window of four words agrees with the whole are one
-        passage and never cut; only the others go through ``segments``.
+        passage and never cut; only the others go through ``segments``, with
+        the languages that lead the whole or some window.
         """
         split = [words_of(t) if t else [] for t in texts]
         flat = [w for ws in split for w in ws]
@@ -258,14 +264,17 @@ class Labeller:
         stop = np.minimum(np.arange(len(flat)) + 4, bounds[1:][owner])
         window = sums[stop] - sums[:-1]
         odd = window.max(axis=1) - window[np.arange(len(flat)), main[owner]] > 0.5 * SWITCH
-        mixed = set(owner[odd].tolist())
+        lead = window.argmax(axis=1)
+        mixed: dict[int, set[int]] = {}
+        for o, k in zip(owner[odd].tolist(), lead[odd].tolist()):
+            mixed.setdefault(o, {int(main[o])}).add(k)
         out = []
         for i in range(len(texts)):
             a, b = int(bounds[i]), int(bounds[i + 1])
             if a == b:
                 out.append([])
                 continue
-            runs = [(int(main[i]), 0, b - a)] if i not in mixed else segments(evidence[a:b], weights[a:b])
+            runs = [(int(main[i]), 0, b - a)] if i not in mixed else segments(evidence[a:b], sorted(mixed[i]))
             found = []
             for lang, x, y in runs:
                 e = sums[a + y] - sums[a + x]
