@@ -22,13 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from undertone.llm.arrow import fits, schema_with
+from undertone.llm.lookalike import LOOKALIKES
 from undertone.sources.tables import table
 
 KINDS = ("email", "id_number", "phone", "street_address", "person_name")
 MAX_NAMES = 500_000
 
-_WIDE = re.compile("[！-～]")
-_NARROW = {0xFF01 + k: 0x21 + k for k in range(94)} | {0x3000: 0x20}
+# One character for one, so places in the text stay: full width, blanks of
+# other widths, letters of other scripts that draw like Latin ones.
+_WIDE = re.compile("[！-～\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000\u0391-\u03ff\u0400-\u04ff]")
+_NARROW = {0xFF01 + k: 0x21 + k for k in range(94)} | dict.fromkeys([0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000], 0x20)
+_NARROW |= {ord(a): ord(b) for source, target in LOOKALIKES.items() for a, b in zip(source, target)}
 
 # Number words, titles, connectors, kinds of street, words that
 # announce a name.
