@@ -129,14 +129,15 @@ def adapter_mean(spark, d):
 
 
 def parts(spark, d):
-    """Four adapters of rank 4 cut from the vectors: A (4 x 16), B (16 x 4)."""
-    v = vectors(spark, d).filter("vec_id < 80").withColumn("part", F.floor(F.col("vec_id") / 20)).withColumn("r", F.col("vec_id") % 20)
-    a_ = v.filter("r < 4").select("part", F.lit("m").alias("name"), F.lit("A").alias("side"), F.col("r").alias("row"), F.slice("x", 1, 16).alias("vec"))
-    b_ = v.filter("r >= 4").select("part", F.lit("m").alias("name"), F.lit("B").alias("side"), (F.col("r") - 4).alias("row"), F.slice("x", 17, 4).alias("vec"))
+    """Modules of 80 vectors each: four adapters of rank 4, A (4 x 16) and B
+    (16 x 4); a part that the last module lacks counts as zeros."""
+    v = vectors(spark, d).withColumn("name", F.concat(F.lit("m"), F.floor(F.col("vec_id") / 80).cast("string"))).withColumn("part", F.floor(F.col("vec_id") % 80 / 20)).withColumn("r", F.col("vec_id") % 20)
+    a_ = v.filter("r < 4").select("part", "name", F.lit("A").alias("side"), F.col("r").alias("row"), F.slice("x", 1, 16).alias("vec"))
+    b_ = v.filter("r >= 4").select("part", "name", F.lit("B").alias("side"), (F.col("r") - 4).alias("row"), F.slice("x", 17, 4).alias("vec"))
     return a_.unionByName(b_)
 
 
-@query("adapter_concat_check", "SELECT 'm' AS name, true AS exact")
+@query("adapter_concat_check", "SELECT DISTINCT 'm' || (vec_id // 80) AS name, true AS exact FROM embeddings")
 def adapter_concat_check(spark, d):
     """L2, L3: the joined factors give the mean of the products."""
     p = parts(spark, d)
