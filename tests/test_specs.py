@@ -21,18 +21,18 @@ def test_suite_tiers(spark):
         "datasets": [
             {"name": "x", "path": "sea/x", "task": "ASR", "lang": "en", "metrics": ["wer"]},
             {"name": "y", "path": "ab/y", "task": "SQA", "metrics": ["judge"], "quick": 0, "note": 1},
-            {"name": "z", "path": "ab/z", "task": "ST", "quick": {"n": 5, "chunk_s": 30.0}},
+            {"name": "z", "path": "ab/z", "task": "ST", "quick": {"n": 5, "chunk_s": 20.0}},
         ],
     }
     q = specs.load_suite(data, "quick")
-    assert [(s.name, s.n, s.chunk_s) for s in q] == [("x", 200, None), ("z", 5, 30.0)] and q[0].path == "/data/sea/x"
-    assert specs.load_suite(data, "smoke")[1].extra == {"note": 1} and len(specs.load_suite(data)) == 3
+    assert [(s.name, s.n, s.chunk_s) for s in q] == [("x", 200, 30.0), ("z", 5, 20.0)] and q[0].path == "/data/sea/x"
+    assert specs.load_suite(data, "smoke")[1].extra == {"note": 1} and len(specs.load_suite(data, "smoke")) == 3
     for bad in (dict(tier="none"), dict(only=["w"])):
         with pytest.raises(specs.SpecError):
             specs.load_suite(data, **bad)
     with pytest.raises(specs.SpecError):
-        specs.load_suite({"datasets": [{"name": "x", "path": "x", "task": "ASR"}]})
-    assert specs.suite_frame(spark, q).filter("chunk_s = 30").count() == 1
+        specs.load_suite({"datasets": [{"name": "x", "path": "x", "task": "ASR", "metric": "wer"}]})
+    assert specs.suite_frame(spark, q).filter("tokens_per_s = 15").count() == 2
 
 
 def test_config():

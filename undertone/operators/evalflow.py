@@ -12,8 +12,8 @@ from undertone.operators.ranking import median, positions, value_hash
 TAIL_S = 1.0
 
 
-def token_budget(seconds: Column, max_new: Column, rate: float = 12.5, most: int = 16384) -> Column:
-    """P41."""
+def token_budget(seconds: Column, max_new: Column, rate: Column, most: int = 16384) -> Column:
+    """At least ``max_new``, ``rate`` tokens a second, at most ``most``."""
     return F.least(F.lit(most), F.greatest(max_new, F.ceil(rate * seconds)))
 
 
@@ -28,7 +28,7 @@ def complete_refs(items: DataFrame, group: str, text: str, seconds: str, factor:
     rate = F.length(F.coalesce(text, F.lit(""))) / F.greatest(F.col(seconds), F.lit(1e-3))
     r = items.withColumn("rate", rate)
     m = median(r, [group], "rate", "median_rate")
-    return r.join(F.broadcast(m), group, "left").withColumn("keep", F.coalesce(F.col("rate") >= factor * F.col("median_rate"), F.lit(True)))
+    return r.join(m, group, "left").withColumn("keep", F.coalesce(F.col("rate") >= factor * F.col("median_rate"), F.lit(True)))
 
 
 def chunk_plan(items: DataFrame, seconds: str, step: Column, tail_s: float = TAIL_S) -> DataFrame:

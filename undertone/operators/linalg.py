@@ -30,7 +30,7 @@ def concat_adapters(parts: DataFrame, part: str, name: str, side: str, row: str,
     divided by k, so that B A is the mean of the parts' products."""
     c = parts.select(part, name, side, F.col(row).alias("i"), F.posexplode(vec).alias("j", "v"))
     rank = c.groupBy(name).agg(F.max(F.when(F.col(side) == "A", F.col("i")).otherwise(F.col("j"))).alias("r"))
-    c = c.join(F.broadcast(rank), name).withColumn("off", F.col(part) * (F.col("r") + 1))
+    c = c.join(rank, name).withColumn("off", F.col(part) * (F.col("r") + 1))
     a = F.col(side) == "A"
     return c.select(name, side, F.when(a, F.col("i") + F.col("off")).otherwise(F.col("i")).alias("i"), F.when(a, F.col("j")).otherwise(F.col("j") + F.col("off")).alias("j"), F.when(a, F.col("v")).otherwise(F.col("v") / k).alias("v"))
 

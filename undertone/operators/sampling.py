@@ -26,7 +26,7 @@ def draw(rows: DataFrame, sizes: DataFrame, group: str, sample: str, seed: int,
     counted = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__m"))
     want = sizes.filter("n > 0").join(counted, group)
     keyed = rows.withColumn("__h", epoch_hash(seed, epoch or 0, F.col(group), F.col(sample)))
-    placed = positions(keyed, "__h", [sample], [group], "__pos").join(F.broadcast(want), group)
+    placed = positions(keyed, "__h", [sample], [group], "__pos").join(want, group)
     whole = F.floor(F.col("n") / F.col("__m"))
     times = whole + F.when(F.col("__pos") < F.col("n") - whole * F.col("__m"), 1).otherwise(0)
     return placed.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1)).otherwise(F.array().cast("array<bigint>")))).drop("__h", "__pos", "n", "__m")

@@ -9,6 +9,7 @@ from undertone.functions.tokens import words
 from undertone.operators import evalflow as ev, metrics as m
 from undertone.plans.base import query
 from undertone.plans.sampling_queries import H, ITEMS, items
+from undertone.sources.specs import TASK_TOKENS_PER_S
 from undertone.sources.tables import table
 
 RUNS = ("base", "checkpoint-20", "checkpoint-100", "other")
@@ -143,16 +144,17 @@ SELECT item_id, coalesce(rate >= f * m, true) AS keep FROM r LEFT JOIN md USING
 def complete_refs(spark, d):
     """References short for their duration are left out."""
     sets = table(spark, d, "eval_sets").select(F.col("name").alias("set_name"), "min_ref_rate")
-    j = items(spark, d).join(F.broadcast(sets), "set_name")
+    j = items(spark, d).join(sets, "set_name")
     return ev.complete_refs(j, "set_name", "answer", "seconds", F.col("min_ref_rate")).select("item_id", "keep")
 
 
-@query("token_budget", f"WITH {ITEMS} SELECT item_id, least(16384, greatest(s.max_new_tokens, ceil(12.5 * seconds)))::bigint AS budget, round(40 + 13.0 * seconds + length(answer) / 3.0, 4) AS estimate FROM items i JOIN eval_sets s ON s.name = i.set_name")
+@query("token_budget", f"WITH {ITEMS} SELECT item_id, least(16384, greatest(s.max_new_tokens, ceil(CASE WHEN s.task IN ('ASR', 'ST') THEN 15 ELSE 0 END * seconds)))::bigint AS budget, round(40 + 13.0 * seconds + length(answer) / 3.0, 4) AS estimate FROM items i JOIN eval_sets s ON s.name = i.set_name")
 def token_budget(spark, d):
     """P41, P43, C3."""
-    sets = table(spark, d, "eval_sets").select(F.col("name").alias("set_name"), "max_new_tokens")
-    j = items(spark, d).join(F.broadcast(sets), "set_name")
-    return j.select("item_id", ev.token_budget(F.col("seconds"), F.col("max_new_tokens")).cast("long").alias("budget"), F.round(ev.length_estimate(F.lit(40), F.col("seconds"), F.col("answer")), 4).alias("estimate"))
+    rate = F.create_map(*[F.lit(x) for kv in TASK_TOKENS_PER_S.items() for x in kv])
+    sets = table(spark, d, "eval_sets").select(F.col("name").alias("set_name"), "max_new_tokens", F.coalesce(F.try_element_at(rate, F.col("task")), F.lit(0)).alias("rate"))
+    j = items(spark, d).join(sets, "set_name")
+    return j.select("item_id", ev.token_budget(F.col("seconds"), F.col("max_new_tokens"), F.col("rate")).cast("long").alias("budget"), F.round(ev.length_estimate(F.lit(40), F.col("seconds"), F.col("answer")), 4).alias("estimate"))
 
 
 @query("over_length", f"WITH {ITEMS} SELECT set_name, count(*) FILTER (WHERE 40 + 13.0 * seconds + length(coalesce(answer, '')) / 3.0 > 2048) AS n_dropped, count(*) AS n FROM items GROUP BY set_name")
@@ -171,7 +173,7 @@ p AS (SELECT *, unnest(range(n_chunks)) AS chunk FROM k)"""
 def chunk_plan(spark, d):
     """Fixed chunks, a short tail joined to the one before."""
     sets = table(spark, d, "eval_sets").select(F.col("name").alias("set_name"), "chunk_s")
-    j = items(spark, d).join(F.broadcast(sets), "set_name").filter("seconds > 0")
+    j = items(spark, d).join(sets, "set_name").filter("seconds > 0")
     return ev.chunk_plan(j, "seconds", F.col("chunk_s")).select("item_id", F.col("chunk").cast("long").alias("chunk"), "n_chunks", F.round("start_s", 4).alias("start_s"), F.round("end_s", 4).alias("end_s"))
 
 

@@ -33,13 +33,13 @@ def suite_tier(spark, d):
 def sample_specs(spark, d):
     """Each sample of all streams with its stream's entry."""
     s = specs(spark, d).select("name", "spec_id", "weight")
-    return full_rows(spark, d).withColumn("name", F.trim("dataset")).join(F.broadcast(s), "name", "left").select("sample_id", "spec_id", "weight")
+    return full_rows(spark, d, "dataset").withColumn("name", F.trim("dataset")).join(s, "name", "left").select("sample_id", "spec_id", "weight")
 
 
 @query("item_index", f"WITH {FULL} SELECT sample_id, trim(dataset) AS name, task, nullif(trim(language), '') AS lang, duration, length(coalesce(response_text, '')) AS answer_chars FROM full_rows")
 def item_index(spark, d):
     """The index table of all samples."""
-    return full_rows(spark, d).select("sample_id", F.trim("dataset").alias("name"), "task", F.nullif(F.trim("language"), F.lit("")).alias("lang"), "duration", F.length(F.coalesce("response_text", F.lit(""))).cast("long").alias("answer_chars"))
+    return full_rows(spark, d, "dataset", "task", "language", "duration", "response_text").select("sample_id", F.trim("dataset").alias("name"), "task", F.nullif(F.trim("language"), F.lit("")).alias("lang"), "duration", F.length(F.coalesce("response_text", F.lit(""))).cast("long").alias("answer_chars"))
 
 
 @query("total_join", f"WITH {ITEMS}, {PRED}, b AS (SELECT item_id, hyp FROM hyps WHERE run = 'base' AND item_id % 11 <> 0) SELECT count(*) AS n_items, count(hyp) AS n_predicted, count(*) - count(hyp) AS n_missing FROM items LEFT JOIN b USING (item_id)")

@@ -15,9 +15,10 @@ from undertone.sources.tables import table
 FULL = "full_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC NULLS LAST) AS rn FROM mds_samples WHERE sample_id IS NOT NULL) WHERE rn = 1)"
 
 
-def full_rows(spark, d):
-    s = table(spark, d, "mds_samples").filter("sample_id is not null")
-    return ev.last_wins(s.withColumn("__t", F.col("ingested_at").cast("timestamp")), ["sample_id"], "__t").drop("__t")
+def full_rows(spark, d, *columns):
+    """The last delivery of every sample; only ``columns`` are read and moved."""
+    s = table(spark, d, "mds_samples").filter("sample_id is not null").select("sample_id", *columns, F.col("ingested_at").cast("timestamp").alias("__t"))
+    return ev.last_wins(s, ["sample_id"], "__t").drop("__t")
 
 
 LISTS = {lang: kinds["asr"] for lang, kinds in rows.PROMPTS.items()}
@@ -27,7 +28,7 @@ AC_MAP = "MAP {" + ", ".join(f"{_q(k)}: [{', '.join(map(_q, v['ac']))}]" for k,
 LANG = f"CASE WHEN {H.format(f'{_q(str(SEED) + chr(58))} || sample_id || {_q(chr(58) + chr(108) + chr(97) + chr(110) + chr(103))}')} / 1152921504606846976.0 < 0.5 THEN 'en' ELSE lower(coalesce(language, 'en')) END"
 PROMPT = f"""CASE WHEN task LIKE 'ASR%' THEN list_extract(coalesce(map_extract({ASR_MAP}, lang)[1], map_extract({ASR_MAP}, 'en')[1]), ({H.format(f"'{SEED}:' || sample_id || ':prompt'")} % len(coalesce(map_extract({ASR_MAP}, lang)[1], map_extract({ASR_MAP}, 'en')[1])) + 1)::bigint)
 WHEN task = 'AC' THEN list_extract(coalesce(map_extract({AC_MAP}, lang)[1], map_extract({AC_MAP}, 'en')[1]), ({H.format(f"'{SEED}:' || sample_id || ':prompt'")} % len(coalesce(map_extract({AC_MAP}, lang)[1], map_extract({AC_MAP}, 'en')[1])) + 1)::bigint) ELSE coalesce(instruction_text, '') END"""
-CLEAN = "trim(regexp_replace(regexp_replace(response_text, '(?i)[(<](SPN|ppo|ppl|ppb|ppc|laugh|unk|unknown)[)>]', ' ', 'g'), '\\s+', ' ', 'g'))"
+CLEAN = "trim(regexp_replace(regexp_replace(replace(response_text, chr(10), ' '), '(?i)[(<](SPN|ppo|ppl|ppb|ppc|laugh|unk|unknown)[)>]', '', 'g'), '\\s+', ' ', 'g'))"
 HASHLESS = f"trim(regexp_replace(replace({CLEAN}, '#', ' '), '\\s+', ' ', 'g'))"
 ANSWER = f"CASE WHEN task LIKE 'ASR%' THEN CASE WHEN regexp_matches({HASHLESS}, '<Speaker\\d>') THEN {HASHLESS} ELSE '<Speaker1>: ' || {HASHLESS} END ELSE response_text END"
 
@@ -41,7 +42,7 @@ def entry_chat_rows(spark, d):
     """Flagship: epoch draw, normalised answer, keyed prompt, chat row."""
     cfg = rows.RowConfig(seed=SEED)
     drawn = chosen(spark, d, 0).select("sample_id", "copy", "name")
-    f = full_rows(spark, d).select("sample_id", "task", "language", "instruction_text", "response_text", "context_audio")
+    f = full_rows(spark, d, "task", "language", "instruction_text", "response_text", "context_audio")
     j = drawn.join(f, "sample_id")
     clean = t.add_speaker(t.remove_hash(t.remove_no_sound(F.col("response_text"))))
     j = j.withColumn("prompt", rows.random_prompt(F.col("sample_id"), F.col("language"), F.col("task"), F.col("instruction_text"), cfg)).withColumn("answer", F.when(F.substring("task", 1, 3) == "ASR", clean).otherwise(F.col("response_text")))
@@ -53,7 +54,7 @@ def entry_chat_rows(spark, d):
 def prompt_pick(spark, d):
     """P36 in English only."""
     cfg = rows.RowConfig(prompt_type="random_english", seed=SEED)
-    return full_rows(spark, d).select("sample_id", rows.random_prompt(F.col("sample_id"), F.col("language"), F.col("task"), F.col("instruction_text"), cfg).alias("prompt"))
+    return full_rows(spark, d, "task", "language", "instruction_text").select("sample_id", rows.random_prompt(F.col("sample_id"), F.col("language"), F.col("task"), F.col("instruction_text"), cfg).alias("prompt"))
 
 
 PAIRS = [("Say hello.", "Hello."), ("Count to three.", "One, two, three."), ("Name a colour.", "Blue.")]
@@ -66,33 +67,34 @@ SELECT sample_id, dropped, CASE WHEN dropped THEN list_extract([{', '.join(_q(a)
 )
 def instruction_dropout(spark, d):
     """J13, P38."""
-    f = full_rows(spark, d).select("sample_id", F.col("instruction_text").alias("prompt"), F.col("response_text").alias("answer"))
+    f = full_rows(spark, d, "instruction_text", "response_text").select("sample_id", F.col("instruction_text").alias("prompt"), F.col("response_text").alias("answer"))
     return rows.dropout(f, "prompt", "answer", F.col("sample_id"), PAIRS, rows.RowConfig(dropout=0.1, seed=SEED)).select("sample_id", "dropped", "prompt", "answer")
 
 
 @query("context_prompt", f"WITH {FULL} SELECT sample_id, CASE WHEN length(coalesce(context_text, '')) > 0 THEN 'Context: ' || context_text || chr(10) || 'Question: ' || instruction_text ELSE instruction_text END AS prompt FROM full_rows")
 def context_prompt(spark, d):
     """P39."""
-    return full_rows(spark, d).select("sample_id", rows.context_prompt(F.col("context_text"), F.col("instruction_text")).alias("prompt"))
+    return full_rows(spark, d, "context_text", "instruction_text").select("sample_id", rows.context_prompt(F.col("context_text"), F.col("instruction_text")).alias("prompt"))
 
 
 @query("drop_no_audio", f"WITH {FULL} SELECT trim(dataset) AS name, count(*) FILTER (WHERE coalesce(octet_length(context_audio), 0) = 0) AS n_without, count(*) AS n FROM full_rows GROUP BY 1")
 def drop_no_audio(spark, d):
     """rows without audio bytes."""
-    return full_rows(spark, d).groupBy(F.trim("dataset").alias("name")).agg(F.count_if(F.coalesce(F.length("context_audio"), F.lit(0)) == 0).alias("n_without"), F.count(F.lit(1)).alias("n"))
+    sized = table(spark, d, "mds_samples").filter("sample_id is not null").select("sample_id", "dataset", F.coalesce(F.length("context_audio"), F.lit(0)).alias("n_audio"), F.col("ingested_at").cast("timestamp").alias("__t"))
+    return ev.last_wins(sized, ["sample_id"], "__t").groupBy(F.trim("dataset").alias("name")).agg(F.count_if(F.col("n_audio") == 0).alias("n_without"), F.count(F.lit(1)).alias("n"))
 
 
 @query("chat_json", f"WITH {FULL} SELECT sample_id, '[{{\"role\":\"user\",\"content\":' || to_json(task) || '}}]' AS line FROM full_rows WHERE task IS NOT NULL")
 def chat_json(spark, d):
     """K1: one JSON line a row."""
     m = F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("task").alias("content"))))
-    return full_rows(spark, d).filter("task is not null").select("sample_id", m.alias("line"))
+    return full_rows(spark, d, "task").filter("task is not null").select("sample_id", m.alias("line"))
 
 
 @query("mix_budget", draw_sql(0) + ", c AS (SELECT name, count(*) AS n FROM drawn GROUP BY name) SELECT task AS label, count(*) AS n_sets, sum(n)::bigint AS n_rows, round(100.0 * sum(n) / sum(sum(n)) OVER (), 4) AS share FROM c JOIN (SELECT * FROM (SELECT trim(name) AS name, task, row_number() OVER (PARTITION BY trim(name) ORDER BY spec_id) AS rn FROM dataset_specs WHERE split = 'train') WHERE rn = 1) t USING (name) GROUP BY task")
 def mix_budget(spark, d):
     """Rows an epoch and share by task."""
-    c = chosen(spark, d, 0).groupBy("name").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(specs(spark, d).select("name", "task")), "name")
+    c = chosen(spark, d, 0).groupBy("name").agg(F.count(F.lit(1)).alias("n")).join(specs(spark, d).select("name", "task"), "name")
     g = c.groupBy(F.col("task").alias("label")).agg(F.count(F.lit(1)).alias("n_sets"), F.sum("n").alias("n_rows"))
     return g.withColumn("share", F.round(100.0 * F.col("n_rows") / F.sum("n_rows").over(W.partitionBy()), 4))
 
@@ -180,14 +182,14 @@ def shard_probe(spark, d):
 @query("hours_inventory", f"WITH {FULL} SELECT coalesce(task, '?') AS task, coalesce(nullif(lower(trim(language)), ''), '?') AS lang, round(sum(CASE WHEN duration > 0 THEN duration ELSE 0 END) / 3600, 6) AS hours, count(*) AS n FROM full_rows GROUP BY CUBE (1, 2)".replace("GROUP BY CUBE (1, 2)", "GROUP BY CUBE (coalesce(task, '?'), coalesce(nullif(lower(trim(language)), ''), '?'))"))
 def hours_inventory(spark, d):
     """Hours and samples by task and language, with totals."""
-    f = full_rows(spark, d).select(F.coalesce("task", F.lit("?")).alias("task"), F.coalesce(F.nullif(F.lower(F.trim("language")), F.lit("")), F.lit("?")).alias("lang"), F.when(F.col("duration") > 0, F.col("duration")).otherwise(0.0).alias("s"))
+    f = full_rows(spark, d, "task", "language", "duration").select(F.coalesce("task", F.lit("?")).alias("task"), F.coalesce(F.nullif(F.lower(F.trim("language")), F.lit("")), F.lit("?")).alias("lang"), F.when(F.col("duration") > 0, F.col("duration")).otherwise(0.0).alias("s"))
     return f.cube("task", "lang").agg(F.round(F.sum("s") / 3600, 6).alias("hours"), F.count(F.lit(1)).alias("n"))
 
 
 @query("language_histogram", f"WITH {FULL} SELECT task, language, count(*) AS n FROM full_rows GROUP BY task, language ORDER BY n DESC, task NULLS FIRST, language NULLS FIRST LIMIT 60")
 def language_histogram(spark, d):
     """The 60 largest groups."""
-    return full_rows(spark, d).groupBy("task", "language").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("task"), F.asc_nulls_first("language")).limit(60)
+    return full_rows(spark, d, "task", "language").groupBy("task", "language").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("task"), F.asc_nulls_first("language")).limit(60)
 
 
 @query("label_canonical", f"WITH {FULL} SELECT sample_id, CASE lower(string_split(trim(language), '-')[1]) WHEN 'english' THEN 'en' WHEN 'eng' THEN 'en' WHEN 'malay' THEN 'ms' WHEN 'msa' THEN 'ms' WHEN 'chinese' THEN 'zh' WHEN 'zho' THEN 'zh' ELSE lower(string_split(trim(language), '-')[1]) END AS label FROM full_rows WHERE language IS NOT NULL")
@@ -195,7 +197,7 @@ def label_canonical(spark, d):
     """E5: one string a class, from a small map."""
     m = F.create_map(*[F.lit(x) for x in ("english", "en", "eng", "en", "malay", "ms", "msa", "ms", "chinese", "zh", "zho", "zh")])
     low = F.lower(F.split_part(F.trim("language"), F.lit("-"), F.lit(1)))
-    return full_rows(spark, d).filter("language is not null").select("sample_id", F.coalesce(F.try_element_at(m, low), low).alias("label"))
+    return full_rows(spark, d, "language").filter("language is not null").select("sample_id", F.coalesce(F.try_element_at(m, low), low).alias("label"))
 
 
 @query("multilabel_serialise", "SELECT trim(dataset) AS name, array_to_string(list_sort(list(DISTINCT task) FILTER (WHERE task IS NOT NULL)), '|') AS tasks FROM mds_samples GROUP BY 1")
@@ -233,7 +235,7 @@ def agreement_filter(spark, d):
     a = F.lower(F.split_part(F.trim("language"), F.lit("-"), F.lit(1)))
     b = F.regexp_extract(F.trim("dataset"), r"_([a-z]{2})_(?:\d+_)?[A-Z]+$", 1)
     route = F.when((F.coalesce(a, F.lit("")) == "") | (b == ""), "unknown").when(a == b, "keep").otherwise("review")
-    return full_rows(spark, d).groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n"))
+    return full_rows(spark, d, "language", "dataset").groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n"))
 
 
 CANDIDATES = ("harbour", "lantern", "kopi", "tiffin", "brass", "bamboo", "seawall", "ferry", "longtable", "raincheck")
@@ -254,7 +256,7 @@ def candidate_lists(spark, d):
 def leakage_exact(spark, d):
     """Equal texts of both sides by hash."""
     a = items(spark, d).filter("trim(coalesce(answer, '')) <> ''").select(F.md5(F.lower(F.trim("answer"))).alias("k"), "item_id", "set_name")
-    f = full_rows(spark, d).filter("response_text is not null").select(F.md5(F.lower(F.trim("response_text"))).alias("k"), "sample_id")
+    f = full_rows(spark, d, "response_text").filter("response_text is not null").select(F.md5(F.lower(F.trim("response_text"))).alias("k"), "sample_id")
     return a.join(f, "k").groupBy("set_name").agg(F.countDistinct("item_id").alias("n_items"), F.countDistinct("sample_id").alias("n_samples"))
 
 
@@ -341,7 +343,7 @@ def task_reward(spark, d):
 @query("short_clip_text", f"WITH {FULL} SELECT sample_id, CASE WHEN duration * 16000 < 500 THEN 'EMPTY' ELSE response_text END AS y FROM full_rows")
 def short_clip_text(spark, d):
     """the text of a clip under 500 samples."""
-    return full_rows(spark, d).select("sample_id", F.when(F.col("duration") * 16000 < 500, "EMPTY").otherwise(F.col("response_text")).alias("y"))
+    return full_rows(spark, d, "duration", "response_text").select("sample_id", F.when(F.col("duration") * 16000 < 500, "EMPTY").otherwise(F.col("response_text")).alias("y"))
 
 
 @query("disjoint_cover", draw_sql(0) + f", r AS (SELECT DISTINCT sample_id, sample_id % 3 AS part FROM drawn) SELECT (SELECT count(*) FROM r a JOIN r b ON a.sample_id = b.sample_id AND a.part < b.part) AS n_shared, (SELECT count(*) FROM r) - (SELECT count(DISTINCT sample_id) FROM drawn) AS n_missing")
@@ -359,6 +361,6 @@ def disjoint_cover(spark, d):
 def mix_yaml(spark, d):
     """K6: lines of a generated mix file, with counts as comments."""
     n = samples(spark, d).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    s = specs(spark, d).join(F.broadcast(n), "name", "left")
+    s = specs(spark, d).join(n, "name", "left")
     line = F.concat(F.lit("  - {name: "), F.col("name"), F.lit(", task: "), F.col("task"), F.coalesce(F.concat(F.lit(", choose: "), F.col("choose").cast("string")), F.coalesce(F.concat(F.lit(", repeat: "), F.col("repeat").cast("string")), F.lit(""))), F.lit("}  # "), F.coalesce(F.col("n"), F.lit(0)).cast("string"), F.lit(" samples"))
     return s.select("spec_id", line.alias("line"))

@@ -86,7 +86,7 @@ def sample_oversize(spark, d):
 def sample_repeat(spark, d):
     """int(repeat * size) rows."""
     only = specs(spark, d).filter("choose is null and repeat is not null").select("name")
-    return chosen(spark, d, 5).join(F.broadcast(only), "name").groupBy("name").agg(F.count(F.lit(1)).alias("n_drawn"), F.max("copy").alias("most"))
+    return chosen(spark, d, 5).join(only, "name").groupBy("name").agg(F.count(F.lit(1)).alias("n_drawn"), F.max("copy").alias("most"))
 
 
 @query(
@@ -210,7 +210,7 @@ SELECT set_name, item_id FROM placed WHERE rn <= CASE WHEN n < 0 THEN 9223372036
 def subset_n(spark, d):
     """Filter by length, then a keyed subset of n per set."""
     sets = table(spark, d, "eval_sets").select(F.col("name").alias("set_name"), "n", "max_audio_s")
-    kept = items(spark, d).join(F.broadcast(sets), "set_name").filter("max_audio_s is null or seconds <= max_audio_s")
+    kept = items(spark, d).join(sets, "set_name").filter("max_audio_s is null or seconds <= max_audio_s")
     kept = kept.withColumn("h", hashed(key(42, F.col("set_name"), F.col("item_id")))).withColumn("limit", F.when(F.col("n") < 0, F.lit(2**62)).otherwise(F.col("n")))
     return head(kept, "h", ["item_id"], "limit", ["set_name"]).select("set_name", "item_id")
 

@@ -37,21 +37,17 @@ def words_sql(x: str, pairs, title=False) -> str:
     return x
 
 
-NOSOUND = SQ.format("regexp_replace(x, '(?i)[(<](SPN|ppo|ppl|ppb|ppc|laugh|unk|unknown)[)>]', ' ', 'g')")
+NOSOUND = SQ.format("regexp_replace(replace(x, chr(10), ' '), '(?i)[(<](SPN|ppo|ppl|ppb|ppc|laugh|unk|unknown)[)>]', '', 'g')")
 text_query("normalize_nosound", t.remove_no_sound, NOSOUND)
 text_query("normalize_hashtag", t.remove_hash, SQ.format("replace(x, '#', ' ')"))
 text_query("normalize_speaker", t.add_speaker, "CASE WHEN regexp_matches(x, '<Speaker\\d>') THEN x ELSE '<Speaker1>: ' || x END")
-text_query("strip_speaker_tags", t.strip_speaker_tags, "trim(regexp_replace(x, '(?i)<speaker ?\\d+(,[MF])?>:?', ' ', 'g'))")
+text_query("strip_speaker_tags", t.strip_speaker_tags, "trim(regexp_replace(x, '(?i)<\\s*speaker\\s*\\d+\\s*(,\\s*[mf])?\\s*>\\s*:?', ' ', 'g'))")
 text_query("normalize_lower", t.lower_keep_speaker, "replace(lower(x), '<speaker', '<Speaker')")
-text_query("normalize_imda", t.unwrap_language, SQ.format("regexp_replace(regexp_replace(x, '<([a-z]+)>([^<]*)</[a-z]+>', '\\2', 'g'), '[(\\[<][a-z]{1,8}[)\\]>]', ' ', 'g')"))
-text_query(
-    "normalize_gigaspeech",
-    t.punctuation_tags,
-    SQ.format("regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '\\s*<COMMA>', ',', 'g'), '\\s*<PERIOD>', '.', 'g'), '\\s*<QUESTIONMARK>', '?', 'g'), '\\s*<EXCLAMATIONPOINT>', '!', 'g'), '<[A-Z_]+>', ' ', 'g')"),
-)
+text_query("normalize_language_wrappers", t.unwrap_language, SQ.format("regexp_replace(regexp_replace(x, '<(tamil|malay|mandarin)>([^<>:]*):?([^<>:]*)</(tamil|malay|mandarin)>', '\\2', 'g'), '\\s?[\\[(<][a-zA-Z]*[\\])>]\\s?', ' ', 'g')"))
+text_query("normalize_punctuation_tags", t.punctuation_tags, "replace(replace(replace(replace(regexp_replace(x, '<SIL>|<MUSIC>|<NOISE>|<OTHER>', '', 'g'), '<COMMA>', ','), '<PERIOD>', '.'), '<QUESTIONMARK>', '?'), '<EXCLAMATIONPOINT>', '!')")
 text_query("normalize_smoke", t.smoke, SQ.format("regexp_replace(replace(upper(x), '’', ''''), '[^A-Z0-9'' ]', ' ', 'g')"), "ascii")
 text_query("normalize_brackets", t.remove_bracketed, "regexp_replace(x, '[\\[({<][^\\[\\](){}<>]*[\\])}>]', '', 'g')")
-text_query("normalize_brackets_compat", lambda c: t.remove_bracketed(c, True), "regexp_replace(x, '[\\[({<][^\\[\\](){}<>n\\\\]*[\\])}>]', '', 'g')")
+text_query("normalize_brackets_compat", lambda c: t.remove_bracketed(c, True), "regexp_replace(x, '[\\[({<][^()\\\\n\\[\\]]*[\\])}>]', '', 'g')")
 text_query("normalize_nonspeech", t.remove_non_speech, SQ.format("regexp_replace(regexp_replace(x, '(^|[^A-Za-z0-9_])(uh|umm|um|er|ah)($|[^A-Za-z0-9_])', '\\1\\3', 'g'), '(^|[^A-Za-z0-9_])(uh|umm|um|er|ah)($|[^A-Za-z0-9_])', '\\1\\3', 'g')"), "ascii")
 text_query("normalize_space_cjk", t.space_out, SQ.format("regexp_replace(x, '([\\x{4e00}-\\x{9fff}\\x{0e00}-\\x{0e7f}])', ' \\1 ', 'g')"))
 text_query("normalize_symbols", t.symbols_and_marks, "regexp_replace(x, '[\\p{M}\\p{S}\\p{P}]', ' ', 'g')")
@@ -72,7 +68,7 @@ text_query("normalize_digits", t.digit_words, SQ.format(_contract(words_sql("low
 text_query("number_normalize", numbers.number_words, None)
 text_query("nfkd_clean", numbers.without_diacritics, None)
 text_query("english_normalize", numbers.english_text, None)
-text_query("fillers", lambda c: t.fillers(c, ["uh", "um", "erm", "hmm", "ah", "lah"]), None)
+text_query("fillers", t.fillers, None)
 text_query("tag_punct", t.punct_in_tags, None)
 text_query("correct_words", lambda c: t.correct_words(c, [("kopi o", "kopi-o"), ("mrt", "MRT")], [("hand phone", "handphone"), ("any how", "anyhow")]), None)
 
@@ -83,7 +79,7 @@ def case_flags(spark, d):
     return base(spark, d).select("sample_id", t.all_upper(F.col("x")).alias("all_upper"), t.all_lower(F.col("x")).alias("all_lower"), t.has_punctuation(F.col("x")).alias("has_punctuation"))
 
 
-SCRIPTS = "list_filter([CASE WHEN regexp_matches(x, '[\\x{4e00}-\\x{9fff}]') THEN 'zh' END, CASE WHEN regexp_matches(x, '[\\x{0e00}-\\x{0e7f}]') THEN 'th' END, CASE WHEN regexp_matches(x, '[\\x{0b80}-\\x{0bff}]') THEN 'ta' END, CASE WHEN regexp_matches(x, '[ăâđêôơưĂÂĐÊÔƠƯạ-ỹẠ-Ỹ]') THEN 'vi' END], lambda c: c IS NOT NULL)"
+SCRIPTS = "list_filter([CASE WHEN regexp_matches(x, '[\\x{4e00}-\\x{9fff}]') THEN 'zh' END, CASE WHEN regexp_matches(x, '[\\x{0e00}-\\x{0e7f}]') THEN 'th' END, CASE WHEN regexp_matches(x, '[\\x{0b80}-\\x{0bff}]') THEN 'ta' END, CASE WHEN regexp_matches(x, '[ĂăĐđĨĩŨũƠơƯưẠ-ỹ]') THEN 'vi' END], lambda c: c IS NOT NULL)"
 
 
 @query("script_detect", f"WITH {BASE} SELECT sample_id, array_to_string({SCRIPTS}, ',') AS scripts FROM base")
@@ -92,13 +88,25 @@ def script_detect(spark, d):
     return base(spark, d).select("sample_id", F.array_join(t.scripts(F.col("x")), ",").alias("scripts"))
 
 
-@query("language_tag", f"WITH {BASE} SELECT sample_id, '<speech_language: ' || CASE WHEN lower(language) = 'codeswitch' THEN CASE WHEN len({SCRIPTS}) > 0 THEN array_to_string({SCRIPTS}, ',') ELSE 'other' END ELSE lower(language) END || '> ' || x AS y FROM base")
+_NAMES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in t.LANGUAGE_NAMES.items()) + "}"
+
+
+@query("language_tag", f"WITH {BASE}, s AS (SELECT *, {SCRIPTS} AS sc, coalesce(language, 'unk') AS l FROM base) SELECT sample_id, '<speech_language: ' || CASE WHEN l = 'codeswitch' THEN 'English,' || CASE WHEN len(sc) > 0 THEN array_to_string(list_transform(sc, lambda k: map_extract({_NAMES}, k)[1]), ',') ELSE 'other' END ELSE coalesce(map_extract({_NAMES}, l)[1], 'Unknown') END || '>' || x AS y FROM s")
 def language_tag(spark, d):
-    """P17."""
+    """Tags with names."""
     return base(spark, d).select("sample_id", t.language_tag(F.col("x"), F.col("language")).alias("y"))
 
 
-@query("language_ids", f"WITH {BASE} SELECT sample_id, coalesce(map_extract(MAP {{{', '.join(f'{chr(39)}{k}{chr(39)}: {v}' for k, v in t.LANGUAGE_IDS.items())}}}, lower(trim(language)))[1], -1) AS language_id, string_split(language, '-')[1] AS base_language FROM base")
+_TOKENS = "MAP {" + ", ".join(f"'{k}': '{'<unused12>' if k in t.CHINESE_KIN else ''}<unused{v}>'" for k, v in t.LANGUAGE_IDS.items()) + "}"
+
+
+@query("language_token", f"WITH {BASE}, s AS (SELECT *, {SCRIPTS} AS sc, coalesce(language, 'unk') AS l FROM base) SELECT sample_id, coalesce(map_extract({_TOKENS}, l)[1], '<unused18>') || CASE WHEN l = 'codeswitch' THEN array_to_string(list_transform(sc, lambda k: map_extract({_TOKENS}, k)[1]), '') ELSE '' END || x AS y FROM s")
+def language_token(spark, d):
+    """Special tokens."""
+    return base(spark, d).select("sample_id", t.language_tag(F.col("x"), F.col("language"), False).alias("y"))
+
+
+@query("language_ids", f"WITH {BASE} SELECT sample_id, coalesce(map_extract(MAP {{{', '.join(f'{chr(39)}{k}{chr(39)}: {v}' for k, v in t.LANGUAGE_IDS.items())}}}, language)[1], -1) AS language_id, string_split(language, '-')[1] AS base_language FROM base")
 def language_ids(spark, d):
     """P2, P34."""
     return base(spark, d).select("sample_id", t.language_id(F.col("language")).alias("language_id"), t.base_language(F.col("language")).alias("base_language"))
@@ -115,7 +123,7 @@ def resolve_language(spark, d):
     from undertone.plans.sampling_queries import specs
 
     s = specs(spark, d).select("name", F.col("language").alias("mix"), "src_lang", "tgt_lang")
-    j = base(spark, d).join(F.broadcast(s), "name", "left")
+    j = base(spark, d).join(s, "name", "left")
     src, tgt, lang = t.resolve_languages(F.col("name"), F.col("language"), F.col("mix"), F.col("src_lang"), F.col("tgt_lang"))
     return j.select("sample_id", src.alias("src"), tgt.alias("tgt"), lang.alias("language"))
 
@@ -143,14 +151,28 @@ def tokenize_13a(spark, d):
 
 @query(
     "metric_routing",
-    """SELECT name, CASE WHEN contains(path, 'asr') AND lang IN ('zh', 'th') THEN 'cer' WHEN contains(path, 'asr') THEN 'wer' WHEN contains(path, 'st_') THEN 'bleu' ELSE 'judge' END AS metric, regexp_extract(path, '[^/]+$') AS dataset,
-CASE WHEN contains(path, 'st_') THEN regexp_extract(name, '_([a-z]{2})$', 1) ELSE lang END AS target FROM eval_sets""",
+    """SELECT spec_id, CASE WHEN contains(path, 'ASR/') THEN 'wer' WHEN contains(path, 'ST/') THEN 'bleu' WHEN contains(path, 'AC/') OR contains(path, 'AQA/') THEN 'meteor' END AS metric,
+CASE WHEN contains(path, 'ASR/') THEN CASE WHEN contains(lower(path), 'gigaspeech') THEN 'gigaspeech' WHEN contains(lower(path), 'imda') THEN 'imda' WHEN contains(lower(path), 'aishell') THEN 'aishell' ELSE 'default' END END AS dataset,
+CASE WHEN contains(path, 'ASR/') THEN CASE WHEN contains(lower(path), 'gigaspeech') THEN 'en' WHEN contains(lower(path), 'imda') THEN CASE WHEN contains(lower(path), 'part4') THEN 'en_zh_ms_ta' ELSE 'en' END WHEN contains(lower(path), 'aishell') THEN 'zh' ELSE 'en' END WHEN contains(path, 'ST/') AND contains(path, 'en_zh') THEN 'zh' END AS target FROM dataset_specs""",
 )
 def metric_routing(spark, d):
-    """Metric and unit by path and language."""
-    p, asr, st = F.col("path"), F.col("path").contains("asr"), F.col("path").contains("st_")
-    metric = F.when(asr & F.col("lang").isin("zh", "th"), "cer").when(asr, "wer").when(st, "bleu").otherwise("judge")
-    return table(spark, d, "eval_sets").select("name", metric.alias("metric"), F.regexp_extract(p, "[^/]+$", 0).alias("dataset"), F.when(st, F.regexp_extract("name", "_([a-z]{2})$", 1)).otherwise(F.col("lang")).alias("target"))
+    """Metric, dataset rule and target language by parts of the path."""
+    has = lambda x: F.contains("path", F.lit(x))
+    low = lambda x: F.contains(F.lower("path"), F.lit(x))
+    asr, st = has("ASR/"), has("ST/")
+    metric = F.when(asr, "wer").when(st, "bleu").when(has("AC/") | has("AQA/"), "meteor")
+    dataset = F.when(asr, F.when(low("gigaspeech"), "gigaspeech").when(low("imda"), "imda").when(low("aishell"), "aishell").otherwise("default"))
+    target = F.when(asr, F.when(low("gigaspeech"), "en").when(low("imda"), F.when(low("part4"), "en_zh_ms_ta").otherwise("en")).when(low("aishell"), "zh").otherwise("en")).when(st & has("en_zh"), "zh")
+    return table(spark, d, "dataset_specs").select("spec_id", metric.alias("metric"), dataset.alias("dataset"), target.alias("target"))
+
+
+@query("error_unit", "SELECT name, CASE WHEN lang IN ('zh', 'th', 'lo', 'km', 'my') THEN 'cer' WHEN lang = 'codeswitch' THEN 'mer' ELSE 'wer' END AS unit FROM eval_sets WHERE task = 'ASR'")
+def error_unit(spark, d):
+    """Unit of the error rate by language."""
+    from undertone.operators.metrics import CHARACTER_LANGUAGES
+
+    unit = F.when(F.col("lang").isin(*CHARACTER_LANGUAGES), "cer").when(F.col("lang") == "codeswitch", "mer").otherwise("wer")
+    return table(spark, d, "eval_sets").filter("task = 'ASR'").select("name", unit.alias("unit"))
 
 
 @query("model_out_name", "SELECT name, CASE WHEN processor IN ('base', 'none') THEN 'base' ELSE regexp_extract(path, '[^/]+$') END AS out_name FROM eval_sets")

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 SPLITS = ("train", "validation")
 SPEC_KEYS = ("name", "path", "task", "choose", "repeat", "weight", "language", "src_lang", "tgt_lang")
-DEFAULT_TOKENS = {"ASR": 512, "ST": 512, "SQA": 256, "SDS": 512, "PQA": 128}
+# Output tokens of a task, tokens a second of audio, chunk length.
+TASK_TOKENS = {"ASR": 384, "ST": 384, "SQA": 512, "SDS": 768, "PQA": 256}
+TASK_TOKENS_PER_S = {"ASR": 15, "ST": 15}
+TASK_CHUNK_S = {"ASR": 30.0, "ST": 30.0}
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,8 @@ class EvalSet:
     metrics: tuple[str, ...]
     processor: str = "generic"
     n: int = -1
-    max_new_tokens: int = 256
+    max_new_tokens: int = 384
+    tokens_per_s: float = 0.0
     lang: str | None = None
     strip_speaker_tags: bool = False
     max_audio_s: float | None = None
@@ -86,31 +90,37 @@ def load_mix(data: dict, exists=os.path.isdir) -> dict[str, list[DatasetSpec]]:
     return out
 
 
-def load_suite(data: dict, tier: str | None = None, only: list[str] | None = None) -> list[EvalSet]:
+def load_suite(data: dict, tier: str = "quick", only: list[str] | None = None, has_processor=lambda name: False) -> list[EvalSet]:
     """Sets with roots put in for the first part of their paths,
-    the tier's number or settings over the set's, and tier n = 0 left out."""
-    roots, tiers, tokens = data.get("roots") or {}, data.get("tiers") or {}, DEFAULT_TOKENS | (data.get("max_new_tokens") or {})
-    if tier and tier not in tiers:
+    the tier's number or settings over the set's, tier n = 0 left out, and the
+    task's defaults where the set says nothing. ``has_processor`` tells which
+    names have a processor module of their own. Unknown keys go to ``extra``."""
+    roots, tiers = data.get("roots") or {}, data.get("tiers") or {"quick": 200, "full": -1}
+    tokens = TASK_TOKENS | (data.get("max_new_tokens") or {})
+    if tier not in tiers:
         raise SpecError([f"unknown tier {tier}"])
     problems, out = [], []
     known = {f for f in EvalSet.__dataclass_fields__ if f != "extra"}
     for e in data.get("datasets") or []:
-        first, _, rest = e["path"].partition("/")
-        v = {"n": tiers.get(tier, -1)} | {k: x for k, x in e.items() if k not in tiers}
-        over = e.get(tier) if tier else None
-        v |= over if isinstance(over, dict) else {"n": over} if over is not None else {}
+        if only and e["name"] not in only:
+            continue
+        over = e.get(tier)
+        over = over if isinstance(over, dict) else {} if over is None else {"n": over}
+        v = {"n": tiers[tier]} | {k: x for k, x in e.items() if k not in tiers} | over
         if v["n"] == 0:
             continue
-        v["path"] = os.path.join(roots.get(first, first), rest)
-        v.setdefault("processor", "audiobench" if "audiobench" in v["path"] else "generic")
-        v.setdefault("max_new_tokens", tokens.get(e["task"], 256))
-        if e["task"].startswith("ASR") and not v.get("lang"):
+        first, _, rest = e["path"].partition("/")
+        v["path"] = os.path.join(roots[first], rest) if first in roots else e["path"]
+        metrics = v.pop("metric", v.pop("metrics", ()))
+        v["metrics"] = (metrics,) if isinstance(metrics, str) else tuple(metrics)
+        task = e["task"]
+        for k, x in (("processor", "audiobench" if has_processor(e["name"]) else "generic"), ("max_new_tokens", tokens.get(task, 384)), ("tokens_per_s", TASK_TOKENS_PER_S.get(task, 0)), ("chunk_s", TASK_CHUNK_S.get(task))):
+            v.setdefault(k, x)
+        if task == "ASR" and not v.get("lang") and {"wer", "cer"} & set(v["metrics"]):
             problems.append(f"{e['name']}: ASR without lang")
-        v["metrics"] = tuple(v.get("metrics") or ())
         out.append(EvalSet(**{k: x for k, x in v.items() if k in known}, extra={k: x for k, x in v.items() if k not in known}))
     if only:
         problems += [f"no set {n}" for n in only if n not in {s.name for s in out}]
-        out = [s for s in out if s.name in only]
     if problems:
         raise SpecError(problems)
     return out
@@ -143,5 +153,5 @@ def mix_frame(spark: SparkSession, mix: dict[str, list[DatasetSpec]]) -> DataFra
 
 
 def suite_frame(spark: SparkSession, sets: list[EvalSet]) -> DataFrame:
-    rows = [tuple(list(v) if k == "metrics" else {a: str(b) for a, b in v.items()} if k == "extra" else v for k, v in asdict(s).items()) for s in sets]
-    return spark.createDataFrame(rows, "name string, path string, task string, metrics array<string>, processor string, n int, max_new_tokens int, lang string, strip_speaker_tags boolean, max_audio_s double, chunk_s double, min_ref_rate double, extra map<string,string>")
+    rows = [tuple(float(v) if k == "tokens_per_s" else list(v) if k == "metrics" else {a: str(b) for a, b in v.items()} if k == "extra" else v for k, v in asdict(s).items()) for s in sets]
+    return spark.createDataFrame(rows, "name string, path string, task string, metrics array<string>, processor string, n int, max_new_tokens int, tokens_per_s double, lang string, strip_speaker_tags boolean, max_audio_s double, chunk_s double, min_ref_rate double, extra map<string,string>")
