@@ -154,5 +154,5 @@ def encode_wav(x: Column) -> Column:
 
 
 def seconds_of(data: Column, n_bytes: Column | None = None) -> Column:
-    """Bytes / 32,000 where nothing better is known, at least 0."""
-    return (n_bytes if n_bytes is not None else F.length(data)) / 32000.0
+    """Bytes / 32,000 where no header is read, 30 without bytes."""
+    return F.coalesce((n_bytes if n_bytes is not None else F.length(data)) / 32000.0, F.lit(30.0))

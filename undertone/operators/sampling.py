@@ -63,7 +63,7 @@ def replacements(rows: DataFrame, position: str, bad: Column, tries: int = MAX_T
     own = F.floor(F.col("p") / block)
     context = r.filter((F.col("p") % block < tries)).withColumn("blk", F.when(F.col("p") < tries, F.floor((F.col("n") - 1) / block)).otherwise(own - 1)).withColumn("at", F.when(F.col("p") < tries, F.col("p") + F.col("n")).otherwise(F.col("p")))
     every = r.withColumn("blk", own).withColumn("at", F.col("p")).withColumn("ctx", F.lit(False)).unionByName(context.withColumn("ctx", F.lit(True)))
-    over = W.partitionBy("blk").orderBy("at").rowsBetween(0, tries)
+    over = W.partitionBy("blk").orderBy("at").rowsBetween(0, tries - 1)
     good = F.first(F.when(~F.col("bad"), F.col("at")), ignorenulls=True).over(over)
     return every.withColumn("g", good).filter("not ctx").select(F.col("p").alias(position), "bad", F.pmod("g", F.col("n")).alias("served"))
 

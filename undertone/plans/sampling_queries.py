@@ -170,7 +170,7 @@ BAD = "(text IS NULL OR text = '')"
     """WITH s AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS id, t IS NULL OR t = '' AS bad FROM (SELECT sample_id, max(response_text) AS t FROM mds_samples GROUP BY sample_id)),
 n AS (SELECT count(*) AS n FROM s),
 twice AS (SELECT id AS place, bad FROM s UNION ALL SELECT id + n, bad FROM s, n WHERE id < 16),
-nxt AS (SELECT place, first_value(CASE WHEN bad THEN NULL ELSE place END IGNORE NULLS) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND 16 FOLLOWING) AS g FROM twice)
+nxt AS (SELECT place, first_value(CASE WHEN bad THEN NULL ELSE place END IGNORE NULLS) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS g FROM twice)
 SELECT s.id, s.bad, g % n AS served FROM s JOIN nxt ON nxt.place = s.id, n""",
 )
 def replace_bad(spark, d):
