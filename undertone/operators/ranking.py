@@ -17,18 +17,24 @@ def _bucketed(df: DataFrame, h: str, bits: int) -> DataFrame:
     return df.withColumn("__b", F.shiftright(F.col(h), BITS - bits).cast("int"))
 
 
-def positions(df: DataFrame, h: str, ties: list[str], group: list[str] | None = None, into: str = "position", bits: int = 12) -> DataFrame:
-    """``into``: the 0-based place of each row in its group's order by (h, ties)."""
+def positions(df: DataFrame, h: str, ties: list[str], group: list[str] | None = None, into: str = "position", bits: int = 12, total: str | None = None) -> DataFrame:
+    """``into``: the 0-based place of each row in its group's order by (h, ties);
+    ``total``: the rows of its group, from the same counts."""
     group = group or []
     b = _bucketed(df, h, bits)
     counts = b.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__n"))
     over = W.partitionBy(*group).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(over), F.lit(0))).drop("__n")
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(over), F.lit(0)))
+    extra = []
+    if total:
+        counts = counts.withColumn(total, F.sum("__n").over(W.partitionBy(*group)))
+        extra = [f"r.{total}"]
+    counts = counts.drop("__n")
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, "__b"]]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    j = b.alias("l").join(counts.alias("r"), cond).select("l.*", "r.__before")
+    j = b.alias("l").join(counts.alias("r"), cond).select("l.*", "r.__before", *extra)
     rank = F.row_number().over(W.partitionBy(*group, "__b").orderBy(h, *ties))
     return j.withColumn(into, F.col("__before") + rank - 1).drop("__b", "__before")
 

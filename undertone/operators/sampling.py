@@ -16,27 +16,30 @@ def epoch_hash(seed: int, epoch: int, group: Column, sample: Column, purpose: st
     return hashed(key(seed + epoch, group, sample, purpose))
 
 
-def draw(rows: DataFrame, sizes: DataFrame, group: str, sample: str, seed: int, epoch: int | None) -> DataFrame:
-    """``sizes`` (group, n) rows of every group: floor(n / m) whole copies of
-    its m rows and the first n mod m of the keyed order once more.
-
-    ``epoch`` None draws the same rows in every epoch. A group without rows or
-    with n null or not positive gives none; copies are numbered from 0.
+def draw(rows: DataFrame, sizes: DataFrame, group: str, sample: str, seed: int, epoch: int | None, n: Column | None = None) -> DataFrame:
+    """``n`` rows of every group: floor(n / m) whole copies of its m rows and
+    the first n mod m of the keyed order once more.
+
+    ``sizes`` (one row a group) has the column n, or what the expression ``n``
+    uses beside the group's size ``__m``. ``epoch`` None draws the same rows in
+    every epoch. A group without rows or with n null or not positive gives
+    none; copies are numbered from 0. The rows are read for their order and
+    for one count of their buckets.
     """
-    counted = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__m"))
-    want = sizes.filter("n > 0").join(counted, group)
     keyed = rows.withColumn("__h", epoch_hash(seed, epoch or 0, F.col(group), F.col(sample)))
-    placed = positions(keyed, "__h", [sample], [group], "__pos").join(want, group)
-    whole = F.floor(F.col("n") / F.col("__m"))
-    times = whole + F.when(F.col("__pos") < F.col("n") - whole * F.col("__m"), 1).otherwise(0)
-    return placed.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1)).otherwise(F.array().cast("array<bigint>")))).drop("__h", "__pos", "n", "__m")
+    placed = positions(keyed, "__h", [sample], [group], "__pos", total="__m").join(sizes, group)
+    rest = [c for c in sizes.columns if c != group]
+    placed = placed.withColumn("__want", n if n is not None else F.col("n")).filter("__want > 0")
+    whole = F.floor(F.col("__want") / F.col("__m"))
+    times = whole + F.when(F.col("__pos") < F.col("__want") - whole * F.col("__m"), 1).otherwise(0)
+    return placed.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(0).cast("long"), times - 1)).otherwise(F.array().cast("array<bigint>")))).drop("__h", "__pos", "__m", "__want", *rest)
 
 
 def epoch_order(drawn: DataFrame, group: str, sample: str, seed: int, epoch: int) -> DataFrame:
     """``position`` of every drawn row in the epoch, before any partitioning,
-    so it does not depend on the number of ranks."""
+    so it does not depend on the number of ranks; ``total``, the epoch's length."""
     h = hashed(key(seed + epoch, F.col(group), F.col(sample), F.col("copy"), "order"))
-    return positions(drawn.withColumn("__h", h), "__h", [sample, "copy"]).drop("__h")
+    return positions(drawn.withColumn("__h", h), "__h", [sample, "copy"], total="total").drop("__h")
 
 
 def ranked(ordered: DataFrame, world: int, total: Column | int) -> DataFrame:

@@ -30,10 +30,8 @@ def specs(spark: SparkSession, d: str) -> DataFrame:
 
 def chosen(spark: SparkSession, d: str, epoch: int | None, seed: int = SEED) -> DataFrame:
     """Draw of the mix: choose, else int(repeat * size), else all once."""
-    rows = samples(spark, d)
-    sizes = rows.groupBy("name").agg(F.count(F.lit(1)).alias("m"))
-    n = F.coalesce("choose", F.floor(F.col("repeat") * F.col("m")), F.col("m"))
-    return sampling.draw(rows, specs(spark, d).join(sizes, "name").select("name", n.alias("n")), "name", "sample_id", seed, epoch)
+    n = F.coalesce("choose", F.floor(F.col("repeat") * F.col("__m")), F.col("__m"))
+    return sampling.draw(samples(spark, d), specs(spark, d).select("name", "choose", "repeat"), "name", "sample_id", seed, epoch, n)
 
 
 DRAW = f"""WITH {SAMPLES}, {SPECS}, {SIZES},
@@ -74,8 +72,7 @@ SELECT name, count(*) AS n_drawn, count(DISTINCT sample_id) AS n_distinct, sum(C
 def sample_oversize(spark, d):
     """G1: more than a dataset holds gives whole copies and a remainder."""
     rows = samples(spark, d)
-    want = rows.groupBy("name").agg(F.count(F.lit(1)).alias("m")).select("name", (F.col("m") + F.floor(F.col("m") / 2) + 1).alias("n"))
-    drawn = sampling.draw(rows, want, "name", "sample_id", SEED, 3)
+    drawn = sampling.draw(rows, rows.select("name").distinct(), "name", "sample_id", SEED, 3, F.col("__m") + F.floor(F.col("__m") / 2) + 1)
     return drawn.groupBy("name").agg(F.count(F.lit(1)).alias("n_drawn"), F.countDistinct("sample_id").alias("n_distinct"), F.sum(F.when(F.col("copy") > 0, F.col("sample_id") % 1009).otherwise(0)).alias("checksum"))
 
 
@@ -120,10 +117,6 @@ def ordered(spark, d, epoch=0):
     return sampling.epoch_order(chosen(spark, d, epoch), "name", "sample_id", SEED, epoch)
 
 
-def with_total(df):
-    return df.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("total"))))
-
-
 @query("epoch_order", order_sql(0) + " SELECT name, sample_id, copy, position FROM ordered")
 def epoch_order(spark, d):
     """The order of an epoch, fixed before any partitioning."""
@@ -133,7 +126,7 @@ def epoch_order(spark, d):
 @query("rank_partition", order_sql(0) + " SELECT sample_id, copy, position % 4 AS rank, position // 4 AS slot FROM ordered WHERE position // 4 < (SELECT count(*) FROM ordered) // 4")
 def rank_partition(spark, d):
     """Four ranks, equal, disjoint, covering but for the remainder."""
-    return sampling.ranked(with_total(ordered(spark, d)), 4, F.col("total")).select("sample_id", "copy", "rank", "slot")
+    return sampling.ranked(ordered(spark, d), 4, F.col("total")).select("sample_id", "copy", "rank", "slot")
 
 
 @query(
@@ -157,7 +150,7 @@ def partition_audit(spark, d):
 @query("resume_tail", order_sql(0) + " SELECT sample_id, copy, (position - 100) // 8 AS batch FROM ordered WHERE position >= 100 AND position < 100 + ((SELECT count(*) FROM ordered) - 100) // 8 * 8")
 def resume_tail(spark, d):
     """Full batches of eight after the first 100 samples."""
-    o = with_total(ordered(spark, d))
+    o = ordered(spark, d)
     last = 100 + F.floor((F.col("total") - 100) / 8) * 8
     return o.filter((F.col("position") >= 100) & (F.col("position") < last)).select("sample_id", "copy", F.floor((F.col("position") - 100) / 8).alias("batch"))
 
