@@ -83,19 +83,22 @@ def canonical_sql(column: str, chars: set[str], lines: bool = True) -> str:
     one line break (a space with ``lines=False``).
     """
     one, many = _tables()
-    e = column
-    here = sorted(c for c in chars if c in one or c in INVISIBLE)
-    here.sort(key=lambda c: c in INVISIBLE)  # characters without a partner are removed
-    if here:
-        e = f"translate({e}, {_quote(''.join(here))}, {_quote(''.join(one[c] for c in here if c in one))})"
+
+    def translated(e: str, here: list[str]) -> str:
+        here.sort(key=lambda c: (c in INVISIBLE, c))  # characters without a partner are removed
+        return f"translate({e}, {_quote(''.join(here))}, {_quote(''.join(one[c] for c in here if c in one))})" if here else e
+
+    treated = [c for c in chars if c in one or c in INVISIBLE]
+    plain = translated(column, [c for c in treated if c.isascii()])
+    e = translated(plain, [c for c in treated if not c.isascii()])
     for ch in sorted(chars & many.keys()):
         e = f"replace({e}, {_quote(ch)}, {_quote(many[ch])})"
     if "\u200d" in chars:  # a joiner inside a word
         e = rf"regexp_replace({e}, '([\p{{L}}\p{{M}}])\x{{200d}}+', '\1', 'g')"
     if "\u0e4d" in chars:  # Thai sara am written as two signs
         e = f"regexp_replace({e}, '\u0e4d([\u0e48-\u0e4b]?)\u0e32', '\\1\u0e33', 'g')"
-    if not all(c.isascii() for c in chars):
-        e = f"nfc_normalize({e})"
+    if not all(c.isascii() for c in chars):  # texts of plain letters are spared
+        e = f"CASE WHEN strlen({plain}) = length({plain}) THEN {plain} ELSE nfc_normalize({e}) END"
     if chars & set("\n" + LINE_ENDS):
         e = rf"regexp_replace({e}, ' *\n\s*', chr(10), 'g')" if lines else f"replace({e}, chr(10), ' ')"
     return f"trim(regexp_replace({e}, '  +', ' ', 'g'), ' ' || chr(10))"
