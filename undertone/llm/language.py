@@ -344,7 +344,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = specs.filter("split = 'train'").withColumn("name", F.trim("name")).filter("name is not null")
     entry = entry.withColumn("rn", F.row_number().over(W.partitionBy("name").orderBy("spec_id"))).filter("rn = 1")
     entry = entry.select("name", label(F.col("language")).alias("own"))
-    named = samples.withColumn("name", F.trim("dataset")).join(F.broadcast(entry), "name", "left").filter("sample_id is not null")
+    named = samples.select("sample_id", "language", "response_text", F.trim("dataset").alias("name")).join(entry, "name", "left").filter("sample_id is not null")
     keyed = named.select(F.struct("sample_id", F.coalesce(label(F.col("language")), "own", F.lit("")).alias("label")).alias("k"), "response_text")
     found = passages(keyed, "k", "response_text", fitted)
     return found.filter("language <> k.label").select("k.sample_id", "language").distinct()

@@ -182,5 +182,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_by_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaked test items and documents holding them, per evaluation set."""
     sets = table(spark, sf_dir, "heldout_passages").select("passage_id", "set_name")
-    hits = p9_found(spark, sf_dir).join(F.broadcast(sets), "passage_id")
+    hits = p9_found(spark, sf_dir).join(sets, "passage_id")
     return hits.groupBy("set_name").agg(F.countDistinct("passage_id").alias("n_items"), F.countDistinct("doc_id").alias("n_docs"))
