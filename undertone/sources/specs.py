@@ -90,11 +90,11 @@ def load_mix(data: dict, exists=os.path.isdir) -> dict[str, list[DatasetSpec]]:
     return out
 
 
-def load_suite(data: dict, tier: str = "quick", only: list[str] | None = None, has_processor=lambda name: False) -> list[EvalSet]:
+def load_suite(data: dict, tier: str = "quick", only: list[str] | None = None, processor_of=lambda name: None) -> list[EvalSet]:
     """Sets with roots put in for the first part of their paths,
     the tier's number or settings over the set's, tier n = 0 left out, and the
-    task's defaults where the set says nothing. ``has_processor`` tells which
-    names have a processor module of their own. Unknown keys go to ``extra``."""
+    task's defaults where the set says nothing. ``processor_of`` names the
+    processor module of a set that has its own. Unknown keys go to ``extra``."""
     roots, tiers = data.get("roots") or {}, data.get("tiers") or {"quick": 200, "full": -1}
     tokens = TASK_TOKENS | (data.get("max_new_tokens") or {})
     if tier not in tiers:
@@ -114,7 +114,7 @@ def load_suite(data: dict, tier: str = "quick", only: list[str] | None = None, h
         metrics = v.pop("metric", v.pop("metrics", ()))
         v["metrics"] = (metrics,) if isinstance(metrics, str) else tuple(metrics)
         task = e["task"]
-        for k, x in (("processor", "audiobench" if has_processor(e["name"]) else "generic"), ("max_new_tokens", tokens.get(task, 384)), ("tokens_per_s", TASK_TOKENS_PER_S.get(task, 0)), ("chunk_s", TASK_CHUNK_S.get(task))):
+        for k, x in (("processor", processor_of(e["name"]) or "generic"), ("max_new_tokens", tokens.get(task, 384)), ("tokens_per_s", TASK_TOKENS_PER_S.get(task, 0)), ("chunk_s", TASK_CHUNK_S.get(task))):
             v.setdefault(k, x)
         if task == "ASR" and not v.get("lang") and {"wer", "cer"} & set(v["metrics"]):
             problems.append(f"{e['name']}: ASR without lang")
