@@ -27,6 +27,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -72,26 +73,12 @@ def comparable_sql(column: str, chars: set[str]) -> str:
     return rf"trim(regexp_replace({e}, '\b(uh|um|umm|erm|hmm)\b( |$)', '', 'g'))"
 
 
+_TOKEN = re.compile("[฀-๿⺀-鿿]|[^฀-๿⺀-鿿 ]+")
+
+
 def tokens(text: str) -> list[str]:
     """Words; of Chinese and Thai the characters."""
-    if text.isascii():
-        return text.split(" ") if text else []
-    out: list[str] = []
-    for w in text.split(" "):
-        if w.isascii():
-            if w:
-                out.append(w)
-            continue
-        at = 0
-        for i, ch in enumerate(w):
-            if "฀" <= ch <= "๿" or "⺀" <= ch <= "鿿":
-                if at < i:
-                    out.append(w[at:i])
-                out.append(ch)
-                at = i + 1
-        if at < len(w):
-            out.append(w[at:])
-    return out
+    return _TOKEN.findall(text) if not text.isascii() else text.split(" ") if text else []
 
 
 def by_character(ts: list[str]) -> bool:
@@ -112,14 +99,14 @@ class Hasher:
     def hashes(self, ts: list[str]) -> np.ndarray:
         import xxhash
 
-        known, out = self.known, []
+        known = self.known
         if len(known) > 500_000:
             known.clear()
-        for t in ts:
-            h = known.get(t)
-            if h is None:
-                h = known[t] = xxhash.xxh3_64_intdigest(t)
-            out.append(h)
+        out = list(map(known.get, ts))
+        if None in out:
+            for i, h in enumerate(out):
+                if h is None:
+                    out[i] = known[ts[i]] = xxhash.xxh3_64_intdigest(ts[i])
         return np.array(out, np.uint64)
 
     #: Powers of the base and of its inverse, longer as needed.
@@ -474,7 +461,7 @@ def scan(texts: DataFrame, single: np.ndarray, double: np.ndarray, lengths: list
     """(key, sk, n, norm, hits, found) of every training text: its class, the
     entries that may be listed with the places of their terms, and its matches
     in the block. ``norm`` is kept only beside hits."""
-    shared = texts.sparkSession.sparkContext.broadcast((single, double, lengths, block))
+    shared = texts.sparkSession.sparkContext.broadcast((single, double, lengths, Block(block)))
     match = T.ArrayType(T.StructType([T.StructField("ek", T.BinaryType()), T.StructField("edits", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
     match_type = pa.list_(pa.struct([("ek", pa.binary()), ("edits", pa.int32()), ("cosine", pa.float64())]))
     names = ("h", "one", "two")
@@ -539,8 +526,7 @@ def scan(texts: DataFrame, single: np.ndarray, double: np.ndarray, lengths: list
         import xxhash
 
         hasher = Hasher()
-        single, double, lengths, answers = shared.value
-        block = Block(answers)
+        single, double, lengths, block = shared.value
         for batch in batches:
             norms = batch.column(1).to_pylist()
             sizes, o, e, a, b, matched = look_up([tokens(t) for t in norms], hasher, single, double, lengths, block)
