@@ -65,6 +65,10 @@ def _contract(x: str) -> str:
 
 
 text_query("normalize_digits", t.digit_words, SQ.format(_contract(words_sql("lower(x)", t.DIGITS))), "ascii")
+# The SQL of these four reads ASCII rows only (its word edges and upper() are
+# not those of other scripts); the same functions over every row have no SQL.
+for _name, _f in (("normalize_smoke", t.smoke), ("normalize_nonspeech", t.remove_non_speech), ("apostrophes", t.apostrophes), ("normalize_digits", t.digit_words)):
+    text_query(f"{_name}_all", _f, None)
 text_query("number_normalize", numbers.number_words, None)
 text_query("nfkd_clean", numbers.without_diacritics, None)
 text_query("english_normalize", numbers.english_text, None)
