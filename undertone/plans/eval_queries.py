@@ -50,6 +50,13 @@ def cer_ascii(spark, d):
     return m.cer(p, ["set_name"], "answer", "hyp").select("set_name", "edits", "n_ref")
 
 
+@query("cer")
+def cer(spark, d):
+    """A3: character error rate per run and set, over answers in any script.
+    No SQL: DuckDB's levenshtein counts bytes."""
+    return m.cer(predictions(spark, d), ["run", "set_name"], "answer", "hyp").select("run", "set_name", "edits", "n_ref", F.round("value", 6).alias("value"))
+
+
 @query("mer")
 def mer(spark, d):
     """Mixed unit."""
