@@ -1,6 +1,6 @@
 """Queries that once took a part of their rows or steps, on small fixtures."""
 
-from undertone.plans import catalogue, eval_queries
+from undertone.plans import catalogue, eval_queries, row_queries
 
 
 def distance(a, b):
@@ -23,3 +23,10 @@ def test_cer_of_every_script(spark, sf, monkeypatch):
         want[name] = (e + distance(r, h), n + len(r))
     got = {r["set_name"]: (r["edits"], r["n_ref"]) for r in catalogue.queries()["cer"](spark, sf).collect()}
     assert got == want
+
+
+def test_every_line_of_a_transcript(spark, sf, monkeypatch):
+    docs = [(1, "a-1 HELLO  THERE\na-2 你好 吗\r\n\n a-3 x \nalone"), (2, "b-1 one"), (3, None)]
+    monkeypatch.setattr(row_queries, "table", lambda *_: spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(tuple(r) for r in catalogue.queries()["transcript_all_lines"](spark, sf).collect())
+    assert got == [(1, 1, "a-1", "HELLO  THERE"), (1, 2, "a-2", "你好 吗"), (1, 4, "a-3", "x"), (2, 1, "b-1", "one")]

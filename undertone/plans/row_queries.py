@@ -324,6 +324,19 @@ def transcript_lines(spark, d):
     return x.select("doc_id", p[0].alias("uid"), p[1].alias("rest"))
 
 
+_EDGE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
+
+
+@query("transcript_all_lines", f"SELECT doc_id, line_no, string_split(l, ' ')[1] AS uid, substr(l, length(string_split(l, ' ')[1]) + 2) AS rest FROM (SELECT doc_id, k AS line_no, regexp_replace(regexp_replace(ls[k], '^{_EDGE}', ''), '{_EDGE}$', '') AS l FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT doc_id, string_split_regex(text, '\r\n|\r|\n') AS ls FROM documents WHERE text IS NOT NULL))) WHERE contains(l, ' ')")
+def transcript_all_lines(spark, d):
+    """Id and text of every line of a document, without blanks at its
+    ends and split once at the first blank; a line without one has no text."""
+    x = table(spark, d, "documents").filter("text is not null").select("doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n", -1)).alias("k", "l"))
+    l = F.regexp_replace(F.regexp_replace("l", f"^{_EDGE}", ""), rf"{_EDGE}\z", "")  # noqa: E741
+    p = F.split("l", " ", 2)
+    return x.select("doc_id", (F.col("k") + 1).alias("line_no"), l.alias("l")).filter(F.contains("l", F.lit(" "))).select("doc_id", "line_no", p[0].alias("uid"), p[1].alias("rest"))
+
+
 @query("condition_intersect", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id FROM events WHERE event_type = (SELECT min(event_type) FROM events) INTERSECT SELECT DISTINCT user_id FROM events WHERE event_type = (SELECT max(event_type) FROM events))")
 def condition_intersect(spark, d):
     """Keys that both conditions have."""
