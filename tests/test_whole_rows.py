@@ -1,5 +1,9 @@
 """Queries that once took a part of their rows or steps, on small fixtures."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from undertone.functions import text as t
 from undertone.plans import catalogue, eval_queries, row_queries
 
 
@@ -30,3 +34,17 @@ def test_every_line_of_a_transcript(spark, sf, monkeypatch):
     monkeypatch.setattr(row_queries, "table", lambda *_: spark.createDataFrame(docs, "doc_id long, text string"))
     got = sorted(tuple(r) for r in catalogue.queries()["transcript_all_lines"](spark, sf).collect())
     assert got == [(1, 1, "a-1", "HELLO  THERE"), (1, 2, "a-2", "你好 吗"), (1, 4, "a-3", "x"), (2, 1, "b-1", "one")]
+
+
+@pytest.mark.parametrize(
+    "given, lang, want",
+    [
+        ("I dont like #kopi-o_kosong# (SPN)", "en", "<Speaker1>: I don't like kopi o kosong"),
+        ("my hand phone #mrt-station#", "ms", "<Speaker1>: my handphone #mrt station#"),
+        ("#teh,_tarik# dont", "ms", "<Speaker1>: #teh tarik# dont"),
+        ("#1, a-b# c", "ms", "<Speaker1>: #1, a-b# c"),
+    ],
+)
+def test_standardize_whole_chain(spark, given, lang, want):
+    df = spark.createDataFrame([(given, "ASR", lang)], "x string, t string, l string")
+    assert df.select(t.standardize(F.col("x"), F.col("t"), F.col("l"))).first()[0] == want
