@@ -20,8 +20,8 @@ def test_cer_and_mer(spark):
 def test_bleu_perfect_and_short(spark):
     df = spark.createDataFrame([(1, "the cat sat on the mat today"), (2, "a b c d e")], "k long, r string")
     w = F.split("r", " ")
-    assert abs(m.bleu(df, [], "k", w, w).first()["value"] - 100) < 1e-9
-    assert m.bleu(df, [], "k", w, F.slice(w, 1, 3)).first()["value"] == 0.0
+    assert abs(m.bleu(df, [], F.array(w), w).first()["value"] - 100) < 1e-9
+    assert m.bleu(df, [], F.array(w), F.slice(w, 1, 3)).first()["value"] == 0.0
 
 
 def test_registry():
@@ -63,3 +63,34 @@ def test_islands(spark):
 def test_run_order(spark):
     df = spark.createDataFrame([(r,) for r in ("zeta", "checkpoint-100", "base", "checkpoint-20", "alpha")], "r string")
     assert [x["r"] for x in df.orderBy(*ev.run_order(F.col("r"))).collect()] == ["base", "checkpoint-20", "checkpoint-100", "alpha", "zeta"]
+
+
+def test_bleu_of_several_references(spark):
+    """Against a plain count: clipping by the largest count over references and
+    the closest reference length."""
+    import math
+    from collections import Counter
+
+    rows = [("the the cat sat on", ["the cat sat on the mat", "the the dog sat"]), ("a b c d e", ["a b c d e f"]), ("", ["x y"])]
+    df = spark.createDataFrame([(h, r) for h, r in rows], "h string, r array<string>")
+    tok = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
+    got = m.bleu(df, [], F.transform("r", tok), tok(F.col("h"))).first()
+    hits, total, rl, hl = [0] * 5, [0] * 5, 0, 0
+    for h, rs in rows:
+        h, rs = h.split(), [r.split() for r in rs]
+        rl += min((abs(len(r) - len(h)), len(r)) for r in rs)[1]
+        hl += len(h)
+        for n in range(1, 5):
+            grams = lambda t: Counter(tuple(t[i : i + n]) for i in range(len(t) - n + 1))  # noqa: B023, E731
+            most = Counter()
+            for r in rs:
+                most |= grams(r)
+            hits[n] += sum((grams(h) & most).values())
+            total[n] += sum(grams(h).values())
+    want = 100 * min(1, math.exp(1 - rl / hl)) * math.exp(sum(math.log(hits[n] / total[n]) for n in range(1, 5)) / 4)
+    assert (got["ref_len"], got["hyp_len"]) == (rl, hl) and abs(got["value"] - want) < 1e-9
+
+
+def test_bleu_tokens(spark):
+    df = spark.createDataFrame([("你好, world.",), (None,)], "x string")
+    assert [r[0] for r in df.select(m.bleu_tokens(F.col("x"), "zh")).collect()] == [["你", "好", ",", "world", "."], []]

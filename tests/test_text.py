@@ -15,7 +15,7 @@ CASES = [
     (t.add_speaker, "<Speaker2>: hi", "<Speaker2>: hi"),
     (t.unwrap_language, "<malay>apa ini: note</malay> (err) [Um]ok", "apa ini ok"),
     (t.punctuation_tags, "HELLO <COMMA> YOU<SIL> THERE <PERIOD>", "HELLO , YOU THERE ."),
-    (t.digit_words, "Twenty dogs won't eat one", "20 dogs will not eat 1"),
+    (t.digit_words, "20 dogs don't eat 1 or 21", "twenty dogs do not eat one or 21"),
     (t.remove_bracketed, "a (noise) b", "a  b"),
     (lambda c: t.remove_bracketed(c, True), "a (noise) (um) b", "a (noise)  b"),
     (lambda c: t.remove_bracketed(c, True), "a <x> b <y> c", "a  c"),
@@ -28,6 +28,11 @@ CASES = [
     (t.smoke, "It’s 5, ok", "IT'S 5 OK"),
     (t.strip_speaker_tags, "< Speaker 1 , f >: hi <speaker2> yo", "hi  yo"),
     (t.punct_in_tags, "#kopi-o_kosong# a-b", "#kopi o kosong# a-b"),
+    (t.spelling, "organising neighbours travelled to the centres of dialogue hour", "organizing neighbors traveled to the centers of dialog hour"),
+    (n.english_text, "Dr Lee hadn't, um, paid 1,000 (uh) it's been y'all's $ 5 %", "doctor lee had not paid 1000 it has been you all is 5"),
+    (n.basic_composed, "Ｈｉ [x] ﬁne… é", "hi fine é"),
+    (lambda c: n.basic_composed(c, diacritics=False), "Café Ｈｉ", "cafe hi"),
+    (lambda c: n.basic_composed(c, letters=True), "ab", "a b"),
     (t.fillers, "[Uh-umm] well um, ok um-no 【uh】 ((x))", "(uh-um) well (um) ok um-no (uh) (x)"),
     (lambda c: t.correct_words(c, [("kopi o", "kopi-o")], [("hand phone", "handphone")]), "my hand phone #kopi o#", "my handphone #kopi o#"),
     (n.number_words, "two hundred and five dollars", "$205"),
@@ -35,6 +40,14 @@ CASES = [
     (n.number_words, "one oh one and double five", "101 and 55"),
     (n.number_words, "the twenty first of three thousand", "the 21st of 3000"),
     (n.number_words, "one day", "one day"),
+    (n.number_words, "sixes and the nineteen sixties", "6s and the 1960s"),
+    (n.number_words, "the hundredth of two millionth", "the 100th of 2000000th"),
+    (n.number_words, "twenty dollars and seven cents", "$20.07"),
+    (n.number_words, "two and a half million and plus five", "2500000 and +5"),
+    (n.number_words, "one decillion per cent or forty five percent", "1000000000000000000000000000000000% or 45%"),
+    (n.number_words, "3 s of 20 thousand at 1.5 million", "3s of 20000 at 1500000"),
+    (n.number_words, "minus sign and per day", "minus sign and per day"),
+    (n.number_words, "one twenty five", "125"),
     (n.without_diacritics, "Œuvre naïve ß", "OEuvre naive ss"),
     (n.english_text, "I'm [laughs] twenty, isn't it colour?", "i am 20 is not it color"),
 ]

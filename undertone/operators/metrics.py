@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from undertone.functions.text import space_out, tokens_13a
 from undertone.functions.tokens import edit_distance, let, ngrams, words
 
 REGISTRY: dict[str, "Metric"] = {}
@@ -66,41 +67,62 @@ def mer(df, group, ref, hyp):
     return error_rate(df, group, ref, hyp, mixed)
 
 
-def bleu_counts(df: DataFrame, group: list[str], key: str, ref: Column, hyp: Column, order: int = 4) -> DataFrame:
-    """Clipped hits and totals of each order, and lengths, per group."""
-    base = df.select(*group, F.col(key).alias("__k"), ref.alias("__r"), hyp.alias("__h"))
-    lengths = base.groupBy(*group).agg(F.sum(F.size("__r")).cast("long").alias("ref_len"), F.sum(F.size("__h")).cast("long").alias("hyp_len"))
+def numbered(grams: Column) -> Column:
+    """The set of a multiset: every element with its occurrence number, so that
+    intersection and union count repeated elements."""
+    return let(F.array_sort(grams), lambda g: F.transform(g, lambda x, k: F.struct(x.alias("g"), (k - F.array_position(g, x)).alias("k"))))
 
-    def with_order(side: str, n: int) -> Column:
-        return F.transform(ngrams(F.col(side), n), lambda g: F.struct(F.lit(n).alias("o"), g.alias("g")))
 
-    def grams(side: str, name: str) -> DataFrame:
-        every = F.concat(*[with_order(side, n) for n in range(1, order + 1)])
-        return base.select(*group, "__k", F.explode(every).alias("x")).groupBy(*group, "__k", "x.o", "x.g").agg(F.count(F.lit(1)).alias(name))
+def bleu_counts(df: DataFrame, group: list[str], refs: Column, hyp: Column, order: int = 4) -> DataFrame:
+    """Clipped hits and totals of each order, and lengths, per group.
 
-    # one grouping of both sides instead of a join on the n-grams
-    both = grams("__h", "h").withColumn("r", F.lit(0).cast("long")).unionByName(grams("__r", "r").withColumn("h", F.lit(0).cast("long")))
-    per = both.groupBy(*group, "__k", "o", "g").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-    counts = per.groupBy(*group, "o").agg(F.sum(F.least("h", "r")).alias("hits"), F.sum("h").alias("total"))
-    return counts.join(lengths, group) if group else counts.crossJoin(lengths)
+    ``refs`` is an array of token arrays. Hypothesis and references stand in
+    one row, so n-grams are clipped inside it (the largest count over the
+    references is the union of their numbered sets) and only sums are shuffled.
+    The reference length is the one closest to the hypothesis's, the shorter of
+    two. A row without hypothesis tokens adds its reference length only; a row
+    without references is left out.
+    """
+    base = df.select(*group, F.filter(refs, lambda r: r.isNotNull()).alias("__r"), F.coalesce(hyp, F.array().cast("array<string>")).alias("__h")).filter(F.size("__r") > 0)
 
+    def hits(n: int) -> Column:
+        known = F.flatten(F.transform("__r", lambda r: numbered(ngrams(r, n))))
+        return F.size(F.array_intersect(numbered(ngrams(F.col("__h"), n)), known)).cast("long")
 
-def bleu(df: DataFrame, group: list[str], key: str, ref: Column, hyp: Column, order: int = 4) -> DataFrame:
-    """A4: corpus BLEU, 0 to 100, exponential smoothing, one reference."""
-    c = bleu_counts(df, group, key, ref, hyp, order)
+    closest = F.array_min(F.transform("__r", lambda r: F.struct(F.abs(F.size(r) - F.size("__h")).alias("d"), F.size(r).alias("n"))))["n"]
+    orders = range(1, order + 1)
+    row = base.select(*group, closest.alias("__rl"), F.size("__h").alias("__hl"), *[hits(n).alias(f"__hit{n}") for n in orders])
+    total = lambda n: F.greatest(F.col("__hl") - (n - 1), F.lit(0))
+    sums = row.groupBy(*group).agg(F.sum("__rl").cast("long").alias("ref_len"), F.sum("__hl").cast("long").alias("hyp_len"), *[F.sum(f"__hit{n}").alias(f"__hit{n}") for n in orders], *[F.sum(total(n)).cast("long").alias(f"__all{n}") for n in orders])
+    per = F.explode(F.array(*[F.struct(F.lit(n).alias("o"), F.col(f"__hit{n}").alias("hits"), F.col(f"__all{n}").alias("total")) for n in orders]))
+    return sums.select(*group, "ref_len", "hyp_len", per.alias("x")).select(*group, "x.o", "x.hits", "x.total", "ref_len", "hyp_len")
+
+
+def bleu(df: DataFrame, group: list[str], refs: Column, hyp: Column, order: int = 4) -> DataFrame:
+    """A4: corpus BLEU, 0 to 100, exponential smoothing, any number of references."""
+    c = bleu_counts(df, group, refs, hyp, order)
     w = W.partitionBy(*group).orderBy("o")
     zeros = F.sum(F.when(F.col("hits") == 0, 1).otherwise(0)).over(w)
     p = F.when(F.col("hits") > 0, F.col("hits") / F.col("total")).otherwise(1 / (F.pow(F.lit(2.0), zeros) * F.col("total")))
-    c = c.filter("total > 0").withColumn("logp", F.ln(p))
-    out = c.groupBy(*group).agg(F.avg("logp").alias("m"), F.count(F.lit(1)).alias("orders"), F.max("ref_len").alias("ref_len"), F.max("hyp_len").alias("hyp_len"))
+    c = c.withColumn("logp", F.when(F.col("total") > 0, F.ln(p)))
+    out = c.groupBy(*group).agg(F.avg("logp").alias("m"), F.count("logp").alias("orders"), F.max("ref_len").alias("ref_len"), F.max("hyp_len").alias("hyp_len"))
     penalty = F.when(F.col("hyp_len") < F.col("ref_len"), F.exp(1 - F.col("ref_len") / F.col("hyp_len"))).otherwise(1.0)
     return out.withColumn("value", F.when(F.col("orders") == order, 100 * penalty * F.exp("m")).otherwise(0.0)).drop("m", "orders")
 
 
+#: Token rules of BLEU by target language, 13a where none is named.
+BLEU_TOKENS: dict[str, Callable[[Column], Column]] = {"zh": lambda c: tokens_13a(space_out(c))}
+
+
+def bleu_tokens(c: Column, language: str | None = None) -> Column:
+    """Tokens of a text for BLEU; null and empty texts have none."""
+    text = F.coalesce(c, F.lit(""))
+    return F.filter(BLEU_TOKENS.get(language or "", tokens_13a)(text), lambda x: x != "")
+
+
 @register_metric("bleu", True)
 def _bleu(df, group, ref, hyp):
-    keyed = df.withColumn("__id", F.xxhash64(*df.columns))
-    return bleu(keyed, group, "__id", words(F.col(ref)), words(F.col(hyp)))
+    return bleu(df, group, F.array(bleu_tokens(F.col(ref))), bleu_tokens(F.col(hyp)))
 
 
 def token_f1(ref: Column, hyp: Column) -> Column:

@@ -43,13 +43,6 @@ def wer_condition(spark, d):
     return m.error_counts(predictions(spark, d), "answer", "hyp").select("run", "item_id", F.round(F.col("edits") / F.col("n_ref"), 6).alias("wer"))
 
 
-@query("cer_ascii", f"WITH {ITEMS}, {PRED} SELECT set_name, sum(levenshtein(regexp_replace(answer, '\\s+', '', 'g'), regexp_replace(hyp, '\\s+', '', 'g')))::bigint AS edits, sum(length(regexp_replace(answer, '\\s+', '', 'g')))::bigint AS n_ref FROM hyps WHERE run = 'base' AND regexp_full_match(answer, '[\\x00-\\x7f]+') AND n_ref > 0 GROUP BY set_name")
-def cer_ascii(spark, d):
-    """A3: character error counts of answers in plain letters."""
-    p = predictions(spark, d, ("base",)).filter("answer rlike '^[\\\\x00-\\\\x7f]+$'")
-    return m.cer(p, ["set_name"], "answer", "hyp").select("set_name", "edits", "n_ref")
-
-
 @query("cer")
 def cer(spark, d):
     """A3: character error rate per run and set, over answers in any script.
@@ -87,7 +80,7 @@ def _bleu_input(spark, d):
 def bleu_components(spark, d):
     """Clipped n-gram counts."""
     p, hyp = _bleu_input(spark, d)
-    return m.bleu_counts(p, ["set_name"], "item_id", F.col("ws"), hyp).filter("total > 0").select("set_name", "o", "hits", "total", "ref_len", "hyp_len")
+    return m.bleu_counts(p, ["set_name"], F.array("ws"), hyp).filter("total > 0").select("set_name", "o", "hits", "total", "ref_len", "hyp_len")
 
 
 @query(
@@ -98,7 +91,20 @@ SELECT set_name, round(CASE WHEN count(*) = 4 THEN 100 * CASE WHEN max(hyp_len)
 def bleu_corpus(spark, d):
     """A4: corpus BLEU of each set."""
     p, hyp = _bleu_input(spark, d)
-    return m.bleu(p, ["set_name"], "item_id", F.col("ws"), hyp).select("set_name", F.round("value", 4).alias("bleu"))
+    return m.bleu(p, ["set_name"], F.array("ws"), hyp).select("set_name", F.round("value", 4).alias("bleu"))
+
+
+@query("bleu_suite")
+def bleu_suite(spark, d):
+    """A4 as the suite scores it: 13a tokens, Chinese ones for Chinese targets,
+    two references (the answer and the text) where both are there."""
+    p = predictions(spark, d, ("base",)).withColumn("zh", F.coalesce(F.lower(F.trim("language_target")).startswith("zh"), F.lit(False)))
+
+    def tokens(c):
+        return F.when(F.col("zh"), m.bleu_tokens(F.col(c), "zh")).otherwise(m.bleu_tokens(F.col(c)))
+
+    refs = F.array(*[F.when(F.trim(c) != "", tokens(c)) for c in ("answer", "text")])
+    return m.bleu(p, ["set_name"], refs, tokens("hyp")).select("set_name", F.round("value", 4).alias("bleu"))
 
 
 @query(

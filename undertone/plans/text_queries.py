@@ -10,6 +10,8 @@ from undertone.sources.tables import table
 
 #: Distinct texts of the training samples with task and language.
 BASE = "base AS (SELECT DISTINCT sample_id, response_text AS x, task, language, trim(dataset) AS name FROM mds_samples WHERE response_text IS NOT NULL)"
+#: What may stand beside a whole word.
+EDGE = "[^\\p{L}\\p{N}_]"
 SQ = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
 
 
@@ -17,23 +19,20 @@ def base(spark, d):
     return table(spark, d, "mds_samples").filter("response_text is not null").select("sample_id", F.col("response_text").alias("x"), "task", "language", F.trim("dataset").alias("name")).distinct()
 
 
-def text_query(name: str, f, sql: str | None, where: str = ""):
+def text_query(name: str, f, sql: str | None):
     """Register ``sample_id, y`` of one text function with its SQL over x."""
 
     def run(spark, d):
-        b = base(spark, d)
-        b = b.filter("x rlike '^[\\\\x00-\\\\x7f]*$'") if where == "ascii" else b
-        return b.select("sample_id", f(F.col("x")).alias("y"))
+        return base(spark, d).select("sample_id", f(F.col("x")).alias("y"))
 
-    cond = " WHERE regexp_full_match(x, '[\\x00-\\x7f]*')" if where == "ascii" else ""
-    query(name, f"WITH {BASE} SELECT sample_id, {sql} AS y FROM base{cond}" if sql else None)(run)
+    query(name, f"WITH {BASE} SELECT sample_id, {sql} AS y FROM base" if sql else None)(run)
 
 
 def words_sql(x: str, pairs, title=False) -> str:
     for a, b in pairs:
         for p, q in ((a, b), (a.capitalize(), b.capitalize())) if title else ((a, b),):
             p, q = p.replace("'", "''"), q.replace("'", "''")
-            x = f"regexp_replace(regexp_replace({x}, '(^|[^A-Za-z0-9_]){p}($|[^A-Za-z0-9_])', '\\1{q}\\2', 'g'), '(^|[^A-Za-z0-9_]){p}($|[^A-Za-z0-9_])', '\\1{q}\\2', 'g')"
+            x = f"regexp_replace(regexp_replace({x}, '(^|{EDGE}){p}($|{EDGE})', '\\1{q}\\2', 'g'), '(^|{EDGE}){p}($|{EDGE})', '\\1{q}\\2', 'g')"
     return x
 
 
@@ -45,30 +44,27 @@ text_query("strip_speaker_tags", t.strip_speaker_tags, "trim(regexp_replace(x, '
 text_query("normalize_lower", t.lower_keep_speaker, "replace(lower(x), '<speaker', '<Speaker')")
 text_query("normalize_language_wrappers", t.unwrap_language, SQ.format("regexp_replace(regexp_replace(x, '<(tamil|malay|mandarin)>([^<>:]*):?([^<>:]*)</(tamil|malay|mandarin)>', '\\2', 'g'), '\\s?[\\[(<][a-zA-Z]*[\\])>]\\s?', ' ', 'g')"))
 text_query("normalize_punctuation_tags", t.punctuation_tags, "replace(replace(replace(replace(regexp_replace(x, '<SIL>|<MUSIC>|<NOISE>|<OTHER>', '', 'g'), '<COMMA>', ','), '<PERIOD>', '.'), '<QUESTIONMARK>', '?'), '<EXCLAMATIONPOINT>', '!')")
-text_query("normalize_smoke", t.smoke, SQ.format("regexp_replace(replace(upper(x), '’', ''''), '[^A-Z0-9'' ]', ' ', 'g')"), "ascii")
+text_query("normalize_smoke", t.smoke, SQ.format("regexp_replace(replace(upper(x), '’', ''''), '[^A-Z0-9'' ]', ' ', 'g')"))
 text_query("normalize_brackets", t.remove_bracketed, "regexp_replace(x, '[\\[({<][^\\[\\](){}<>]*[\\])}>]', '', 'g')")
 text_query("normalize_brackets_compat", lambda c: t.remove_bracketed(c, True), "regexp_replace(x, '[\\[({<][^()\\\\n\\[\\]]*[\\])}>]', '', 'g')")
-text_query("normalize_nonspeech", t.remove_non_speech, SQ.format("regexp_replace(regexp_replace(x, '(^|[^A-Za-z0-9_])(uh|umm|um|er|ah)($|[^A-Za-z0-9_])', '\\1\\3', 'g'), '(^|[^A-Za-z0-9_])(uh|umm|um|er|ah)($|[^A-Za-z0-9_])', '\\1\\3', 'g')"), "ascii")
+text_query("normalize_nonspeech", t.remove_non_speech, SQ.format(f"regexp_replace(regexp_replace(x, '(^|{EDGE})(uh|umm|um|er|ah)($|{EDGE})', '\\1\\3', 'g'), '(^|{EDGE})(uh|umm|um|er|ah)($|{EDGE})', '\\1\\3', 'g')"))
 text_query("normalize_space_cjk", t.space_out, SQ.format("regexp_replace(x, '([\\x{4e00}-\\x{9fff}\\x{0e00}-\\x{0e7f}])', ' \\1 ', 'g')"))
 text_query("normalize_symbols", t.symbols_and_marks, "regexp_replace(x, '[\\p{M}\\p{S}\\p{P}]', ' ', 'g')")
 text_query("normalize_basic", t.basic, SQ.format("regexp_replace(regexp_replace(regexp_replace(lower(x), '[<\\[][^>\\]]*[>\\]]', '', 'g'), '\\(([^)]+?)\\)', '', 'g'), '[\\p{S}\\p{P}]', ' ', 'g')"))
 text_query("squeeze_han", t.squeeze_han, "trim(regexp_replace(regexp_replace(x, '([\\x{4e00}-\\x{9fff}])\\s+([\\x{4e00}-\\x{9fff}])', '\\1\\2', 'g'), '([\\x{4e00}-\\x{9fff}])\\s+([\\x{4e00}-\\x{9fff}])', '\\1\\2', 'g'))")
 text_query("squeeze_thai", t.squeeze_thai, "trim(regexp_replace(regexp_replace(x, '([\\x{0e00}-\\x{0e7f}])\\s+([\\x{0e00}-\\x{0e7f}])', '\\1\\2', 'g'), '([\\x{0e00}-\\x{0e7f}])\\s+([\\x{0e00}-\\x{0e7f}])', '\\1\\2', 'g'))")
-text_query("apostrophes", t.apostrophes, words_sql("x", t.APOSTROPHES, True), "ascii")
-text_query("spelling_map", t.spelling, "array_to_string(list_transform(string_split(x, ' '), lambda w: coalesce(map_extract(MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in t.SPELLING) + "}, w)[1], w)), ' ')")
+text_query("apostrophes", t.apostrophes, words_sql("x", t.APOSTROPHES, True))
 
 
-def _contract(x: str) -> str:
-    for a, b in t.CONTRACTIONS:
-        x = f"replace({x}, '{a.replace(chr(39), chr(39) * 2)}', '{b}')"
-    return x
+def _spelled(w: str) -> str:
+    for pattern, american in t._spelling_patterns(t.SPELLING_RULES):
+        w = f"regexp_replace({w}, '{pattern}', '\\1{american}\\2')"
+    return w
 
 
-text_query("normalize_digits", t.digit_words, SQ.format(_contract(words_sql("lower(x)", t.DIGITS))), "ascii")
-# The SQL of these four reads ASCII rows only (its word edges and upper() are
-# not those of other scripts); the same functions over every row have no SQL.
-for _name, _f in (("normalize_smoke", t.smoke), ("normalize_nonspeech", t.remove_non_speech), ("apostrophes", t.apostrophes), ("normalize_digits", t.digit_words)):
-    text_query(f"{_name}_all", _f, None)
+text_query("spelling_map", t.spelling, "array_to_string(list_transform(string_split(x, ' '), lambda w: coalesce(map_extract(MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in t.SPELLING) + "}, w)[1], " + _spelled("w") + ")), ' ')")
+text_query("normalize_digits", t.digit_words, words_sql(words_sql("x", t.DIGITS), t.CONTRACTIONS))
+text_query("basic_composed", numbers.basic_composed, None)
 text_query("number_normalize", numbers.number_words, None)
 text_query("nfkd_clean", numbers.without_diacritics, None)
 text_query("english_normalize", numbers.english_text, None)
