@@ -191,7 +191,7 @@ def items(spark, d):
     """One row per evaluation item (re-deliveries are equal)."""
     sec = F.when(F.col("duration") > 0, F.col("duration")).otherwise(F.col("n_bytes") / 32000.0)
     e = table(spark, d, "eval_items").filter("item_id is not null").withColumn("seconds", sec).withColumn("set_name", F.trim("set_name"))
-    return e.groupBy("item_id").agg(*[F.any_value(c).alias(c) for c in ("set_name", "split", "idx", "answer", "task_type", "language", "seconds")])
+    return e.groupBy("item_id").agg(*[F.any_value(c).alias(c) for c in ("set_name", "split", "idx", "answer", "task_type", "language", "language_target", "text", "seconds")])
 
 
 @query(
