@@ -68,17 +68,6 @@ def test_edit_distance():
         assert ov.edit_distance(a, b) == plain(a, b)
 
 
-def test_terms_cover():
-    import numpy as np
-
-    rnd = np.random.default_rng(1)
-    for n in range(5, 120):
-        e = n // ov.PART
-        cut = ov.terms(rnd.random(n), e)
-        assert len(cut) == (e + 2 if e else 1) and cut[0][0] == 0 and cut[-1][1] == n
-        assert all(a < b for a, b in cut) and all(x[1] == y[0] for x, y in zip(cut, cut[1:]))
-
-
 def edited(rnd, ts, k, pool):
     ts = list(ts)
     for _ in range(k):
@@ -93,7 +82,48 @@ def edited(rnd, ts, k, pool):
     return ts
 
 
-def test_join_against_brute_force(spark):
+def test_bound_and_lists_hold():
+    """Within the edits a text keeps the bound and meets a listed term."""
+    import numpy as np
+
+    rnd = random.Random(4)
+    tables = [np.random.default_rng(k).integers(0, 50, ov.SLOTS) for k in range(3)]
+    hasher = ov.Hasher()
+    for _ in range(600):
+        pool = [f"w{i}" for i in range(rnd.choice([3, 40]))]
+        answer = [rnd.choice(pool) for _ in range(rnd.randint(5, 90))]
+        edits = len(answer) // ov.PART
+        text = edited(rnd, answer, rnd.randint(0, edits), pool)
+        order = int(ov.order_of(ov.length_class(len(text)))) if edits else len(answer)
+        h, t = hasher.hashes(answer), hasher.hashes(text)
+        listed = ov.Listed(hasher.runs(h, order), ov.information(h, order, hasher, tables), order, edits)
+        runs = hasher.runs(t, order)
+        assert 0 < listed.bound <= ov.dot(listed, runs, edits) * (1 + 1e-9)
+        assert any(abs(at - k) <= edits and runs[k] == listed.runs[at] for at in listed.head.tolist() for k in range(len(runs)))
+        rest = np.delete(listed.weights, listed.head).sum()
+        assert rest < listed.bound
+        lost = bin(int(ov.sketch(h, np.zeros(1, int))[0]) & ~int(ov.sketch(t, np.zeros(1, int))[0]) & (1 << 64) - 1).count("1")
+        assert lost <= edits
+
+
+def test_most_lost():
+    import itertools
+
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    for _ in range(60):
+        w, order, edits = rnd.random(rnd.integers(1, 9)), int(rnd.integers(1, 4)), int(rnd.integers(0, 4))
+        most = max(sum(w[i] for i in set().union(*(range(max(0, e - order + 1), min(len(w), e + 1)) for e in at))) for at in itertools.product(range(len(w) + order - 1), repeat=edits))
+        assert abs(ov.most_lost(w, order, edits) - most) < 1e-9
+
+
+@pytest.mark.parametrize("way", ["filter and lists", "no filter", "salted", "blocks"])
+def test_join_against_brute_force(spark, monkeypatch, way):
+    monkeypatch.setattr(ov, "FILTER_MAX_BYTES", 0 if way == "no filter" else ov.FILTER_MAX_BYTES)
+    monkeypatch.setattr(ov, "HOT", 1 if way == "salted" else ov.HOT)
+    monkeypatch.setattr(ov, "HOT_FACTOR", 0 if way == "salted" else ov.HOT_FACTOR)
+    monkeypatch.setattr(ov, "LISTED_SHARE", {"blocks": 0.0, "filter and lists": 1e9}.get(way, ov.LISTED_SHARE))
     rnd = random.Random(7)
     words = [f"w{i}" for i in range(30)]
     thai = [chr(0x0E01 + i) for i in range(40)]
@@ -139,6 +169,15 @@ def test_low_answers_in_several_blocks(spark):
     assert got == {(100 + i, i) for i in range(12)}
 
 
+def test_links_of_copies(spark):
+    """Copies are counted, not paired; a third of all rows is one text."""
+    a = "the quick brown fox jumps over it"
+    t = spark.createDataFrame([(i, a) for i in range(500)] + [(900, "nothing of the kind at all here")], "k long, t string")
+    h = spark.createDataFrame([(i, a) for i in range(400)], "h long, t string")
+    got = ov.linked_classes(t, "k", "t", h, "h", "t").collect()
+    assert len(got) == 500 and {r["n_links"] for r in got} == {400} and len({r["class_id"] for r in got}) == 1
+
+
 def test_noise_is_ignored(spark):
     a = "the quick brown fox jumps over it"
     t = spark.createDataFrame([(1, "[00:01] Speaker 1: The quick, uh brоwn (um) fox jumps [laughs] over it."), (2, "<Speaker2>: the quick brown fox jumps over"), (3, "A: THE QUICK BROWN FOX JUMPS OVER IT")], "k long, t string")

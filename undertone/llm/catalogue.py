@@ -13,6 +13,7 @@ def queries() -> dict:
         "p3_found": language.p3_found,
         "p3_passages": language.p3_passages,
         "p4_found": overlap.p4_found,
+        "p4_links": overlap.p4_links,
         "p4_report": overlap.p4_report,
         "p5_found": splitting.p5_found,
         "p5_pieces": splitting.p5_pieces,

@@ -1,34 +1,31 @@
 """Problem 4: same or near-same records across splits.
 
 A weighted cosine join between the training texts and the evaluation answers.
-The terms of an answer of n words are runs of words; their weights are the
-information of their words (from counts of words, pairs and triples over all
-answers). Only so many disjoint terms of an answer enter the inverted lists
-that whatever is left can't hold a match: a text within e = n / 8 edits keeps
-all but e of them, so of e + 2 terms that cover the answer it keeps two. The
-answer is cut so that the terms weigh nearly the same (the least is as heavy as
-can be), and pairs of its terms are the entries of the lists; without a shared
-entry the residual can't reach the bound. Pairs of records that share an entry
-at nearly the same places get their exact dot product and edit count.
-
-Answers counted in characters that may differ in CHAR_EDITS of them or more
-(long Thai texts) say too little in a pair of terms and would meet too many
-texts this way. They are held against all texts in blocks of bounded size:
-runs of GRAM tokens at their places are counted, a match keeps all but e of the
-n / GRAM disjoint runs, and what keeps them is compared at once.
-
-Equal texts of either side are one class until the end, so copies never meet
-each other. Two Bloom filters of fixed size, for terms and for pairs of terms,
-keep what is in no list from being shuffled.
+The terms of a text are its runs of ORDER tokens, their weights the square roots
+of the information of the run, so a dot product adds up the information of the
+shared runs. An answer of n tokens may differ in e = n / PART of them; an edit
+touches at most ORDER runs, so a match keeps a dot product of at least
+
+    bound = |a|^2 - (the heaviest runs that e edits can touch).
+
+Maximum weight: a text's component of a term is that term's weight or nothing,
+so the terms left out of the lists can add their squared weights and no more.
+Residual norm: terms are listed from the heaviest down until the squared norm of
+the rest falls below the bound; a text that meets no listed term can't reach it.
+Lists are keyed by run, length class and stretch of places and joined in one
+shuffle whose hot terms are salted. Pairs that meet get their exact dot product
+and cosine; those that reach the bound get their edit count.
+
+Answers that carry little information a token (long Thai ones) would list terms
+that most texts have. By an estimate of the texts their lists would meet, such
+an answer is dealt to blocks of its length class instead: lists of bounded size
+in memory, through which the texts of that class pass, with the same dot products
+and bounds. Equal texts of either side are one class until the end.
 """
 
 from __future__ import annotations
 
-import bisect
-import itertools
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,17 +37,21 @@ from undertone.llm.lookalike import canonical_sql
 from undertone.sources.tables import table
 
 LEAST_WORDS, LEAST_CHARS = 5, 10
-#: One edit in so many words.
+#: One edit in so many tokens.
 PART = 8
-#: Runs of words that are listed have lengths in this range.
-SHORTEST, LONGEST = 2, 14
-#: Pairs of terms that a batch looks up at once.
-CHUNK = 1_000_000
-CHAR_EDITS = 12
-GRAM, BLOCK = 5, 4096
+#: Tokens of a term; texts of up to SHORT_TEXT tokens have shorter ones.
+ORDER, SHORT_ORDER, SHORT_TEXT = 5, 4, 10
+#: Slots of a count table (fixed, whatever the data).
 SLOTS = 1 << 18
-BLOOM_BITS = 26
-BLOCK_BITS = 16
+#: Bits of the filter for a listed key, and the largest filter that is sent to
+#: the tasks; above it the runs of all texts are shuffled.
+FILTER_BITS, FILTER_MAX_BYTES = 8, 64 << 20
+#: Share of the texts of its length that an answer's lists may meet.
+LISTED_SHARE = 0.02
+#: Answers of a block, texts that pass it in one task; a slot of terms is hot with
+#: more rows than HOT and HOT_FACTOR times the mean.
+BLOCK, BLOCK_TEXTS, HOT, HOT_FACTOR = 4096, 50_000, 1_000_000, 8
+PACK_BITS = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -150,45 +151,32 @@ def laid_out(texts: list[str], hasher: Hasher):
     return hasher.hashes([t for ts in split for t in ts]), split, stop - sizes, np.repeat(stop, sizes)
 
 
-def information(h: np.ndarray, end: np.ndarray, first: np.ndarray, hasher: Hasher, tables: list[np.ndarray]) -> np.ndarray:
-    """Bits of each token given the two before it in its text, from the count
-    tables; ``first`` is the place of each token's text's first token."""
-    n = len(h)
-    count = [np.zeros(n) for _ in range(3)]
-    for k in range(3):
-        r = hasher.runs(h, k + 1)
-        c = tables[k][(r % SLOTS).astype(np.int64)]
-        count[k][k:] = c  # of the run that ends at the token
-    one, two, three = count
-    before_one, before_two = np.concatenate([[1.0], one[:-1]]), np.concatenate([[1.0], two[:-1]])
-    at = np.arange(n) - first
-    p = np.where(at == 0, np.maximum(one, 1.0) / max(1.0, float(tables[0].sum())), np.where(at == 1, np.maximum(two, 0.5) / np.maximum(before_one + 2.0, two), np.maximum(three, 0.5) / np.maximum(before_two + 2.0, three)))
-    return np.clip(-np.log2(p), 0.05, 20.0)
-
-
-def terms(weights: np.ndarray, edits: int) -> list[tuple[int, int]]:
-    """``edits`` + 2 disjoint runs that cover all tokens, of nearly equal
-    weight, their lengths between SHORTEST and LONGEST where that can be.
-    Without edits the whole text is the only term."""
-    n, parts = len(weights), edits + 2
-    if not edits:
-        return [(0, n)]
-    shortest = min(SHORTEST, n // parts)
-    total = [0.0, *itertools.accumulate(weights.tolist())]
-    out, at = [], 0
-    for left in range(parts, 0, -1):
-        if left == 1:
-            out.append((at, n))
-            break
-        goal = total[at] + (total[n] - total[at]) / left
-        to = bisect.bisect_left(total, goal)
-        if to > at + 1 and goal - total[to - 1] < total[to] - goal:
-            to -= 1
-        to = max(to, at + shortest, n - (left - 1) * LONGEST)
-        to = min(to, at + LONGEST, n - (left - 1) * shortest)
-        out.append((at, to))
-        at = to
-    return out
+def information(h: np.ndarray, k: int, hasher: Hasher, tables: list[np.ndarray]) -> np.ndarray:
+    """Bits of every run of ``k`` tokens of ``h`` by the counts of words, pairs
+    and triples: the first token alone, the second after one, others after two."""
+    if len(h) < k:
+        return np.zeros(0)
+    n = [np.maximum(tables[j][(hasher.runs(h, j + 1) % SLOTS).astype(np.int64)], 0.5) for j in range(min(k, 3))]
+    bits = [np.log2(max(2.0, float(tables[0].sum())) / n[0])]
+    bits += [np.log2(np.maximum((n[j - 1][:-1] + 2.0) / n[j], 1.0)) for j in range(1, len(n))]
+    many = len(h) - k + 1
+    out = bits[0][:many] + (bits[1][:many] if k > 1 else 0.0)
+    if k > 2:
+        sums = np.concatenate([[0.0], np.cumsum(bits[2])])
+        out = out + sums[k - 2 :][:many] - sums[:many]
+    return np.maximum(out, 0.05)
+
+
+def most_lost(weights: np.ndarray, order: int, edits: int) -> float:
+    """The most that ``edits`` edits can take from the squared weights of the
+    runs of one text, an edit taking up to ``order`` neighbouring runs."""
+    total = np.concatenate([[0.0], np.cumsum(weights)])
+    at = np.arange(1, len(total))
+    low = np.maximum(at - order, 0)
+    best = np.zeros(len(total))
+    for _ in range(edits):
+        best = np.concatenate([[0.0], np.maximum.accumulate(best[low] + total[at] - total[low])])
+    return float(best[-1])
 
 
 def edit_distance(a: list[str], b: list[str]) -> int:
@@ -218,13 +206,6 @@ def edit_distance(a: list[str], b: list[str]) -> int:
     return score
 
 
-def cosine(a: list[str], b: list[str]) -> float:
-    """Exact cosine of the word counts."""
-    x, y = Counter(a), Counter(b)
-    dot = sum(v * y[k] for k, v in x.items())
-    return dot / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())) if x and y else 0.0
-
-
 def _normalised(df: DataFrame, key: str, text: str) -> DataFrame:
     slim = df.select(F.col(key).alias("key"), F.col(text).alias("t")).filter("key is not null and t is not null and t <> ''")
     return duckdb_project(slim, {"norm": lambda chars: comparable_sql('"t"', chars)}, ["key"], "t").filter("norm <> ''")
@@ -251,15 +232,21 @@ def _count_tables(classes: DataFrame) -> list[np.ndarray]:
     return [every[k * SLOTS : (k + 1) * SLOTS] for k in range(3)]
 
 
-def length_class(n: int) -> int:
-    """Class of a text's number of tokens; n and n +- n / PART lie in at most
-    two neighbouring ones."""
-    return int(math.log(max(n, 1)) / math.log(1.3))
+def length_class(n):
+    """Class of a text's number of tokens: 0 up to SHORT_TEXT, then by doubling;
+    n and n +- n / PART lie in at most two neighbouring ones, or in 0 to 2."""
+    return np.searchsorted(SHORT_TEXT * (1 << np.arange(40, dtype=np.int64)), np.asarray(n), side="left")
+
 
+def order_of(cls):
+    """Length of the terms of texts in a class. For every answer that may match
+    such a text n - order + 1 > order * (n / PART), so a match keeps a term."""
+    return np.where(np.asarray(cls) == 0, SHORT_ORDER, ORDER)
 
-def stretch(cls: int) -> int:
+
+def stretch(cls):
     """Width of the places that count as one in texts of a length class."""
-    return 8 + int(1.3 ** (cls + 1)) // 4
+    return SHORT_TEXT * (1 << np.asarray(cls, np.int64)) // 2
 
 
 def place_key(cls, place):
@@ -268,295 +255,386 @@ def place_key(cls, place):
         return (np.asarray(cls).astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) + np.asarray(place).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
 
 
-def entry(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Hash of a pair of terms from the hashes of its two terms."""
-    with np.errstate(over="ignore"):
-        return Hasher.mix(first * np.uint64(3) + second, 1)
+class Listed:
+    """One answer: its terms for one order, their squared weights, its bound,
+    and the terms that are listed (``head``)."""
+
+    def __init__(self, runs: np.ndarray, weights: np.ndarray, order: int, edits: int):
+        self.runs, self.weights = runs, weights
+        self.norm2 = float(weights.sum())
+        self.bound = self.norm2 - most_lost(weights, order, edits)
+        heavy = np.argsort(-weights, kind="stable")
+        rest = self.norm2 - np.cumsum(weights[heavy])
+        # the residual must stay below the bound by more than rounding
+        self.head = heavy[: int(np.count_nonzero(rest >= self.bound * (1 - 1e-9))) + 1]
+
+    def share(self, edits: int) -> float:
+        """Estimate of the share of texts of its length that its lists meet."""
+        return float((2.0 ** -self.weights[self.head]).sum()) * (2 * edits + 1)
+
+
+def dot(listed: Listed, runs: np.ndarray, edits: int) -> float:
+    """Exact dot product of an answer and the runs of a text: the squared
+    weights of the answer's terms that the text has within ``edits`` places."""
+    order = np.argsort(runs, kind="stable")
+    sorted_ = runs[order]
+    a, b = np.searchsorted(sorted_, listed.runs, side="left"), np.searchsorted(sorted_, listed.runs, side="right")
+    out = 0.0
+    for i in np.flatnonzero(b > a).tolist():
+        if np.abs(order[a[i] : b[i]] - i).min() <= edits:
+            out += listed.weights[i]
+    return out
 
 
-def split_answers(classes: DataFrame) -> DataFrame:
-    """(ek, norm, n, terms) of every class of answers long enough to count.
+def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
+    """The classes of answers long enough to count, and the broadcast count
+    tables (3 x SLOTS numbers, whatever the data).
 
-    ``terms``: array of (run, at, k), the hash, place and length of each term;
-    null where they say too little (then the class goes through the blocks).
+    A row for each order of terms an answer needs (two for short ones): ek, e64,
+    norm, n, order, low, chars, sketch, runs and places of the listed terms.
+    ``low``: the answer goes through the blocks of its length class.
     """
     shared = classes.sparkSession.sparkContext.broadcast(_count_tables(classes))
-    term = T.ArrayType(T.StructType([T.StructField("run", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("k", T.IntegerType())]))
-    schema = schema_with(classes, ["ek", "norm"], n=T.IntegerType(), terms=term)
-    arrow = pa.list_(pa.struct([("run", pa.int64()), ("at", pa.int32()), ("k", pa.int32())]))
+    fields = {"e64": T.LongType(), "n": T.IntegerType(), "order": T.IntegerType(), "low": T.BooleanType(), "chars": T.BooleanType(), "sketch": T.LongType(), "runs": T.ArrayType(T.LongType()), "places": T.ArrayType(T.IntegerType())}
+    types = [pa.binary(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        tables = shared.value
+        hasher, tables = Hasher(), shared.value
         for batch in batches:
-            out: list[tuple] = []
-            texts = batch.column(1).to_pylist()
-            h, split, start, end = laid_out(texts, hasher)
-            sums, back = hasher.prefix(h)
-            bits = information(h, end, np.repeat(start, [len(ts) for ts in split]), hasher, tables)
-            cuts: list[tuple[int, int]] = []
-            for ek, t, ts, a in zip(batch.column(0).to_pylist(), texts, split, start.tolist()):
+            if not batch.num_rows:
+                continue
+            h, split, start, _ = laid_out(batch.column(1).to_pylist(), hasher)
+            known = {k: (hasher.runs(h, k), information(h, k, hasher, tables)) for k in (SHORT_ORDER, ORDER)}
+            out = []
+            for ek, t, ts, a in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), split, start.tolist()):
                 if not counts(ts):
                     continue
-                n, edits = len(ts), len(ts) // PART
-                made = None
-                if edits < CHAR_EDITS or not by_character(ts):
-                    made = terms(bits[a : a + n], edits)
-                    cuts += [(a + x, a + y) for x, y in made]
-                out.append((ek, t, n, made))
+                n, edits, chars = len(ts), len(ts) // PART, by_character(ts)
+                mark = int(sketch(h[a : a + n], np.zeros(1, np.int64))[0])
+                same = (ek, t, int.from_bytes(ek[:8], "little", signed=True), n)
+                if not edits:
+                    out.append((*same, n, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
+                    continue
+                for k in sorted({int(order_of(length_class(m))) for m in (n - edits, n + edits)}):
+                    runs, weights = (x[a : a + n - k + 1] for x in known[k])
+                    listed = Listed(runs, weights, k, edits)
+                    low = n > SHORT_TEXT + edits and listed.share(edits) > LISTED_SHARE
+                    out.append((*same, k, low, chars, mark, runs[listed.head].view(np.int64), listed.head.astype(np.int32)))
             if out:
-                x, y = (np.array(v, np.int64) for v in zip(*cuts)) if cuts else (np.zeros(0, np.int64),) * 2
-                with np.errstate(over="ignore"):
-                    runs = iter(hasher.mix((sums[y] - sums[x]) * back[x], y - x).view(np.int64).tolist())
-                c = list(zip(*out))
-                made = [None if m is None else [{"run": next(runs), "at": a, "k": b - a} for a, b in m] for m in c[3]]
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int32()), pa.array(made, arrow)], names=["ek", "norm", "n", "terms"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["ek", "norm", *fields])
 
-    return classes.select("ek", "norm").mapInArrow(run, schema)
+    return classes.select("ek", "norm").mapInArrow(run, schema_with(classes, ["ek", "norm"], **fields)), shared
 
 
-def placed_terms(answers: DataFrame) -> DataFrame:
-    """(h): hashes of the terms with every length class and stretch of places
-    where a match may have them."""
+def inverted_lists(answers: DataFrame) -> DataFrame:
+    """(h, e64, where, sketch): every listed term of every answer under each
+    length class and stretch of places where a match may have it; ``where`` is
+    the answer's length and the term's place in one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms_ = batch.column(1)
-            flat = terms_.flatten()
-            n = np.repeat(batch.column(0).to_numpy(), terms_.value_lengths().to_numpy())
-            run_, at, k = (flat.field(c).to_numpy() for c in ("run", "at", "k"))
-            edits = n // PART
-            classes = np.array([length_class(i) for i in range(int((n + edits).max(initial=1)) + 1)])
-            wide_of = np.array([stretch(c) for c in range(int(classes.max()) + 1)])
-            out = []
-            low = classes[n - edits]
-            for more in range(int((classes[n + edits] - low).max(initial=0)) + 1):
+            e64, n, order, mark = (batch.column(c).to_numpy() for c in ("e64", "n", "order", "sketch"))
+            places = batch.column("places")
+            of = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
+            runs, at = batch.column("runs").flatten().to_numpy().view(np.uint64), places.flatten().to_numpy().astype(np.int64)
+            edits = (n // PART)[of]
+            low = length_class(n[of] - edits)
+            keys, rows = [runs[edits == 0]], [np.flatnonzero(edits == 0)]
+            for more in range(3):
                 cls = low + more
-                i = np.flatnonzero(cls <= classes[n + edits])
-                wide = wide_of[cls[i]]
+                i = np.flatnonzero((edits > 0) & (cls <= length_class(n[of] + edits)) & (order_of(cls) == order[of]))
+                wide = stretch(cls[i])
                 first, last = np.maximum(0, at[i] - edits[i]) // wide, (at[i] + edits[i]) // wide
-                for step in range(int((last - first).max(initial=0)) + 1):
+                for step in range(int((last - first).max(initial=-1)) + 1):
                     ok = first + step <= last
                     j = i[ok]
-                    out.append(Hasher.mix(run_[j].view(np.uint64) ^ place_key(cls[j], first[ok] + step), k[j]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64))], names=["h"])
-
-    return answers.filter("terms is not null").select("n", "terms").mapInArrow(run, "h long")
-
+                    keys.append(Hasher.mix(runs[j] ^ place_key(cls[j], first[ok] + step), order[of[j]]))
+                    rows.append(j)
+            h, j = np.concatenate(keys), np.concatenate(rows)
+            o = of[j]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(e64[o]), pa.array(n[o].astype(np.int64) << 32 | at[j]), pa.array(mark[o])], names=["h", "e64", "where", "sketch"])
 
-def inverted_lists(answers: DataFrame) -> DataFrame:
-    """(h, n, at, to, ek): the listed pairs of terms of every class."""
+    return answers.filter("not low").select("e64", "n", "order", "sketch", "runs", "places").mapInArrow(run, "h long, e64 long, where long, sketch long")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hs, ns, ats, tos, eks = [], [], [], [], []
-            for ek, n, ts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                r = np.array([t["run"] for t in ts], np.int64).view(np.uint64)
-                i, j = np.triu_indices(len(ts), 1) if len(ts) > 1 else (np.zeros(1, int), np.zeros(1, int))
-                at = np.array([t["at"] for t in ts], np.int32)
-                hs.append(entry(r[i], r[j]))
-                ats.append(at[i])
-                tos.append(at[j])
-                ns += [n] * len(i)
-                eks += [ek] * len(i)
-            if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(ns, pa.int32()), pa.array(np.concatenate(ats)), pa.array(np.concatenate(tos)), pa.array(eks, pa.binary())], names=["h", "n", "at", "to", "ek"])
-
-    return answers.filter("terms is not null").select("ek", "n", "terms").mapInArrow(run, "h long, n int, at int, to int, ek binary")
 
+def whole(h: np.ndarray, hasher: Hasher) -> np.ndarray:
+    """Key of a text that may differ in no token."""
+    return Hasher.mix(hasher.runs(h, len(h)), 1)
 
-class Block:
-    """A bounded number of answers, held against texts by counting runs."""
 
-    def __init__(self, answers: list[tuple[bytes, str]]):
-        hasher = Hasher()
-        self.eks = [ek for ek, _ in answers]
-        self.tokens = [tokens(t) for _, t in answers]
-        self.n = np.array([len(t) for t in self.tokens], np.int64)
-        self.edits = self.n // PART
-        self.need = np.maximum(1, self.n // GRAM - self.edits)
-        runs, who, seg = [], [], []
-        for i, ts in enumerate(self.tokens):
-            r = hasher.runs(hasher.hashes(ts), GRAM)[::GRAM][: len(ts) // GRAM]
-            runs.append(r)
-            who.append(np.full(len(r), i))
-            seg.append(np.arange(len(r)))
-        runs, who, seg = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (runs, who, seg))
-        order = np.argsort(runs, kind="stable")
-        self.who, self.seg = who[order], seg[order]
-        self.hashes, self.first = np.unique(runs[order], return_index=True)
-        self.last = np.append(self.first[1:], len(runs))
+def sketch(h: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """64 bits for each text: one for every token, by its hash. An edit takes
+    away at most one bit and adds at most one."""
+    if not len(h):
+        return np.zeros(len(start), np.int64)
+    return np.bitwise_or.reduceat(np.uint64(1) << (h >> np.uint64(58)), start).view(np.int64)
 
-    def matches(self, runs: np.ndarray, owner: np.ndarray, place: np.ndarray, split: list[list[str]]):
-        """(text, answer, edits) of all matches; ``runs`` are the hashes of the
-        texts' runs of GRAM tokens, with text and place of each."""
-        if not len(self.hashes) or not len(runs):
-            return
-        at = np.searchsorted(self.hashes, runs)
-        at[at == len(self.hashes)] = 0
-        hit = np.flatnonzero(self.hashes[at] == runs)
-        at, owner, place = at[hit], owner[hit], place[hit]
-        least = int(self.need.min())
-        low, high = int((self.n - self.edits).min()), int((self.n + self.edits).max())
-        begin = np.flatnonzero(np.diff(owner, prepend=-1))
-        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(owner)]):
-            if b - a < least:
-                continue
-            o = int(owner[a])
-            if not low <= len(split[o]) <= high:
-                continue
-            i = at[a:b]
-            many = self.last[i] - self.first[i]
-            flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-            who, seg = self.who[flat], self.seg[flat]
-            pos = np.repeat(place[a:b], many)
-            ok = (np.abs(pos - seg * GRAM) <= self.edits[who]) & (np.abs(len(split[o]) - self.n[who]) <= self.edits[who])
-            # a run found at two places counts twice, which only lets more by
-            for k in np.flatnonzero(np.bincount(who[ok], minlength=len(self.n)) >= self.need).tolist():
-                e = edit_distance(self.tokens[k], split[o])
-                if e * PART <= self.n[k]:
-                    yield o, k, e
-
-
-def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << BLOOM_BITS) - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
+def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return (h % np.uint64(bits)).astype(np.int64), (Hasher.mix(h, 2) % np.uint64(bits)).astype(np.int64)
 
-def _inside(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Indices of the hashes whose two bits are set."""
-    a, b = _probes(h)
-    i = np.flatnonzero((bits[a >> 3] >> (a & 7).astype(np.uint8)) & 1)
-    b = b[i]
-    return i[(bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1 == 1]
 
-
-def bloom(hashes: DataFrame) -> np.ndarray:
-    """Bit array of 2^BLOOM_BITS bits with two probes a hash of the only
-    column; put together in blocks, its size does not depend on the data."""
+def key_filter(lists: DataFrame) -> tuple[int, np.ndarray] | None:
+    """Bloom filter (two probes) of the listed keys, FILTER_BITS bits for each
+    row; None if it would be larger than FILTER_MAX_BYTES."""
+    n = lists.count()
+    bits = max(1, -(-n * FILTER_BITS >> PACK_BITS)) << PACK_BITS
+    if bits > 8 * FILTER_MAX_BYTES:
+        return None
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                at = np.unique(np.concatenate(_probes(batch.column(0).to_numpy().view(np.uint64))))
-                block, first = np.unique(at >> BLOCK_BITS, return_index=True)
-                offsets = np.split((at & ((1 << BLOCK_BITS) - 1)).astype("<u2"), first[1:])
+                at = np.unique(np.concatenate(_probes(batch.column(0).to_numpy().view(np.uint64), bits)))
+                block, first = np.unique(at >> PACK_BITS, return_index=True)
+                offsets = np.split((at & ((1 << PACK_BITS) - 1)).astype("<u2"), first[1:])
                 yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array([o.tobytes() for o in offsets], pa.binary())], names=["block", "offsets"])
 
     def pack(key, batch):
-        bits = np.zeros(1 << BLOCK_BITS, np.uint8)
+        one = np.zeros(1 << PACK_BITS, np.uint8)
         for o in batch.column("offsets").to_pylist():
-            bits[np.frombuffer(o, "<u2")] = 1
-        return pa.table({"block": [key[0].as_py()], "bits": [np.packbits(bits, bitorder="little").tobytes()]}, schema=pa.schema([("block", pa.int32()), ("bits", pa.binary())]))
+            one[np.frombuffer(o, "<u2")] = 1
+        return pa.table({"block": [key[0].as_py()], "bits": [np.packbits(one, bitorder="little").tobytes()]}, schema=pa.schema([("block", pa.int32()), ("bits", pa.binary())]))
 
-    spread = hashes.mapInArrow(parts, "block int, offsets binary")
-    out = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
-    step = 1 << (BLOCK_BITS - 3)
-    for r in spread.groupBy("block").applyInArrow(pack, "block int, bits binary").collect():
+    out = np.zeros(bits >> 3, np.uint8)
+    step = 1 << (PACK_BITS - 3)
+    for r in lists.select("h").mapInArrow(parts, "block int, offsets binary").groupBy("block").applyInArrow(pack, "block int, bits binary").collect():
         out[r["block"] * step : (r["block"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-    return out
-
-
-def scan(texts: DataFrame, single: np.ndarray, double: np.ndarray, lengths: list[int], block: list[tuple[bytes, str]]) -> DataFrame:
-    """(key, sk, n, norm, hits, found) of every training text: its class, the
-    entries that may be listed with the places of their terms, and its matches
-    in the block. ``norm`` is kept only beside hits."""
-    shared = texts.sparkSession.sparkContext.broadcast((single, double, lengths, Block(block)))
-    match = T.ArrayType(T.StructType([T.StructField("ek", T.BinaryType()), T.StructField("edits", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
-    match_type = pa.list_(pa.struct([("ek", pa.binary()), ("edits", pa.int32()), ("cosine", pa.float64())]))
-    names = ("h", "one", "two")
-    hit = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("one", T.IntegerType()), T.StructField("two", T.IntegerType())]))
-    schema = schema_with(texts, ["key"], sk=T.BinaryType(), n=T.IntegerType(), norm=T.StringType(), hits=hit, found=match)
-
-    def look_up(split: list[list[str]], hasher: Hasher, single, double, lengths, block: Block) -> tuple:
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        stop = np.cumsum(sizes)
-        start = stop - sizes
-        h = hasher.hashes([t for ts in split for t in ts])
-        owner = np.repeat(np.arange(len(split)), sizes)
-        sums, back = hasher.prefix(h)
-        end = stop[owner]
-        cls = np.array([length_class(n) for n in sizes.tolist()], np.int64)
-        wide = np.array([stretch(c) for c in cls.tolist()], np.int64)
-        where = place_key(cls[owner], (np.arange(len(h)) - start[owner]) // wide[owner])
-        at, hashes, length = [], [], []
-        matched: dict[int, list] = {}
-        for k in lengths:
-            if len(h) < k:
-                continue
-            with np.errstate(over="ignore"):
-                r = hasher.mix((sums[k:] - sums[:-k]) * back[: len(h) - k + 1], k)
-            i = _inside(single, hasher.mix(r ^ where[: len(r)], k))
-            i = i[i + k <= end[i]]
-            at.append(i)
-            hashes.append(r[i])
-            length.append(np.full(len(i), k))
-            if k == GRAM:
-                i = np.flatnonzero(np.arange(len(r)) + k <= end[: len(r)])
-                for o, a, e in block.matches(r[i], owner[i], i - start[owner[i]], split):
-                    matched.setdefault(o, []).append({"ek": block.eks[a], "edits": e, "cosine": cosine(split[o], block.tokens[a])})
-        at, hashes, length = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, hashes, length))
-        order = np.argsort(at, kind="stable")
-        at, hashes, length = at[order], hashes[order].astype(np.uint64), length[order]
-        own = owner[at] if len(at) else np.zeros(0, np.int64)
-        # whole short texts are entries of one term
-        whole = np.flatnonzero((at == start[own]) & (length == sizes[own]) & (sizes[own] < PART)) if len(at) else np.zeros(0, np.int64)
-        found = [(own[whole], entry(hashes[whole], hashes[whole]), at[whole], at[whole])]
-        # every two terms of one text, in chunks
-        partners = np.searchsorted(own, own, side="right") - np.arange(len(own)) - 1
-        upto = np.cumsum(partners)
-        lo = 0
-        while lo < len(own):
-            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + CHUNK, side="right")))
-            many = partners[lo:hi]
-            one = np.repeat(np.arange(lo, hi), many)
-            two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(many) - many, many)
-            apart = at[one] + length[one] <= at[two]
-            one, two = one[apart], two[apart]
-            e = entry(hashes[one], hashes[two])
-            i = _inside(double, e)
-            found.append((own[one[i]], e[i], at[one[i]], at[two[i]]))
-            lo = hi
-        o, e, a, b = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(o, kind="stable")
-        o, e = o[order], e[order]
-        return sizes, o, e, a[order] - start[o], b[order] - start[o], matched
+    return bits, out
+
+
+def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tuple[bool, int, int]]) -> DataFrame:
+    """(key, s64, sk, n, sketch, h, at, norm) of every training row: its class,
+    the keys of its runs that may be listed with their places, and its text
+    where its length and script lie in one of ``ranges`` (chars, from, to)."""
+    shared = rows.sparkSession.sparkContext.broadcast((known, ranges))
+    schema = schema_with(rows, ["key"], s64=T.LongType(), sk=T.BinaryType(), n=T.IntegerType(), sketch=T.LongType(), h=T.ArrayType(T.LongType()), at=T.ArrayType(T.IntegerType()), norm=T.StringType())
+
+    def inside(h: np.ndarray) -> np.ndarray:
+        i = np.arange(len(h))
+        if shared.value[0] is not None:
+            bits, filter_ = shared.value[0]
+            for at in _probes(h, bits):
+                at = at[i]
+                i = i[(filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        return i
+
+    def wanted(ts: list[str]) -> bool:
+        fitting = [chars for chars, lo, hi in shared.value[1] if lo <= len(ts) <= hi]
+        if not fitting:
+            return False
+        # an edit of a match may change which script has the most
+        share = sum(len(t) == 1 and ("\u0e00" <= t <= "\u0e7f" or "\u2e80" <= t <= "\u9fff") for t in ts) / max(1, len(ts))
+        return any(share > 0.25 if chars else share < 0.75 for chars in fitting)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         hasher = Hasher()
-        single, double, lengths, block = shared.value
         for batch in batches:
+            if not batch.num_rows:
+                continue
             norms = batch.column(1).to_pylist()
-            sizes, o, e, a, b, matched = look_up([tokens(t) for t in norms], hasher, single, double, lengths, block)
-            per = np.bincount(o, minlength=len(norms))
-            offsets = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
-            hits = pa.StructArray.from_arrays([pa.array(e.view(np.int64)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=list(names))
+            h, split, start, end = laid_out(norms, hasher)
+            sizes = np.fromiter(map(len, split), np.int64, len(split))
+            owner = np.repeat(np.arange(len(split)), sizes)
+            cls = length_class(sizes)
+            wide, order = stretch(cls), order_of(cls)
+            keys, places, owners = [], [], []
+            for k in (SHORT_ORDER, ORDER):
+                runs = hasher.runs(h, k)
+                i = np.flatnonzero((np.arange(len(runs)) + k <= end[: len(runs)]) & (order[owner[: len(runs)]] == k))
+                o = owner[i]
+                at = i - start[o]
+                key = Hasher.mix(runs[i] ^ place_key(cls[o], at // wide[o]), k)
+                j = inside(key)
+                keys.append(key[j])
+                places.append(at[j])
+                owners.append(o[j])
+            short = np.flatnonzero((sizes < PART) & (sizes >= LEAST_WORDS))
+            if len(short):
+                key = np.concatenate([whole(h[start[o] : start[o] + sizes[o]], hasher) for o in short.tolist()])
+                j = inside(key)
+                keys.append(key[j])
+                places.append(np.zeros(len(j), np.int64))
+                owners.append(short[j])
+            key, at, o = (np.concatenate(x) for x in (keys, places, owners))
+            by = np.argsort(o, kind="stable")
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(split)))]).astype(np.int32))
+            marks = np.zeros(len(split), np.int64)
+            some = np.flatnonzero(sizes)
+            marks[some] = sketch(h, start[some])
+            digests = [xxhash.xxh3_128_digest(t) for t in norms]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([xxhash.xxh3_128_digest(t) for t in norms], pa.binary()), pa.array(sizes.astype(np.int32)), pa.array([t if c else None for t, c in zip(norms, per.tolist())], pa.string()), pa.ListArray.from_arrays(pa.array(offsets), hits), pa.array([matched.get(k, []) for k in range(len(norms))], match_type)],
-                names=["key", "sk", "n", "norm", "hits", "found"],
+                [batch.column(0), pa.array(np.frombuffer(b"".join(digests), "<i8")[::2]), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int32)), pa.array(marks), pa.ListArray.from_arrays(offsets, pa.array(key[by].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(at[by].astype(np.int32))), pa.array([t if wanted(ts) else None for t, ts in zip(norms, split)], pa.string())],
+                names=["key", "s64", "sk", "n", "sketch", "h", "at", "norm"],
             )
 
-    return texts.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
+
 
+def listed_pairs(scanned: DataFrame, lists: DataFrame) -> DataFrame:
+    """(s64, e64): texts and answers that meet in a listed term at places, and
+    with lengths and tokens, that a match may have.
 
-def verify(pairs: DataFrame) -> DataFrame:
-    """(sk, ek, edits, cosine) of pairs (sk, ek, text, answer) in the bound."""
+    Keys of a slot (of 4,096) that holds more than HOT rows and eight times the
+    mean are salted: a text's row goes to one part, the list to all of them.
+    """
+    packed = F.shiftleft(F.col("n").cast("long"), 32)
+    hits = scanned.filter(F.size("h") > 0).select("s64", F.col("sketch").alias("sketch_text"), packed.alias("n"), F.explode(F.arrays_zip("h", "at")).alias("x")).select("s64", "sketch_text", F.col("x.h").alias("h"), F.col("n").bitwiseOR(F.col("x.at").cast("long")).alias("where_text"))
+    slot = F.col("h").bitwiseAND(4095).cast("int")
+    slots = hits.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("c")).collect()  # 4,096 rows at most
+    hot = max(float(HOT), HOT_FACTOR * sum(r["c"] for r in slots) / 4096)
+    parts = {r["slot"]: int(-(-r["c"] // hot)) for r in slots if r["c"] > hot}
+    if parts:
+        salts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), slot), F.lit(1))
+        hits = hits.withColumn("salt", F.pmod(F.xxhash64("where_text", "sketch_text", "s64", F.monotonically_increasing_id()), salts).cast("int"))
+        lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    n, at, n_text, place = (f(c) for c in ("where", "where_text") for f in (lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)))
+    edits = F.floor(n / PART)
+    lost, gained = F.bit_count(F.col("sketch").bitwiseAND(F.bitwise_not("sketch_text"))), F.bit_count(F.col("sketch_text").bitwiseAND(F.bitwise_not("sketch")))
+    near = (F.abs(place - at) <= edits) & (F.abs(n_text - n) <= edits) & (lost <= edits) & (gained <= edits)
+    return hits.join(lists, ["h", "salt"] if parts else ["h"]).filter(near).select("s64", "e64").distinct()
+
+
+class Judge:
+    """Holds texts against answers: exact dot product, edit count, cosine."""
+
+    def __init__(self, tables: list[np.ndarray]):
+        self.hasher, self.tables = Hasher(), tables
+
+    def terms(self, ts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+        h = self.hasher.hashes(ts)
+        return self.hasher.runs(h, order), information(h, order, self.hasher, self.tables)
+
+    def decide(self, text: list[str], answer: list[str]) -> tuple[int, float] | None:
+        """(edits, cosine) of a match, None below the bound or above the edits."""
+        n, edits = len(answer), len(answer) // PART
+        if abs(len(text) - n) > edits:
+            return None
+        order = int(order_of(length_class(len(text)))) if edits else n
+        listed = Listed(*self.terms(answer, order), order, edits)
+        runs, weights = self.terms(text, order)
+        product = dot(listed, runs, edits)
+        if product < listed.bound * (1 - 1e-9):
+            return None
+        found = edit_distance(answer, text)
+        return None if found > edits else (found, min(1.0, product / (listed.norm2 * float(weights.sum())) ** 0.5))
+
+
+MATCH = "sk binary, ek binary, edits int, cosine double"
+_MATCH = pa.schema([("sk", pa.binary()), ("ek", pa.binary()), ("edits", pa.int32()), ("cosine", pa.float64())])
+
+
+def _matches(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else [()] * 4, _MATCH)], schema=_MATCH)
+
+
+def verify(pairs: DataFrame, shared) -> DataFrame:
+    """The matches among pairs (sk, text, ek, answer)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(shared.value)
         for batch in batches:
-            out: list[tuple] = []
-            for sk, ek, t, a in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                x, y = tokens(t), tokens(a)
-                edits = edit_distance(y, x)
-                if edits * PART <= len(y):
-                    out.append((sk, ek, edits, cosine(x, y)))
-            if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.float64())], names=["sk", "ek", "edits", "cosine"])
+            out = []
+            for sk, t, ek, a in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if made := judge.decide(tokens(t), tokens(a)):
+                    out.append((sk, ek, *made))
+            yield from _matches(out).to_batches()
+
+    return pairs.select("sk", "text", "ek", "answer").mapInArrow(run, MATCH)
 
-    return pairs.select("sk", "ek", "text", "answer").mapInArrow(run, "sk binary, ek binary, edits int, cosine double")
+
+class Block:
+    """The lists of a bounded number of answers, for texts of one class."""
+
+    def __init__(self, answers: list[tuple[bytes, str]], judge: Judge, order: int):
+        self.eks, self.tokens, self.judge, self.order = [ek for ek, _ in answers], [tokens(t) for _, t in answers], judge, order
+        self.n = np.array([len(t) for t in self.tokens], np.int64)
+        self.edits = self.n // PART
+        made = [Listed(*judge.terms(t, order), order, len(t) // PART) for t in self.tokens]
+        self.bound = np.array([x.bound for x in made]) * (1 - 1e-9)
+        runs, weight = np.concatenate([x.runs for x in made]), np.concatenate([x.weights for x in made])
+        who = np.repeat(np.arange(len(made)), [len(x.runs) for x in made])
+        at = np.concatenate([np.arange(len(x.runs)) for x in made])
+        by = np.argsort(runs, kind="stable")
+        self.runs, self.first = np.unique(runs[by], return_index=True)
+        self.last = np.append(self.first[1:], len(runs))
+        self.who, self.at, self.weight = who[by], at[by], weight[by]
+
+    def matches(self, text: list[str]):
+        """(answer, edits, cosine) of all matches: dot products are added up
+        over the lists of the text's runs, each term of an answer once."""
+        runs = self.judge.hasher.runs(self.judge.hasher.hashes(text), self.order)
+        i = np.searchsorted(self.runs, runs)
+        i[i == len(self.runs)] = 0
+        place = np.flatnonzero(self.runs[i] == runs)
+        i = i[place]
+        many = self.last[i] - self.first[i]
+        flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        who = self.who[flat]
+        flat = flat[(np.abs(np.repeat(place, many) - self.at[flat]) <= self.edits[who]) & (np.abs(len(text) - self.n[who]) <= self.edits[who])]
+        once = np.zeros(len(self.who), bool)
+        once[flat] = True
+        flat = np.flatnonzero(once)
+        product = np.bincount(self.who[flat], self.weight[flat], minlength=len(self.n))
+        for k in np.flatnonzero((product >= self.bound) & (product > 0)).tolist():
+            if made := self.judge.decide(text, self.tokens[k]):
+                yield self.eks[k], *made
+
+
+def block_pairs(scanned: DataFrame, answers: DataFrame, shared) -> DataFrame:
+    """The matches of the answers marked ``low``, class by class in blocks.
+
+    A class's answers are dealt to blocks of about BLOCK, its texts to parts of
+    about BLOCK_TEXTS; every part meets every block of its class in one task.
+    """
+    reach = F.floor(F.col("n") / PART)
+    low = answers.filter("low").select("ek", "e64", "norm", F.explode(F.sequence(_class_of(F.col("n") - reach), _class_of(F.col("n") + reach))).alias("cls"))
+    texts = scanned.filter("norm is not null").groupBy("sk").agg(F.first("norm").alias("norm"), F.first("n").alias("n")).withColumn("cls", _class_of(F.col("n")))
+    blocks = low.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    parts = texts.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).cast("int").alias("parts"))
+    sizes = F.broadcast(blocks.join(parts, "cls"))  # a row a length class
+    left = low.join(sizes, "cls").select("cls", F.pmod(F.xxhash64("e64"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "ek", "norm")
+    right = texts.join(sizes, "cls").select("cls", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("sk"), "parts").cast("int").alias("part"), "sk", "norm")
+
+    def run(key, held: pa.Table, texts_: pa.Table) -> pa.Table:
+        if not held.num_rows or not texts_.num_rows:
+            return _matches([])
+        block = Block(list(zip(held.column("ek").to_pylist(), held.column("norm").to_pylist())), Judge(shared.value), int(order_of(key[0].as_py())))
+        return _matches([(sk, *m) for sk, t in zip(texts_.column("sk").to_pylist(), texts_.column("norm").to_pylist()) for m in block.matches(tokens(t))])
+
+    by = ["cls", "block", "part"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(run, MATCH)
+
+
+def _class_of(n):
+    """``length_class`` as a column."""
+    return F.when(n <= SHORT_TEXT, 0).otherwise(F.ceil(F.log2(n / float(SHORT_TEXT))).cast("int"))
+
+
+def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Matches of classes (sk, ek, edits, cosine), and the members of both
+    sides: (key, sk) and (key, ek)."""
+    held_rows = cut(_normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))).distinct())
+    answers, shared = answers_of(held_rows.select("ek", "norm").distinct())
+    answers = cut(answers)
+    lists = inverted_lists(answers)
+    reach = F.floor(F.col("n") / PART)
+    ranges = [tuple(r) for r in answers.filter("low").groupBy("chars", _class_of(F.col("n")).alias("c")).agg(F.min(F.col("n") - reach), F.max(F.col("n") + reach)).drop("c").collect()]  # a row a length class
+    scanned = cut(scan(_normalised(train, train_key, train_text), key_filter(lists), ranges))
+    pairs = cut(listed_pairs(scanned, lists))
+    # the texts of the candidates are normalised again rather than kept for all
+    classes = scanned.select("key", "s64", "sk").join(pairs.select("s64").distinct(), "s64").groupBy("s64", "sk").agg(F.min("key").alias("key"))
+    texts = _normalised(train.join(classes.select(F.col("key").alias(train_key)).distinct(), train_key, "left_semi"), train_key, train_text)
+    texts = scan(texts, (1 << PACK_BITS, np.zeros(1 << (PACK_BITS - 3), np.uint8)), [(c, 0, 1 << 40) for c in (True, False)]).select("sk", F.col("norm").alias("text"))
+    texts = texts.join(classes.select("s64", "sk"), "sk").dropDuplicates(["sk"])
+    joined = pairs.join(texts, "s64").join(answers.select("e64", "ek", F.col("norm").alias("answer")).distinct(), "e64")
+    same = verify(joined, shared)
+    if ranges:
+        same = same.unionByName(block_pairs(scanned, answers, shared))
+    same = same.groupBy("sk", "ek").agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine"))
+    return same, scanned.select("key", "sk").distinct(), held_rows.select("key", "ek").distinct()
 
 
 def cross_split(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> DataFrame:
@@ -567,44 +645,35 @@ def cross_split(train: DataFrame, train_key: str, train_text: str, held: DataFra
     under five words (ten characters) never count. Null and empty texts repeat
     nothing. Several rows of a key count once.
     """
-    held_rows = cut(_normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))).distinct())
-    answers = cut(split_answers(held_rows.select("ek", "norm").distinct()))
-    lists = inverted_lists(answers)
-    single, double = bloom(placed_terms(answers)), bloom(lists.select("h"))
-    low = answers.filter("terms is null")
-    n_blocks = -(-low.count() // BLOCK)
-    blocks = [[(bytes(r["ek"]), r["norm"]) for r in low.filter(F.pmod(F.xxhash64("ek"), F.lit(n_blocks)) == i).select("ek", "norm").collect()] for i in range(min(n_blocks, 1))] or [[]]
-    lengths = list(range(SHORTEST, LONGEST + 1))
-    train_rows = _normalised(train, train_key, train_text)
-    scanned = cut(scan(train_rows, single, double, lengths, blocks[0]))
-    hits = scanned.filter(F.size("hits") > 0).select("sk", F.col("n").alias("n_text"), F.explode("hits").alias("x")).select("sk", "n_text", "x.h", F.col("x.one").alias("p"), F.col("x.two").alias("q")).distinct()
-    edits = F.floor(F.col("n") / PART)
-    near = hits.join(lists, "h").filter((F.abs(F.col("p") - F.col("at")) <= edits) & (F.abs(F.col("q") - F.col("to")) <= edits) & (F.abs(F.col("n_text") - F.col("n")) <= edits))
-    texts = scanned.filter("norm is not null").groupBy("sk").agg(F.first("norm").alias("text"))
-    pairs = near.select("sk", "ek").distinct().join(texts, "sk").join(answers.select("ek", F.col("norm").alias("answer")), "ek")
-    found = scanned.filter(F.size("found") > 0).select("sk", F.explode("found").alias("m")).select("sk", "m.*").distinct()
-    same = verify(pairs).unionByName(found)
-    nothing = np.zeros(1 << (BLOOM_BITS - 3), np.uint8)
-    for i in range(1, n_blocks):  # more low answers than a block holds
-        block = [(bytes(r["ek"]), r["norm"]) for r in low.filter(F.pmod(F.xxhash64("ek"), F.lit(n_blocks)) == i).select("ek", "norm").collect()]
-        more = cut(scan(train_rows, nothing, nothing, [GRAM], block).filter(F.size("found") > 0).select("sk", F.explode("found").alias("m")).select("sk", "m.*").distinct())
-        same = same.unionByName(more)
-    members = scanned.select("key", "sk").distinct()
+    same, members, held_members = _matched(train, train_key, train_text, held, held_key, held_text)
     out = same.join(members, "sk").withColumnRenamed("key", train_key)
-    out = out.join(held_rows.select(F.col("key").alias(held_key), "ek").distinct(), "ek")
+    out = out.join(held_members.withColumnRenamed("key", held_key), "ek")
     return out.groupBy(train_key, held_key).agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine"))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cross_split(table(spark, sf_dir, "mds_samples"), "sample_id", "response_text", table(spark, sf_dir, "eval_items"), "item_id", "answer")
+def linked_classes(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> DataFrame:
+    """(train_key, class_id, n_links): every training record that repeats held
+    ones, with the class of its text and the number of records it repeats;
+    copies are counted, not paired."""
+    same, members, held_members = _matched(train, train_key, train_text, held, held_key, held_text)
+    links = same.join(held_members.groupBy("ek").agg(F.count(F.lit(1)).alias("n")), "ek").groupBy("sk").agg(F.sum("n").alias("n_links"))
+    return links.join(members, "sk").select(F.col("key").alias(train_key), F.lower(F.hex("sk")).alias("class_id"), "n_links")
+
+
+_SIDES = lambda spark, d: (table(spark, d, "mds_samples"), "sample_id", "response_text", table(spark, d, "eval_items"), "item_id", "answer")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).select("sample_id", "item_id")
+    return cross_split(*_SIDES(spark, sf_dir)).select("sample_id", "item_id")
+
+
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeating training sample with its class and number of links."""
+    return linked_classes(*_SIDES(spark, sf_dir))
 
 
 def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated evaluation items and training samples per split and set."""
     items = table(spark, sf_dir, "eval_items").groupBy("item_id").agg(F.first("split").alias("split"), F.first(F.trim("set_name")).alias("set_name"))
-    hits = _pairs(spark, sf_dir).join(items, "item_id")
+    hits = cross_split(*_SIDES(spark, sf_dir)).join(items, "item_id")
     return hits.groupBy("split", "set_name").agg(F.countDistinct("item_id").alias("n_items"), F.countDistinct("sample_id").alias("n_samples"), F.count_if(F.col("edits") == 0).alias("n_same"), F.count_if(F.col("edits") > 0).alias("n_near"))
