@@ -1,10 +1,10 @@
 """Problem 4: same or near-same records across splits.
 
 A weighted cosine join between the training texts and the evaluation answers.
-The terms of a text are its runs of ORDER tokens, their weights the square roots
+The terms of a text are its runs of four to six tokens, their weights the square roots
 of the information of the run, so a dot product adds up the information of the
 shared runs. An answer of n tokens may differ in e = n / PART of them; an edit
-touches at most ORDER runs, so a match keeps a dot product of at least
+touches at most as many runs, so a match keeps a dot product of at least
 
     bound = |a|^2 - (the heaviest runs that e edits can touch).
 
@@ -26,6 +26,7 @@ and bounds. Equal texts of either side are one class until the end.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,15 +40,16 @@ from undertone.sources.tables import table
 LEAST_WORDS, LEAST_CHARS = 5, 10
 #: One edit in so many tokens.
 PART = 8
-#: Tokens of a term; texts of up to SHORT_TEXT tokens have shorter ones.
-ORDER, SHORT_ORDER, SHORT_TEXT = 5, 4, 10
+#: Tokens of a term in texts of the first, second and all further length
+#: classes; a text of the first class has at most SHORT_TEXT tokens.
+ORDERS, SHORT_TEXT = (4, 5, 6), 10
 #: Slots of a count table (fixed, whatever the data).
 SLOTS = 1 << 18
 #: Bits of the filter for a listed key, and the largest filter that is sent to
 #: the tasks; above it the runs of all texts are shuffled.
-FILTER_BITS, FILTER_MAX_BYTES = 8, 64 << 20
+FILTER_BITS, FILTER_MAX_BYTES = 12, 64 << 20
 #: Share of the texts of its length that an answer's lists may meet.
-LISTED_SHARE = 0.02
+LISTED_SHARE = 0.001
 #: Answers of a block, texts that pass it in one task; a slot of terms is hot with
 #: more rows than HOT and HOT_FACTOR times the mean.
 BLOCK, BLOCK_TEXTS, HOT, HOT_FACTOR = 4096, 50_000, 1_000_000, 8
@@ -241,12 +243,12 @@ def length_class(n):
 def order_of(cls):
     """Length of the terms of texts in a class. For every answer that may match
     such a text n - order + 1 > order * (n / PART), so a match keeps a term."""
-    return np.where(np.asarray(cls) == 0, SHORT_ORDER, ORDER)
+    return np.array(ORDERS)[np.minimum(cls, len(ORDERS) - 1)]
 
 
 def stretch(cls):
     """Width of the places that count as one in texts of a length class."""
-    return SHORT_TEXT * (1 << np.asarray(cls, np.int64)) // 2
+    return SHORT_TEXT * (1 << np.asarray(cls, np.int64)) // 3 + 1
 
 
 def place_key(cls, place):
@@ -290,7 +292,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
     """The classes of answers long enough to count, and the broadcast count
     tables (3 x SLOTS numbers, whatever the data).
 
-    A row for each order of terms an answer needs (two for short ones): ek, e64,
+    A row for each order of terms an answer needs (one or two): ek, e64,
     norm, n, order, low, chars, sketch, runs and places of the listed terms.
     ``low``: the answer goes through the blocks of its length class.
     """
@@ -304,7 +306,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
             if not batch.num_rows:
                 continue
             h, split, start, _ = laid_out(batch.column(1).to_pylist(), hasher)
-            known = {k: (hasher.runs(h, k), information(h, k, hasher, tables)) for k in (SHORT_ORDER, ORDER)}
+            known = {k: (hasher.runs(h, k), information(h, k, hasher, tables)) for k in ORDERS}
             out = []
             for ek, t, ts, a in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), split, start.tolist()):
                 if not counts(ts):
@@ -315,11 +317,13 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
                 if not edits:
                     out.append((*same, n, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
                     continue
-                for k in sorted({int(order_of(length_class(m))) for m in (n - edits, n + edits)}):
+                lists = {}
+                for k in sorted({int(order_of(c)) for c in range(int(length_class(n - edits)), int(length_class(n + edits)) + 1)}):
                     runs, weights = (x[a : a + n - k + 1] for x in known[k])
-                    listed = Listed(runs, weights, k, edits)
-                    low = n > SHORT_TEXT + edits and listed.share(edits) > LISTED_SHARE
-                    out.append((*same, k, low, chars, mark, runs[listed.head].view(np.int64), listed.head.astype(np.int32)))
+                    lists[k] = Listed(runs, weights, k, edits)
+                low = any(x.share(edits) > LISTED_SHARE for x in lists.values())
+                for k, x in lists.items():
+                    out.append((*same, k, low, chars, mark, x.runs[x.head].view(np.int64), x.head.astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["ek", "norm", *fields])
 
@@ -403,10 +407,11 @@ def key_filter(lists: DataFrame) -> tuple[int, np.ndarray] | None:
     return bits, out
 
 
-def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tuple[bool, int, int]]) -> DataFrame:
+def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tuple[bool, bool, int, int]]) -> DataFrame:
     """(key, s64, sk, n, sketch, h, at, norm) of every training row: its class,
-    the keys of its runs that may be listed with their places, and its text
-    where its length and script lie in one of ``ranges`` (chars, from, to)."""
+    the keys of its runs that may be listed with their places, and its text.
+    Keys and text stand where its length and script lie in one of ``ranges``
+    (low, chars, from, to) of listed and of low answers."""
     shared = rows.sparkSession.sparkContext.broadcast((known, ranges))
     schema = schema_with(rows, ["key"], s64=T.LongType(), sk=T.BinaryType(), n=T.IntegerType(), sketch=T.LongType(), h=T.ArrayType(T.LongType()), at=T.ArrayType(T.IntegerType()), norm=T.StringType())
 
@@ -419,13 +424,15 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
                 i = i[(filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
         return i
 
-    def wanted(ts: list[str]) -> bool:
-        fitting = [chars for chars, lo, hi in shared.value[1] if lo <= len(ts) <= hi]
+    def wanted(ts: list[str]) -> tuple[bool, bool]:
+        """Whether listed, and low, answers may match a text."""
+        fitting = {(low, chars) for low, chars, lo, hi in shared.value[1] if lo <= len(ts) <= hi}
         if not fitting:
-            return False
+            return False, False
         # an edit of a match may change which script has the most
         share = sum(len(t) == 1 and ("\u0e00" <= t <= "\u0e7f" or "\u2e80" <= t <= "\u9fff") for t in ts) / max(1, len(ts))
-        return any(share > 0.25 if chars else share < 0.75 for chars in fitting)
+        may = {True: share > 0.25, False: share < 0.75}
+        return tuple(any(may[chars] for low_, chars in fitting if low_ == low) for low in (False, True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -439,9 +446,12 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
             sizes = np.fromiter(map(len, split), np.int64, len(split))
             owner = np.repeat(np.arange(len(split)), sizes)
             cls = length_class(sizes)
-            wide, order = stretch(cls), order_of(cls)
+            listed, low = np.array([wanted(ts) for ts in split], bool).T
+            wide, order = stretch(cls), np.where(listed, order_of(cls), 0)
             keys, places, owners = [], [], []
-            for k in (SHORT_ORDER, ORDER):
+            for k in ORDERS:
+                if not (order == k).any():
+                    continue
                 runs = hasher.runs(h, k)
                 i = np.flatnonzero((np.arange(len(runs)) + k <= end[: len(runs)]) & (order[owner[: len(runs)]] == k))
                 o = owner[i]
@@ -451,14 +461,14 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
                 keys.append(key[j])
                 places.append(at[j])
                 owners.append(o[j])
-            short = np.flatnonzero((sizes < PART) & (sizes >= LEAST_WORDS))
+            short = np.flatnonzero(listed & (sizes < PART) & (sizes >= LEAST_WORDS))
             if len(short):
                 key = np.concatenate([whole(h[start[o] : start[o] + sizes[o]], hasher) for o in short.tolist()])
                 j = inside(key)
                 keys.append(key[j])
                 places.append(np.zeros(len(j), np.int64))
                 owners.append(short[j])
-            key, at, o = (np.concatenate(x) for x in (keys, places, owners))
+            key, at, o = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.uint64, keys), (np.int64, places), (np.int64, owners)))
             by = np.argsort(o, kind="stable")
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(split)))]).astype(np.int32))
             marks = np.zeros(len(split), np.int64)
@@ -466,7 +476,7 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
             marks[some] = sketch(h, start[some])
             digests = [xxhash.xxh3_128_digest(t) for t in norms]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.frombuffer(b"".join(digests), "<i8")[::2]), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int32)), pa.array(marks), pa.ListArray.from_arrays(offsets, pa.array(key[by].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(at[by].astype(np.int32))), pa.array([t if wanted(ts) else None for t, ts in zip(norms, split)], pa.string())],
+                [batch.column(0), pa.array(np.frombuffer(b"".join(digests), "<i8")[::2]), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int32)), pa.array(marks), pa.ListArray.from_arrays(offsets, pa.array(key[by].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(at[by].astype(np.int32))), pa.array([t if w else None for t, w in zip(norms, low.tolist())], pa.string())],
                 names=["key", "s64", "sk", "n", "sketch", "h", "at", "norm"],
             )
 
@@ -498,10 +508,12 @@ def listed_pairs(scanned: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 class Judge:
-    """Holds texts against answers: exact dot product, edit count, cosine."""
+    """Holds texts against answers: token counts, exact dot product, edit count,
+    cosine. What an answer needs is kept while texts of the same order come."""
 
     def __init__(self, tables: list[np.ndarray]):
         self.hasher, self.tables = Hasher(), tables
+        self.kept: tuple = (None, None)
 
     def terms(self, ts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
         h = self.hasher.hashes(ts)
@@ -513,13 +525,23 @@ class Judge:
         if abs(len(text) - n) > edits:
             return None
         order = int(order_of(length_class(len(text)))) if edits else n
-        listed = Listed(*self.terms(answer, order), order, edits)
-        runs, weights = self.terms(text, order)
-        product = dot(listed, runs, edits)
+        if self.kept[0] is not answer:
+            self.kept = (answer, Counter(answer), {})
+        _, counted, lists = self.kept
+        lost = counted.copy()
+        lost.subtract(text)
+        if sum(c for c in lost.values() if c > 0) > edits:
+            return None
+        if order not in lists:
+            lists[order] = Listed(*self.terms(answer, order), order, edits)
+        listed = lists[order]
+        product = dot(listed, self.hasher.runs(self.hasher.hashes(text), order), edits)
         if product < listed.bound * (1 - 1e-9):
             return None
         found = edit_distance(answer, text)
-        return None if found > edits else (found, min(1.0, product / (listed.norm2 * float(weights.sum())) ** 0.5))
+        if found > edits:
+            return None
+        return found, min(1.0, product / (listed.norm2 * float(self.terms(text, order)[1].sum())) ** 0.5)
 
 
 MATCH = "sk binary, ek binary, edits int, cosine double"
@@ -534,11 +556,13 @@ def verify(pairs: DataFrame, shared) -> DataFrame:
     """The matches among pairs (sk, text, ek, answer)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(shared.value)
+        judge, last, answer = Judge(shared.value), None, []
         for batch in batches:
             out = []
             for sk, t, ek, a in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if made := judge.decide(tokens(t), tokens(a)):
+                if ek != last:  # rows of an answer mostly follow each other
+                    last, answer = ek, tokens(a)
+                if made := judge.decide(tokens(t), answer):
                     out.append((sk, ek, *made))
             yield from _matches(out).to_batches()
 
@@ -621,17 +645,17 @@ def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame,
     answers = cut(answers)
     lists = inverted_lists(answers)
     reach = F.floor(F.col("n") / PART)
-    ranges = [tuple(r) for r in answers.filter("low").groupBy("chars", _class_of(F.col("n")).alias("c")).agg(F.min(F.col("n") - reach), F.max(F.col("n") + reach)).drop("c").collect()]  # a row a length class
+    ranges = [tuple(r) for r in answers.groupBy("low", "chars", _class_of(F.col("n")).alias("c")).agg(F.min(F.col("n") - reach), F.max(F.col("n") + reach)).drop("c").collect()]  # two rows a length class
     scanned = cut(scan(_normalised(train, train_key, train_text), key_filter(lists), ranges))
     pairs = cut(listed_pairs(scanned, lists))
     # the texts of the candidates are normalised again rather than kept for all
     classes = scanned.select("key", "s64", "sk").join(pairs.select("s64").distinct(), "s64").groupBy("s64", "sk").agg(F.min("key").alias("key"))
     texts = _normalised(train.join(classes.select(F.col("key").alias(train_key)).distinct(), train_key, "left_semi"), train_key, train_text)
-    texts = scan(texts, (1 << PACK_BITS, np.zeros(1 << (PACK_BITS - 3), np.uint8)), [(c, 0, 1 << 40) for c in (True, False)]).select("sk", F.col("norm").alias("text"))
+    texts = scan(texts, (1 << PACK_BITS, np.zeros(1 << (PACK_BITS - 3), np.uint8)), [(True, c, 0, 1 << 40) for c in (True, False)]).select("sk", F.col("norm").alias("text"))
     texts = texts.join(classes.select("s64", "sk"), "sk").dropDuplicates(["sk"])
     joined = pairs.join(texts, "s64").join(answers.select("e64", "ek", F.col("norm").alias("answer")).distinct(), "e64")
     same = verify(joined, shared)
-    if ranges:
+    if any(low for low, *_ in ranges):
         same = same.unionByName(block_pairs(scanned, answers, shared))
     same = same.groupBy("sk", "ek").agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine"))
     return same, scanned.select("key", "sk").distinct(), held_rows.select("key", "ek").distinct()
