@@ -121,6 +121,7 @@ def test_most_lost():
 @pytest.mark.parametrize("way", ["filter and lists", "no filter", "salted", "blocks"])
 def test_join_against_brute_force(spark, monkeypatch, way):
     monkeypatch.setattr(ov, "FILTER_MAX_BYTES", 0 if way == "no filter" else ov.FILTER_MAX_BYTES)
+    monkeypatch.setattr(ov, "KEPT_KEYS", 0 if way == "no filter" else ov.KEPT_KEYS)
     monkeypatch.setattr(ov, "HOT", 1 if way == "salted" else ov.HOT)
     monkeypatch.setattr(ov, "HOT_FACTOR", 0 if way == "salted" else ov.HOT_FACTOR)
     monkeypatch.setattr(ov, "LISTED_SHARE", {"blocks": 0.0, "filter and lists": 1e9}.get(way, ov.LISTED_SHARE))

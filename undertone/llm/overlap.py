@@ -49,11 +49,13 @@ SLOTS = 1 << 18
 #: the tasks; above it the runs of all texts are shuffled.
 FILTER_BITS, FILTER_MAX_BYTES = 12, 64 << 20
 #: Share of the texts of its length that an answer's lists may meet.
-LISTED_SHARE = 0.001
+LISTED_SHARE = 0.005
 #: Answers of a block, texts that pass it in one task; a slot of terms is hot with
 #: more rows than HOT and HOT_FACTOR times the mean.
-BLOCK, BLOCK_TEXTS, HOT, HOT_FACTOR = 4096, 50_000, 1_000_000, 8
+BLOCK, BLOCK_TEXTS, HOT, HOT_FACTOR = 4096, 8_000, 1_000_000, 8
 PACK_BITS = 16
+#: Keys of candidates that a bitmap in the plan stands for.
+KEPT_KEYS = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -292,13 +294,13 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
     """The classes of answers long enough to count, and the broadcast count
     tables (3 x SLOTS numbers, whatever the data).
 
-    A row for each order of terms an answer needs (one or two): ek, e64,
-    norm, n, order, low, chars, sketch, runs and places of the listed terms.
+    A row for each order of terms an answer needs (one or two, the first of them
+    marked ``main``): ek, e64, norm, n, main, order, low, chars, sketch, runs and places of the listed terms.
     ``low``: the answer goes through the blocks of its length class.
     """
     shared = classes.sparkSession.sparkContext.broadcast(_count_tables(classes))
-    fields = {"e64": T.LongType(), "n": T.IntegerType(), "order": T.IntegerType(), "low": T.BooleanType(), "chars": T.BooleanType(), "sketch": T.LongType(), "runs": T.ArrayType(T.LongType()), "places": T.ArrayType(T.IntegerType())}
-    types = [pa.binary(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    fields = {"e64": T.LongType(), "n": T.IntegerType(), "main": T.BooleanType(), "order": T.IntegerType(), "low": T.BooleanType(), "chars": T.BooleanType(), "sketch": T.LongType(), "runs": T.ArrayType(T.LongType()), "places": T.ArrayType(T.IntegerType())}
+    types = [pa.binary(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, tables = Hasher(), shared.value
@@ -315,7 +317,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
                 mark = int(sketch(h[a : a + n], np.zeros(1, np.int64))[0])
                 same = (ek, t, int.from_bytes(ek[:8], "little", signed=True), n)
                 if not edits:
-                    out.append((*same, n, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
+                    out.append((*same, True, n, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
                     continue
                 lists = {}
                 for k in sorted({int(order_of(c)) for c in range(int(length_class(n - edits)), int(length_class(n + edits)) + 1)}):
@@ -323,7 +325,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
                     lists[k] = Listed(runs, weights, k, edits)
                 low = any(x.share(edits) > LISTED_SHARE for x in lists.values())
                 for k, x in lists.items():
-                    out.append((*same, k, low, chars, mark, x.runs[x.head].view(np.int64), x.head.astype(np.int32)))
+                    out.append((*same, k == min(lists), k, low, chars, mark, x.runs[x.head].view(np.int64), x.head.astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["ek", "norm", *fields])
 
@@ -588,7 +590,7 @@ class Block:
 
     def matches(self, text: list[str]):
         """(answer, edits, cosine) of all matches: dot products are added up
-        over the lists of the text's runs, each term of an answer once."""
+        over the lists of the text's runs; what reaches its bound is decided."""
         runs = self.judge.hasher.runs(self.judge.hasher.hashes(text), self.order)
         i = np.searchsorted(self.runs, runs)
         i[i == len(self.runs)] = 0
@@ -598,9 +600,7 @@ class Block:
         flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
         who = self.who[flat]
         flat = flat[(np.abs(np.repeat(place, many) - self.at[flat]) <= self.edits[who]) & (np.abs(len(text) - self.n[who]) <= self.edits[who])]
-        once = np.zeros(len(self.who), bool)
-        once[flat] = True
-        flat = np.flatnonzero(once)
+        # a term found at two places counts twice, which only lets more by
         product = np.bincount(self.who[flat], self.weight[flat], minlength=len(self.n))
         for k in np.flatnonzero((product >= self.bound) & (product > 0)).tolist():
             if made := self.judge.decide(text, self.tokens[k]):
@@ -614,7 +614,7 @@ def block_pairs(scanned: DataFrame, answers: DataFrame, shared) -> DataFrame:
     about BLOCK_TEXTS; every part meets every block of its class in one task.
     """
     reach = F.floor(F.col("n") / PART)
-    low = answers.filter("low").select("ek", "e64", "norm", F.explode(F.sequence(_class_of(F.col("n") - reach), _class_of(F.col("n") + reach))).alias("cls"))
+    low = answers.filter("low and main").select("ek", "e64", "norm", F.explode(F.sequence(_class_of(F.col("n") - reach), _class_of(F.col("n") + reach))).alias("cls"))
     texts = scanned.filter("norm is not null").groupBy("sk").agg(F.first("norm").alias("norm"), F.first("n").alias("n")).withColumn("cls", _class_of(F.col("n")))
     blocks = low.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     parts = texts.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).cast("int").alias("parts"))
@@ -637,11 +637,26 @@ def _class_of(n):
     return F.when(n <= SHORT_TEXT, 0).otherwise(F.ceil(F.log2(n / float(SHORT_TEXT))).cast("int"))
 
 
+def among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be one of ``keys`` (all that are, some
+    that are not): up to KEPT_KEYS a bitmap in the plan, above it a join."""
+    n = keys.count()
+    if n > KEPT_KEYS:
+        return df.join(keys.select(F.col("key").alias(key)).distinct(), key, "left_semi")
+    bits = 1 << max(3, (8 * n).bit_length())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    bitmap = np.zeros(bits, np.uint8)
+    bitmap[[r[0] for r in keys.select(place("key")).distinct().collect()]] = 1  # KEPT_KEYS numbers at most
+    there = lambda at: F.conv(F.hex(F.substring(F.lit(bytearray(np.packbits(bitmap, bitorder="little").tobytes())), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    at = place(F.col(f"`{key}`").cast(keys.schema["key"].dataType))
+    return df.filter(F.pmod(F.floor(there(at) / F.pow(F.lit(2), at.bitwiseAND(7))), F.lit(2)) == 1)
+
+
 def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Matches of classes (sk, ek, edits, cosine), and the members of both
     sides: (key, sk) and (key, ek)."""
-    held_rows = cut(_normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))).distinct())
-    answers, shared = answers_of(held_rows.select("ek", "norm").distinct())
+    held_rows = cut(_normalised(held, held_key, held_text).withColumn("ek", F.unhex(F.md5("norm"))))
+    answers, shared = answers_of(held_rows.groupBy("ek").agg(F.first("norm").alias("norm")))
     answers = cut(answers)
     lists = inverted_lists(answers)
     reach = F.floor(F.col("n") / PART)
@@ -649,16 +664,16 @@ def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame,
     scanned = cut(scan(_normalised(train, train_key, train_text), key_filter(lists), ranges))
     pairs = cut(listed_pairs(scanned, lists))
     # the texts of the candidates are normalised again rather than kept for all
-    classes = scanned.select("key", "s64", "sk").join(pairs.select("s64").distinct(), "s64").groupBy("s64", "sk").agg(F.min("key").alias("key"))
-    texts = _normalised(train.join(classes.select(F.col("key").alias(train_key)).distinct(), train_key, "left_semi"), train_key, train_text)
+    classes = cut(scanned.select("key", "s64", "sk").join(pairs.select("s64").distinct(), "s64").groupBy("s64", "sk").agg(F.min("key").alias("key")))
+    texts = _normalised(among(train, train_key, classes.select("key")), train_key, train_text)
     texts = scan(texts, (1 << PACK_BITS, np.zeros(1 << (PACK_BITS - 3), np.uint8)), [(True, c, 0, 1 << 40) for c in (True, False)]).select("sk", F.col("norm").alias("text"))
     texts = texts.join(classes.select("s64", "sk"), "sk").dropDuplicates(["sk"])
-    joined = pairs.join(texts, "s64").join(answers.select("e64", "ek", F.col("norm").alias("answer")).distinct(), "e64")
+    joined = pairs.join(texts, "s64").join(answers.filter("main").select("e64", "ek", F.col("norm").alias("answer")), "e64")
     same = verify(joined, shared)
     if any(low for low, *_ in ranges):
         same = same.unionByName(block_pairs(scanned, answers, shared))
     same = same.groupBy("sk", "ek").agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine"))
-    return same, scanned.select("key", "sk").distinct(), held_rows.select("key", "ek").distinct()
+    return same, scanned.select("key", "sk"), held_rows.select("key", "ek")
 
 
 def cross_split(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> DataFrame:
@@ -680,8 +695,9 @@ def linked_classes(train: DataFrame, train_key: str, train_text: str, held: Data
     ones, with the class of its text and the number of records it repeats;
     copies are counted, not paired."""
     same, members, held_members = _matched(train, train_key, train_text, held, held_key, held_text)
-    links = same.join(held_members.groupBy("ek").agg(F.count(F.lit(1)).alias("n")), "ek").groupBy("sk").agg(F.sum("n").alias("n_links"))
-    return links.join(members, "sk").select(F.col("key").alias(train_key), F.lower(F.hex("sk")).alias("class_id"), "n_links")
+    copies = held_members.distinct().groupBy("ek").agg(F.count(F.lit(1)).alias("n"))
+    links = same.join(copies, "ek").groupBy("sk").agg(F.sum("n").alias("n_links"))
+    return links.join(members.distinct(), "sk").select(F.col("key").alias(train_key), F.lower(F.hex("sk")).alias("class_id"), "n_links")
 
 
 _SIDES = lambda spark, d: (table(spark, d, "mds_samples"), "sample_id", "response_text", table(spark, d, "eval_items"), "item_id", "answer")
