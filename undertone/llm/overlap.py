@@ -78,6 +78,7 @@ def comparable_sql(column: str, chars: set[str]) -> str:
     return rf"trim(regexp_replace({e}, '\b(uh|um|umm|erm|hmm)\b( |$)', '', 'g'))"
 
 
+_CHARACTER = re.compile("[฀-๿⺀-鿿]")
 _TOKEN = re.compile("[฀-๿⺀-鿿]|[^฀-๿⺀-鿿 ]+")
 
 
@@ -299,8 +300,8 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
     ``low``: the answer goes through the blocks of its length class.
     """
     shared = classes.sparkSession.sparkContext.broadcast(_count_tables(classes))
-    fields = {"e64": T.LongType(), "n": T.IntegerType(), "main": T.BooleanType(), "order": T.IntegerType(), "low": T.BooleanType(), "chars": T.BooleanType(), "sketch": T.LongType(), "runs": T.ArrayType(T.LongType()), "places": T.ArrayType(T.IntegerType())}
-    types = [pa.binary(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    fields = {"e64": T.LongType(), "n": T.IntegerType(), "main": T.BooleanType(), "order": T.IntegerType(), "bound": T.DoubleType(), "low": T.BooleanType(), "chars": T.BooleanType(), "sketch": T.LongType(), "runs": T.ArrayType(T.LongType()), "places": T.ArrayType(T.IntegerType())}
+    types = [pa.binary(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.float64(), pa.bool_(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, tables = Hasher(), shared.value
@@ -317,7 +318,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
                 mark = int(sketch(h[a : a + n], np.zeros(1, np.int64))[0])
                 same = (ek, t, int.from_bytes(ek[:8], "little", signed=True), n)
                 if not edits:
-                    out.append((*same, True, n, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
+                    out.append((*same, True, n, 0.0, False, chars, mark, whole(h[a : a + n], hasher).view(np.int64), np.zeros(1, np.int32)))
                     continue
                 lists = {}
                 for k in sorted({int(order_of(c)) for c in range(int(length_class(n - edits)), int(length_class(n + edits)) + 1)}):
@@ -325,7 +326,7 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
                     lists[k] = Listed(runs, weights, k, edits)
                 low = any(x.share(edits) > LISTED_SHARE for x in lists.values())
                 for k, x in lists.items():
-                    out.append((*same, k == min(lists), k, low, chars, mark, x.runs[x.head].view(np.int64), x.head.astype(np.int32)))
+                    out.append((*same, k == min(lists), k, x.bound, low, chars, mark, x.runs[x.head].view(np.int64), x.head.astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["ek", "norm", *fields])
 
@@ -426,13 +427,13 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
                 i = i[(filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
         return i
 
-    def wanted(ts: list[str]) -> tuple[bool, bool]:
-        """Whether listed, and low, answers may match a text."""
-        fitting = {(low, chars) for low, chars, lo, hi in shared.value[1] if lo <= len(ts) <= hi}
+    def wanted(text: str, n: int) -> tuple[bool, bool]:
+        """Whether listed, and low, answers may match a text of n tokens."""
+        fitting = {(low, chars) for low, chars, lo, hi in shared.value[1] if lo <= n <= hi}
         if not fitting:
             return False, False
         # an edit of a match may change which script has the most
-        share = sum(len(t) == 1 and ("\u0e00" <= t <= "\u0e7f" or "\u2e80" <= t <= "\u9fff") for t in ts) / max(1, len(ts))
+        share = 0.0 if text.isascii() else len(_CHARACTER.findall(text)) / max(1, n)
         may = {True: share > 0.25, False: share < 0.75}
         return tuple(any(may[chars] for low_, chars in fitting if low_ == low) for low in (False, True))
 
@@ -448,7 +449,7 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
             sizes = np.fromiter(map(len, split), np.int64, len(split))
             owner = np.repeat(np.arange(len(split)), sizes)
             cls = length_class(sizes)
-            listed, low = np.array([wanted(ts) for ts in split], bool).T
+            listed, low = np.array([wanted(t, len(ts)) for t, ts in zip(norms, split)], bool).T
             wide, order = stretch(cls), np.where(listed, order_of(cls), 0)
             keys, places, owners = [], [], []
             for k in ORDERS:
@@ -572,39 +573,44 @@ def verify(pairs: DataFrame, shared) -> DataFrame:
 
 
 class Block:
-    """The lists of a bounded number of answers, for texts of one class."""
-
-    def __init__(self, answers: list[tuple[bytes, str]], judge: Judge, order: int):
-        self.eks, self.tokens, self.judge, self.order = [ek for ek, _ in answers], [tokens(t) for _, t in answers], judge, order
-        self.n = np.array([len(t) for t in self.tokens], np.int64)
+    """The lists of a bounded number of answers (ek, text, bound), for texts of
+    a class whose terms have one order."""
+
+    def __init__(self, answers: list[tuple[bytes, str, float]], judge: Judge, order: int):
+        self.eks, texts, bounds = zip(*answers)
+        self.judge, self.order, self.bound = judge, order, np.array(bounds) * (1 - 1e-9)
+        h, self.tokens, start, end = laid_out(list(texts), judge.hasher)
+        self.n = np.fromiter(map(len, self.tokens), np.int64, len(texts))
         self.edits = self.n // PART
-        made = [Listed(*judge.terms(t, order), order, len(t) // PART) for t in self.tokens]
-        self.bound = np.array([x.bound for x in made]) * (1 - 1e-9)
-        runs, weight = np.concatenate([x.runs for x in made]), np.concatenate([x.weights for x in made])
-        who = np.repeat(np.arange(len(made)), [len(x.runs) for x in made])
-        at = np.concatenate([np.arange(len(x.runs)) for x in made])
-        by = np.argsort(runs, kind="stable")
+        runs, weight = judge.hasher.runs(h, order), information(h, order, judge.hasher, judge.tables)
+        of = np.repeat(np.arange(len(texts)), self.n)
+        inside = np.flatnonzero(np.arange(len(runs)) + order <= end[: len(runs)])
+        by = inside[np.argsort(runs[inside], kind="stable")]
         self.runs, self.first = np.unique(runs[by], return_index=True)
-        self.last = np.append(self.first[1:], len(runs))
-        self.who, self.at, self.weight = who[by], at[by], weight[by]
-
-    def matches(self, text: list[str]):
-        """(answer, edits, cosine) of all matches: dot products are added up
-        over the lists of the text's runs; what reaches its bound is decided."""
-        runs = self.judge.hasher.runs(self.judge.hasher.hashes(text), self.order)
-        i = np.searchsorted(self.runs, runs)
-        i[i == len(self.runs)] = 0
-        place = np.flatnonzero(self.runs[i] == runs)
-        i = i[place]
-        many = self.last[i] - self.first[i]
-        flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        who = self.who[flat]
-        flat = flat[(np.abs(np.repeat(place, many) - self.at[flat]) <= self.edits[who]) & (np.abs(len(text) - self.n[who]) <= self.edits[who])]
-        # a term found at two places counts twice, which only lets more by
-        product = np.bincount(self.who[flat], self.weight[flat], minlength=len(self.n))
-        for k in np.flatnonzero((product >= self.bound) & (product > 0)).tolist():
-            if made := self.judge.decide(text, self.tokens[k]):
-                yield self.eks[k], *made
+        self.last = np.append(self.first[1:], len(by))
+        self.who, self.at, self.weight = of[by], by - start[of[by]], weight[by]
+
+    def matches(self, texts: list[str]):
+        """(text, answer, edits, cosine) of all matches: dot products are added
+        up over the lists of a text's runs; what reaches its bound is decided."""
+        h, split, start, end = laid_out(texts, self.judge.hasher)
+        runs = self.judge.hasher.runs(h, self.order)
+        found = np.searchsorted(self.runs, runs)
+        found[found == len(self.runs)] = 0
+        hit = np.flatnonzero((self.runs[found] == runs) & (np.arange(len(runs)) + self.order <= end[: len(runs)]))
+        cuts = np.searchsorted(hit, start).tolist()
+        for t, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(hit)])):
+            n = len(split[t])
+            i = found[hit[a:b]]
+            many = self.last[i] - self.first[i]
+            flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+            who = self.who[flat]
+            near = np.abs(np.repeat(hit[a:b] - start[t], many) - self.at[flat]) <= self.edits[who]
+            # a term found at two places counts twice, which only lets more by
+            product = np.bincount(who[near], self.weight[flat[near]], minlength=len(self.n))
+            for k in np.flatnonzero((product >= self.bound) & (product > 0) & (np.abs(self.n - n) <= self.edits)).tolist():
+                if made := self.judge.decide(split[t], self.tokens[k]):
+                    yield t, self.eks[k], *made
 
 
 def block_pairs(scanned: DataFrame, answers: DataFrame, shared) -> DataFrame:
@@ -614,19 +620,25 @@ def block_pairs(scanned: DataFrame, answers: DataFrame, shared) -> DataFrame:
     about BLOCK_TEXTS; every part meets every block of its class in one task.
     """
     reach = F.floor(F.col("n") / PART)
-    low = answers.filter("low and main").select("ek", "e64", "norm", F.explode(F.sequence(_class_of(F.col("n") - reach), _class_of(F.col("n") + reach))).alias("cls"))
+    low = answers.filter("low").select("ek", "e64", "norm", "bound", "order", F.explode(F.sequence(_class_of(F.col("n") - reach), _class_of(F.col("n") + reach))).alias("cls"))
+    # an answer may need terms of two orders, each with its bound
+    low = low.filter(F.col("order") == F.element_at(F.lit(list(ORDERS)), F.least(F.col("cls") + 1, F.lit(len(ORDERS)))))
     texts = scanned.filter("norm is not null").groupBy("sk").agg(F.first("norm").alias("norm"), F.first("n").alias("n")).withColumn("cls", _class_of(F.col("n")))
     blocks = low.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     parts = texts.groupBy("cls").agg(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS).cast("int").alias("parts"))
     sizes = F.broadcast(blocks.join(parts, "cls"))  # a row a length class
-    left = low.join(sizes, "cls").select("cls", F.pmod(F.xxhash64("e64"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "ek", "norm")
+    left = low.join(sizes, "cls").select("cls", F.pmod(F.xxhash64("e64"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "ek", "norm", "bound")
     right = texts.join(sizes, "cls").select("cls", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("sk"), "parts").cast("int").alias("part"), "sk", "norm")
 
     def run(key, held: pa.Table, texts_: pa.Table) -> pa.Table:
         if not held.num_rows or not texts_.num_rows:
             return _matches([])
-        block = Block(list(zip(held.column("ek").to_pylist(), held.column("norm").to_pylist())), Judge(shared.value), int(order_of(key[0].as_py())))
-        return _matches([(sk, *m) for sk, t in zip(texts_.column("sk").to_pylist(), texts_.column("norm").to_pylist()) for m in block.matches(tokens(t))])
+        block = Block(list(zip(*(held.column(c).to_pylist() for c in ("ek", "norm", "bound")))), Judge(shared.value), int(order_of(key[0].as_py())))
+        out = []
+        for part in texts_.to_batches(max_chunksize=2000):
+            sks = part.column("sk").to_pylist()
+            out += [(sks[t], *m) for t, *m in block.matches(part.column("norm").to_pylist())]
+        return _matches(out)
 
     by = ["cls", "block", "part"]
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(run, MATCH)
@@ -643,7 +655,7 @@ def among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     n = keys.count()
     if n > KEPT_KEYS:
         return df.join(keys.select(F.col("key").alias(key)).distinct(), key, "left_semi")
-    bits = 1 << max(3, (8 * n).bit_length())
+    bits = 1 << max(3, (32 * n).bit_length())
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     bitmap = np.zeros(bits, np.uint8)
     bitmap[[r[0] for r in keys.select(place("key")).distinct().collect()]] = 1  # KEPT_KEYS numbers at most
