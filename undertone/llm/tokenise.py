@@ -11,6 +11,7 @@ concatenates the bytes of the parts up the same tree.
 from __future__ import annotations
 
 import base64
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from undertone.llm.arrow import schema_with
 from undertone.sources.tables import table
 
-LEAF_CHARS = 8192
+#: Characters of a leaf. Nearly every document is longer, so nearly every one is
+#: joined up the tree; the ids do not depend on it.
+LEAF_CHARS = 256
 
 
 def default_path() -> str:
@@ -39,13 +42,16 @@ def _encoder(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def _kind(ch: str) -> int:
-    """0 blank, 1 letter, 2 number, 3 other."""
-    if ch.isspace() or ch in "\x1c\x1d\x1e\x1f\x85":
-        return 0
-    import unicodedata
+class _Kinds(dict):
+    """Kind of a character: 0 blank, 1 letter, 2 number, 3 other; learnt once."""
 
-    return {"L": 1, "N": 2}.get(unicodedata.category(ch)[0], 3)
+    def __missing__(self, ch: str) -> int:
+        kind = 0 if ch.isspace() or ch in "\x1c\x1d\x1e\x1f\x85" else {"L": 1, "N": 2}.get(unicodedata.category(ch)[0], 3)
+        self[ch] = kind
+        return kind
+
+
+_KIND = _Kinds()
 
 
 def _breaks(text: str, i: int) -> bool:
@@ -56,7 +62,7 @@ def _breaks(text: str, i: int) -> bool:
     may be a contraction, and a blank may belong to what follows, so these are
     not sure.
     """
-    a, b = _kind(text[i - 1]), _kind(text[i])
+    a, b = _KIND[text[i - 1]], _KIND[text[i]]
     return a in (1, 2) and a != b or a == 3 and b in (0, 2)
 
 
