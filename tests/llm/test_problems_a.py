@@ -146,6 +146,18 @@ def test_tree_equals_plain_encoding(spark):
     assert coder.encode("a" * 5000) == coder.enc.encode_ordinary("a" * 5000)
 
 
+def test_leaves_do_not_matter(sf):
+    import duckdb
+    import public_tokenizers
+
+    texts = [r[0] for r in duckdb.sql(f"select text from '{sf.replace('0.001', '0.01')}/documents.parquet' where text is not null").fetchall()]
+    coders = [tokenise.TreeEncoder(tokenise.default_path(), public_tokenizers.PATTERN, leaf=n) for n in (16, tokenise.LEAF_CHARS, 4096)]
+    assert sum(len(t) > tokenise.LEAF_CHARS for t in texts) >= 0.9 * len(texts)
+    for t in texts:
+        want = coders[0].enc.encode_ordinary(t)
+        assert all(c.encode(t) == want for c in coders)
+
+
 def test_ids_of_empty_null_and_specials(spark):
     from tokenizers import Tokenizer
     import public_tokenizers
@@ -166,14 +178,63 @@ def runs(words, n):
 
 def test_automaton_against_brute_force():
     rnd = random.Random(3)
-    for _ in range(300):
-        items = [[rnd.choice("abc") for _ in range(rnd.randint(0, 12))] for _ in range(4)]
+    for _ in range(600):
+        items = [[rnd.choice("abc") for _ in range(rnd.randint(0, 14))] for _ in range(4)]
         auto = leakage.SuffixAutomaton(3)
         for k, it in enumerate(items):
             auto.add(it, k)
-        auto.finish()
         doc = [rnd.choice("abcd") for _ in range(rnd.randint(0, 25))]
-        assert auto.matches(doc) == {k for k, it in enumerate(items) if runs(it, 3) & runs(doc, 3)}
+        found, spans = leakage.Stream(auto.frozen()).read(doc)
+        assert found == {k for k, it in enumerate(items) if runs(it, 3) & runs(doc, 3)}
+        every = set().union(*(runs(it, 3) for it in items))
+        inside = {i for k in range(len(doc) - 2) if tuple(doc[k : k + 3]) in every for i in range(k, k + 3)}
+        assert {i for a, b in spans for i in range(a, b)} == inside
+        assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_memory_of_four_million_characters():
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from undertone.llm import leakage
+rnd = random.Random(1)
+words = [f"w{i}" for i in range(30000)]
+auto = leakage.SuffixAutomaton(10)
+size = k = 0
+while size < leakage.BLOCK_CHARS:
+    item = [words[min(int(rnd.paretovariate(0.6)), 29999)] for _ in range(400)]
+    auto.add(item, k)
+    size, k = size + sum(map(len, item)) + 400, k + 1
+frozen = auto.frozen()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024, sum(x.nbytes for x in frozen[2:]) >> 20)
+del auto
+stream = leakage.Stream(frozen)
+assert k - 1 in stream.read(item)[0]
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr
+    peak, buffers = map(int, out.stdout.split())
+    assert peak < 900 and buffers < 100  # in MB; the libraries hold some 200 of the peak
+
+
+def test_removal(spark):
+    p = "one two three four five six seven eight nine ten eleven"
+    z = "我们昨天下午在河边清洗了手机因为工资太干净了吧"
+    items = spark.createDataFrame([(1, p, "en"), (3, z, "zh")], "item long, text string, lang string")
+    rest = " ".join(f"r{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"{rest} ONE two, three—four five six\nseven eight nine ten, y", 0), (2, p, 0), (3, "前文很长" * 20 + z[1:22] + "，后", 0), (4, None, 0), (5, "", 0), (6, "nothing here", 0)], "doc long, text string, item int")
+    got = {r["doc"]: r for r in leakage.remove_leaks(docs, "doc", "text", items, "item", "text", "lang").collect()}
+    assert got[1]["text"] == f"{rest} y" and (got[1]["n_spans"], got[1]["n_tokens"], got[1]["n_leaked"]) == (1, 31, 10)
+    assert got[2]["text"] is None and not got[2]["kept"] and got[2]["coverage"] == 1.0
+    assert got[3]["text"] == "前文很长" * 20 + " ，后" and got[3]["kept"]
+    assert got[4]["text"] is None and got[4]["kept"] and got[5]["text"] == "" and got[6]["text"] == "nothing here"
+    loose = {r["doc"]: r["text"] for r in leakage.remove_leaks(docs, "doc", "text", items, "item", "text", "lang", max_run=10, max_coverage=1.0).collect()}
+    assert loose[1] == docs.filter("doc = 1").first()["text"] and loose[2] == ""
+    assert leakage.remove_leaks(docs.limit(0), "doc", "text", items, "item", "text", "lang").count() == 0
 
 
 def test_leaks(spark):

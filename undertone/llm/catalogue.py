@@ -25,6 +25,8 @@ def queries() -> dict:
         "p8_ids": tokenise.p8_ids,
         "p8_token_counts": tokenise.p8_token_counts,
         "p9_found": leakage.p9_found,
+        "p9_removed": leakage.p9_removed,
+        "p9_coverage": leakage.p9_coverage,
         "p9_by_set": leakage.p9_by_set,
         "p10_found": personal.p10_found,
         "p10_redacted": personal.p10_redacted,
@@ -35,7 +37,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     """SQL of the problems that SQL can state plainly; the others are tested
     against brute force, round trips or held-out accuracy."""
-    return {"p1_found": P1, "p5_found": P5, "p7_found": P7, "p9_found": P9}
+    return {"p1_found": P1, "p5_found": P5, "p7_found": P7, "p9_found": P9, "p9_coverage": P9_COVERAGE}
 
 
 P1 = """WITH e AS (SELECT * FROM (SELECT *, trim(name) AS nm, row_number() OVER (PARTITION BY trim(name) ORDER BY spec_id) AS rn FROM dataset_specs WHERE split = 'train') WHERE rn = 1),
@@ -63,3 +65,9 @@ pr AS (SELECT DISTINCT passage_id, array_to_string(ws[k:k + 9], ' ') AS run FROM
 dc AS (SELECT DISTINCT doc_id, substr(c, k, 20) AS run FROM (SELECT doc_id, c, unnest(range(1, length(c) - 18)) AS k FROM (SELECT doc_id, replace(w, ' ', '') AS c FROM d WHERE regexp_matches(w, '[\\x{{4e00}}-\\x{{9fff}}]')) WHERE length(c) >= 20)),
 pc AS (SELECT DISTINCT passage_id, substr(c, k, 20) AS run FROM (SELECT passage_id, c, unnest(range(1, length(c) - 18)) AS k FROM (SELECT passage_id, replace(w, ' ', '') AS c FROM p WHERE lang = 'zh') WHERE length(c) >= 20))
 SELECT DISTINCT doc_id, passage_id FROM dr JOIN pr USING (run) UNION SELECT DISTINCT doc_id, passage_id FROM dc JOIN pc USING (run)"""
+
+P9_COVERAGE = f"""WITH d AS (SELECT DISTINCT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL), p AS (SELECT passage_id, {_WORDS} AS w FROM heldout_passages WHERE lower(trim(coalesce(lang, ''))) NOT LIKE 'zh%'),
+dw AS (SELECT doc_id, string_split(w, ' ') AS ws FROM d), pw AS (SELECT string_split(w, ' ') AS ws FROM p),
+dr AS (SELECT doc_id, k, len(ws) AS n, array_to_string(ws[k:k + 9], ' ') AS run FROM (SELECT *, unnest(range(1, len(ws) - 8)) AS k FROM dw WHERE len(ws) >= 10)),
+pr AS (SELECT DISTINCT array_to_string(ws[k:k + 9], ' ') AS run FROM (SELECT *, unnest(range(1, len(ws) - 8)) AS k FROM pw WHERE len(ws) >= 10))
+SELECT doc_id, max(n)::int AS n_tokens, count(DISTINCT i)::int AS n_leaked FROM (SELECT doc_id, n, unnest(range(k, k + 10)) AS i FROM dr JOIN pr USING (run)) GROUP BY doc_id"""
