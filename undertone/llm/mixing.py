@@ -75,8 +75,10 @@ def budget(leaf: DataFrame, total: Column | None = None) -> DataFrame:
     t = t.withColumn("__w", F.sum("weight").over(all_)).withColumn("__wd", F.sum("weight").over(dom)).withColumn("__wl", F.sum("weight").over(lang))
     t = t.withColumn("budget_domain", F.col("__total") * F.col("__wd") / F.col("__w"))
     t = t.withColumn("budget_language", F.col("budget_domain") * F.col("__wl") / F.col("__wd"))
-    t = t.withColumn("target", F.col("__total") * F.col("weight") / F.col("__w"))
-    t = t.withColumn("shortage", F.greatest(F.col("target") - F.col("cap"), F.lit(0.0)))
+    t = t.withColumn("target", F.col("budget_language") * F.col("weight") / F.col("__wl"))
+    # the three quotients may leave a target a rounding above an equal cap
+    over = F.col("target") - F.col("cap")
+    t = t.withColumn("shortage", F.when(over > F.lit(1e-9) * F.col("target"), over).otherwise(0.0))
     t = t.withColumn("draw", F.least("target", "cap"))
     for level, want in ((lang, "budget_language"), (dom, "budget_domain"), (all_, "__total")):
         t = _fill(t, level, want)
