@@ -203,6 +203,7 @@ TURNS = [
     ("", []),
     (None, []),
     ("Agenda: nothing", []),
+    ("Host - hello there\nGuest - hi", [1, 2]),
     ("Speaker 1: um\nSpeaker 2: *coughs*", []),
 ]
 
@@ -226,6 +227,26 @@ def test_clock_reset():
     assert [p[2] for p in tr.ordered(parts)] == ["A", "B", "A"]
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("[00:00:01] A: a [00:20:00] B: b [00:00:05] A: c [00:00:09] B: d", [("A", 1.0), ("B", 5.0), ("A", 5.0), ("B", 9.0)]),
+        ("[00:05] A: a [15:00] B: b [30:00] A: c [00:06] B: d [15:00] A: e [30:00] B: f", [("A", 5.0), ("B", 900.0), ("A", 1800.0), ("B", 1806.0), ("A", 2700.0), ("B", 3600.0)]),
+        ("[00:30:00] A: a [00:00:01] B: b [00:30:05] A: c", [("A", 1800.0), ("B", 1800.0), ("A", 1805.0)]),
+        ("[00:20] A: a [00:10] B: b", [("B", 10.0), ("A", 20.0)]),
+    ],
+)
+def test_wild_stamps_and_segments(text, want):
+    assert [(t[2], round(t[3], 3)) for t in tr.turns(text)] == want
+
+
+def test_segments_of_a_long_file():
+    stamps = [float(k) for k in range(3000)] + [float(k) for k in range(3000)]
+    stamps[50] = 90000.0
+    number, wild = tr.segments(stamps)
+    assert number == [0] * 3000 + [1] * 3000 and [k for k, w in enumerate(wild) if w] == [50]
+
+
 def test_isotonic():
     assert tr.isotonic([1, 3, 2, 4]) == [1, 2.5, 2.5, 4] and tr.isotonic([]) == []
 

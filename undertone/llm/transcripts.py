@@ -1,11 +1,12 @@
 """Problem 6: speech transcripts into clean speaker turns.
 
-A transcript is cut into stretches at its time stamps and speaker labels. The
-clock is repaired inside file segments (a fall of more than RESET_S starts a
-segment that goes on from the one before): stretches are put in order, and the
-starts and ends are made monotone by isotonic regression. A small grammar
-removes labels, annotations and fillers; stretches of one canonical speaker are
-merged into turns.
+A transcript is cut into stretches at its time stamps and speaker labels. Where
+the clock falls by more than RESET_S either a segment starts, which goes on from
+the one before, or some stamps are wild, whichever explains the file with less.
+Inside a segment an isotonic regression over the file's order gives wild stamps
+the time of their place; stretches are put in order of the repaired times, whose
+starts and ends it makes monotone. A small grammar removes labels, annotations
+and fillers; stretches of one canonical speaker are merged into turns.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from undertone.llm.arrow import schema_with
 from undertone.sources.tables import table
 
 RESET_S = 600.0
+#: Wild stamps that a new segment counts as.
+RESET_COST = 1.5
 
 _BLANKS = str.maketrans({c: " " for c in "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"} | {c: None for c in "\u00ad\u200b\u200c\u200d\u2060\ufeff"} | {chr(0xFF01 + k): chr(0x21 + k) for k in range(94) if chr(0x21 + k) not in "!,;?"})
 _ODD = re.compile("[\u00a0\u1680\u2000-\u200d\u202f\u205f\u2060\u3000\ufeff\u00ad\uff02-\uff0b\uff0d-\uff1a\uff1c-\uff1e\uff20-\uff5e]")
@@ -43,7 +46,7 @@ _FILLER = re.compile(rf"(?<![\w'])(?:{'|'.join(FILLERS)})(?![\w'])[,.]?", re.I)
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w")
 #: What a text needs to hold before it is worth cutting.
-_HINT = re.compile(rf"(?:{'|'.join(NUMBERED)})[ _-]?\d|(?:{'|'.join(ROLES)}|(?-i:\b[ABC]))\s?[>\])]?\s?[:>\])]", re.I)
+_HINT = re.compile(rf"(?<!\w)(?:{_LABEL})", re.I)
 
 
 def _seconds(text: str) -> float:
@@ -56,15 +59,49 @@ def _speaker(label: str) -> str:
     return f"#{int(number)}" if number else role.lower() if role else letter.upper()
 
 
-def isotonic(values: list[float]) -> list[float]:
-    """Least-squares non-decreasing fit (pool adjacent violators)."""
+def isotonic(values: list[float], weights: list[float] | None = None) -> list[float]:
+    """Weighted least-squares non-decreasing fit (pool adjacent violators)."""
     pools: list[list[float]] = []
-    for v in values:
-        pools.append([v, 1.0])
+    for v, w in zip(values, weights or [1.0] * len(values)):
+        pools.append([v, w, 1])
         while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
-            (b, m), (a, n) = pools.pop(), pools.pop()
-            pools.append([(a * n + b * m) / (n + m), n + m])
-    return [v for v, n in pools for _ in range(int(n))]
+            (b, u, m), (a, t, n) = pools.pop(), pools.pop()
+            pools.append([(a * t + b * u) / (t + u), t + u, n + m])
+    return [v for v, _, n in pools for _ in range(int(n))]
+
+
+def segments(stamps: list[float], reset_s: float = RESET_S) -> tuple[list[int], list[bool]]:
+    """The file segment of every stamp, and whether the stamp is wild.
+
+    The cheapest reading of the file: a wild stamp costs 1, a new segment
+    RESET_COST; kept neighbours of a segment never fall by more than
+    ``reset_s``. Of readings that cost the same, the one with fewer segments.
+    """
+    n = len(stamps)
+    if all(b >= a - reset_s for a, b in zip(stamps, stamps[1:])):
+        return [0] * n, [False] * n
+    reach = int(2 * RESET_COST) + 1  # more wild stamps in a row cost more than two segments
+    cost, before = [], []
+    for i, s in enumerate(stamps):
+        best = (float(i), 0, -1) if i <= reach else (float("inf"), 0, -1)
+        for j in range(max(0, i - reach - 1), i):
+            fall = s < stamps[j] - reset_s
+            best = min(best, (cost[j][0] + (i - j - 1) + RESET_COST * fall, cost[j][1] + fall, j))
+        cost.append(best[:2])
+        before.append(best[2])
+    at = min(range(n), key=lambda i: (cost[i][0] + n - 1 - i, cost[i][1]))
+    wild, number = [True] * n, [0] * n
+    starts = []
+    while at >= 0:
+        wild[at] = False
+        j = before[at]
+        if j >= 0 and stamps[at] < stamps[j] - reset_s:
+            starts.append(at)
+        at = j
+    for start in starts:
+        for k in range(start, n):
+            number[k] += 1
+    return number, wild
 
 
 def clean(text: str) -> str:
@@ -110,15 +147,23 @@ def ordered(parts: list[list], reset_s: float = RESET_S) -> list[list]:
 
     A stretch without a stamp stays behind the one before it.
     """
-    offset, high, last, keyed = 0.0, 0.0, None, []
-    for i, p in enumerate(parts):
-        if p[0] is not None:
-            if last is not None and p[0] < last - reset_s:
-                offset = high
-            last = p[0]
+    timed = [p for p in parts if p[0] is not None]
+    number, wild = segments([p[0] for p in timed], reset_s)
+    offset = high = 0.0
+    for k in range(max(number, default=0) + 1):
+        own = [i for i, m in enumerate(number) if m == k]
+        fitted = isotonic([timed[i][0] for i in own], [1e-9 if wild[i] else 1.0 for i in own]) if any(wild) else [timed[i][0] for i in own]
+        for i, fit in zip(own, fitted):
+            p = timed[i]
+            if wild[i]:  # rounded, as its own weight moves its pool a little
+                fit = round(fit, 3)
+                p[0], p[1] = fit, None if p[1] is None else fit + max(0.0, min(p[1] - p[0], reset_s))
             p[0] += offset
             p[1] = None if p[1] is None else p[1] + offset
             high = max(high, p[0], p[1] or 0.0)
+        offset = high
+    keyed: list[tuple[float, int]] = []
+    for i, p in enumerate(parts):
         keyed.append((p[0] if p[0] is not None else keyed[-1][0] if keyed else -1.0, i))
     order = [parts[i] for _, i in sorted(keyed)]
     timed = [p for p in order if p[0] is not None]
