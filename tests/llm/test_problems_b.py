@@ -310,7 +310,76 @@ def test_surrogates_match_kind_and_format():
 def test_mentions_frame(spark):
     names = spark.createDataFrame(NAMES, "name_part string, kind string")
     df = spark.createDataFrame([(1, "a@b.test a@b.test", 7), (2, None, 7), (3, "", 7)], "doc_id long, text string, start int")
-    got = [tuple(r) for r in pi.mentions(df, "doc_id", "text", names).select("doc_id", "kind", "occurrence_no").collect()]
+    got = [tuple(r) for r in pi.mentions(df, "doc_id", "text", names, "s").select("doc_id", "kind", "occurrence_no").collect()]
     assert got == [(1, "email", 1), (1, "email", 2)]
     assert [r["text"] for r in pi.replaced(df, "doc_id", "text", names, "s", True).orderBy("doc_id").collect()] == ["<email_1> <email_1>", None, ""]
-    assert pi.mentions(df.limit(0), "doc_id", "text", names.limit(0)).count() == 0
+    assert pi.mentions(df.limit(0), "doc_id", "text", names.limit(0), "s").count() == 0
+
+
+def swapped(text, names=NAMES, key=b"k"):
+    spans = pi.Finder(names).find(text)
+    return [text[a:b] for a, b, _ in spans], pi.replacements(text, spans, key, False)
+
+
+def test_phone_formats_agree():
+    old, new = swapped("9123 4567, +65 9123 4567, 00659123-4567, nine one two three four five six seven, +60 10-555 9746, 010-555 9746")
+    assert len(old) == 6
+    digits = [pi.spoken_digits(n) for n in new]
+    assert digits[1] == "65" + digits[0] and digits[2] == "0065" + digits[0] and digits[3] == digits[0]
+    assert new[1].startswith("+65 ") and new[4].startswith("+60 ") and digits[4][2:] == digits[5][1:] != digits[0]
+    assert digits[0] != "91234567" and [len(a) for a in old[:3]] == [len(a) for a in new[:3]]
+
+
+def test_five_hundred_names_stay_five_hundred():
+    names = [(f"Gi{chr(97 + i)}{chr(97 + j)}n", "given") for i in range(25) for j in range(20)] + [("Stone", "family")]
+    text = ". ".join(f"{g} Stone" for g, k in names if k == "given")
+    old, new = swapped(text, names)
+    assert len(old) == len(set(old)) == 500 == len(set(new)) and len({n.split()[1] for n in new}) == 1
+
+
+@pytest.mark.parametrize(
+    "text, shape",
+    [
+        ("My name is Ahmad bin Ali.", r"[A-Z]\w+ bin [A-Z]\w+"),
+        ("Mr Dawn Stone", r"Mr [A-Z]\w+ [A-Z]\w+"),
+        ("MY NAME IS MDM STONE", r"MDM [A-Z]+"),
+        ("Favoor, Benan", r"[A-Z]\w+, [A-Z]\w+"),
+        ("Block 12, Clementi Road, #05-12 Singapore 123456", r"Block [1-9]\d, [A-Z]\w+ Road, #\d\d-[1-9]\d Singapore [1-9]\d{5}"),
+        ("No. 43, Jalan Teratai Dua", r"No\. [1-9]\d, Jalan [A-Z]\w+ Dua"),
+        ("望海巷43号21楼", r"[一-鿿]{2}巷[1-9]\d号[1-9]\d楼"),
+        ("john.smith2@corp.gov.sg", r"[a-z]+\.[a-z]+\d@[a-z]+\.gov\.sg"),
+        ("jo underscore x1 at lantern dot test", r"[a-z]+ underscore [a-z]+\d at [a-z]+ dot test"),
+        ("X0870406G", r"[A-Z]\d{7}[A-Z]"),
+        ("我叫骆凌霄。", r"[一-鿿]{3}"),
+        ("Call 9123\u200b 45\u00ad67", r"9\d{3} \d{4}"),
+        ("a\u200bb@x\u2060y.test", r"[a-z]+@[a-z]+\.test"),
+        ("x" * 200 + "@corp.test", r"[a-z]+@[a-z]+\.test"),
+    ],
+)
+def test_format_is_kept(text, shape):
+    import re
+
+    old, new = swapped(text)
+    assert len(old) == 1 and re.fullmatch(shape, new[0]) and new[0] != old[0], (old, new)
+    assert swapped("Elsewhere: " + text)[1] == new and swapped(text, key=b"other")[1] != new
+
+
+def test_gender_and_coreference():
+    old, new = swapped("Mdm Dawn Stone met Mark Favoor. Dawn Stone and Mdm Stone left; STONE, DAWN stayed.")
+    assert [n.lower().replace("mdm ", "") for n in (new[0], new[2])] == [new[2].lower()] * 2
+    assert new[3].split()[1] == new[0].split()[2] and new[0].split()[1].endswith(pi.ENDS["f"])
+    assert not swapped("Mark Favoor")[1][0].split()[0].endswith(("ine", "elle"))
+
+
+def test_cipher_is_a_permutation():
+    for n in (1, 2, 3):
+        every = [f"{k:0{n}d}" for k in range(10**n)]
+        assert sorted(pi.enciphered(b"k", x, "t") for x in every) == every
+    figures = [str(k) for k in range(10, 100)]
+    assert sorted(pi._figures(b"k", x, "t", 0) for x in figures) == figures
+
+
+def test_a_surrogate_is_no_other_entity():
+    first = swapped("9123 4567")[1][0]
+    old, new = swapped(f"9123 4567 and {first}")
+    assert len(old) == 2 and len(set(new)) == 2 and not set(new) & set(old)

@@ -3,11 +3,13 @@
 Detection is a list of matchers per kind, applied in the order e-mail, identity
 number, telephone number, street address, person name; what one kind has taken
 is closed for the next, so a name inside an address does not count again.
-Every entity then gets a keyed replacement of its own kind: digits are enciphered
-position by position in the written format, names come from name lists of the
-same script, gender mark and case. A replacement that another entity of the
-text already has is drawn again, and mentions of one entity, however written,
-get the same one.
+Every mention then gets a keyed replacement of its own kind and format. It is
+written piece by piece: numbers are enciphered by a keyed permutation of the
+numbers of their length, words become keyed words of the same script, case and
+gender mark, and signs, titles, connectors, kinds of street, country codes and
+endings of domains stay. A piece becomes the same in every text and format, so
+mentions of one entity agree however they are written; an entity whose
+replacement another entity of the text has, or is, is drawn again.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from undertone.llm.arrow import fits, schema_with
-from undertone.llm.lookalike import LOOKALIKES
+from undertone.llm.lookalike import INVISIBLE, LOOKALIKES
 from undertone.sources.tables import table
 
 KINDS = ("email", "id_number", "phone", "street_address", "person_name")
@@ -32,6 +34,7 @@ MAX_NAMES = 500_000
 # other widths, letters of other scripts that draw like Latin ones.
 _WIDE = re.compile("[！-～\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000\u0391-\u03ff\u0400-\u04ff]")
 _NARROW = {0xFF01 + k: 0x21 + k for k in range(94)} | dict.fromkeys([0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000], 0x20)
+_HIDDEN = re.compile(f"[{INVISIBLE}\u200d]")
 _NARROW |= {ord(a): ord(b) for source, target in LOOKALIKES.items() for a, b in zip(source, target)}
 
 # Number words, titles, connectors, kinds of street, words that
@@ -104,7 +107,11 @@ class Finder:
         self.family = {n for n, k in names if k == "family"}
 
     def find(self, text: str) -> list[tuple[int, int, str]]:
-        """Sorted, disjoint (start, end, kind) spans of ``text``."""
+        """Sorted, disjoint (start, end, kind) spans of ``text``; characters that
+        draw nothing are looked through."""
+        if _HIDDEN.search(text):
+            seen = [i for i, c in enumerate(text) if not _HIDDEN.match(c)]
+            return [(seen[a], seen[b - 1] + 1, kind) for a, b, kind in self.find("".join(text[i] for i in seen))]
         plain = text.translate(_NARROW) if _WIDE.search(text) else text
         spans: list[tuple[int, int, str]] = []
         for kind in KINDS:
@@ -123,8 +130,16 @@ class Finder:
 
     def _email(self, t: str):
         for m in _AT.finditer(t):
-            lo = max(0, m.start() - 120)
-            local, domain = _LOCAL.search(t[lo : m.start()]), _DOMAIN.match(t, m.end())
+            domain = _DOMAIN.match(t, m.end())
+            if not domain:
+                continue
+            reach = 64
+            while True:  # until what stands before the sign begins inside the window
+                lo = max(0, m.start() - reach)
+                local = _LOCAL.search(t[lo : m.start()])
+                if not lo or local and local.start() or not local and reach > 4096:
+                    break
+                reach *= 2
             if local and domain and (m[0] != " at " or " dot " in domain[0]):
                 yield lo + local.start(), domain.end()
 
@@ -163,129 +178,287 @@ class Finder:
         return out
 
 
+# Calling codes of one and of three digits by their first digits;
+# all others have two.
+CODES_1, CODES_3 = ("1", "7"), ("21", "22", "23", "24", "25", "26", "29", "35", "37", "38", "42", "50", "59", "67", "68", "69", "80", "85", "87", "88", "96", "97", "99")
+
+
+def spoken_digits(text: str) -> str:
+    """Digits of a number in figures, words ("double five") or both."""
+    times, digits = 1, []
+    for w in re.findall(r"[a-z]+|\d", text.lower()):
+        if w in ("double", "triple"):
+            times = 2 if w == "double" else 3
+        else:
+            digits.append(DIGIT_WORDS.get(w, w) * times)
+            times = 1
+    return "".join(digits)
+
+
+def national(text: str) -> str:
+    """A telephone number without its calling code and trunk zero."""
+    digits = spoken_digits(text)
+    t = text.strip().lstrip("(")
+    if t.startswith("+") or digits.startswith("00"):
+        d = digits if t.startswith("+") else digits[2:]
+        return d[1 if d.startswith(CODES_1) else 3 if d.startswith(CODES_3) else 2 :].lstrip("0")
+    return re.sub(r"^(?:65(?=\d{8}$)|0+)", "", digits)
+
+
+def _narrow(text: str) -> str:
+    return _HIDDEN.sub("", text).translate(_NARROW)
+
+
 def entity(kind: str, text: str) -> str:
     """One form of an entity however it is written or spoken."""
-    t = text.translate(_NARROW).lower()
+    t = _narrow(text).lower()
     if kind == "email":
         t = re.sub(r"\s?[(\[]\s?at\s?[)\]]\s?| at ", "@", t)
         t = re.sub(r"\s?[(\[]\s?dot\s?[)\]]\s?| dot ", ".", t)
         return t.replace(" plus ", "+").replace(" underscore ", "_").replace(" dash ", "-").replace(" ", "")
     if kind == "phone":
-        times, digits = 1, []
-        for w in re.findall(r"[a-z]+|\d", t):
-            if w in ("double", "triple"):
-                times = 2 if w == "double" else 3
-            else:
-                digits.append(DIGIT_WORDS.get(w, w) * times)
-                times = 1
-        d = "".join(digits)
-        return re.sub(r"^(?:0065|65(?=\d{8}$))", "", d)
+        return national(t)
     if kind == "id_number":
         return re.sub(r"[^a-z0-9]", "", t)
     if kind == "person_name":
         if "," in t:
             family, _, given = t.partition(",")
             t = f"{given.strip()} {family.strip()}"
-        return re.sub(r"\s+", " ", t)
+        return re.sub(r"\s+", " ", t.replace(".", " ")).strip()
     return re.sub(r"[^\w]+", " ", re.sub(r"\bblock\b", "blk", t)).strip()
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=200_000)
 def _number(key: bytes, *parts) -> int:
     return int.from_bytes(hmac.new(key, "\x1f".join(map(str, parts)).encode(), hashlib.sha256).digest()[:8], "big")
 
 
-# Made-up replacement names.
-_GIVEN_M, _GIVEN_F, _GIVEN_N = ("Arlo", "Bastian", "Corvin", "Dorian", "Emeric", "Florin"), ("Alina", "Brisa", "Calista", "Delphia", "Elowen", "Fiora"), ("Ariel", "Briar", "Cleo", "Darcy", "Eden", "Finley")
-_FAMILY = ("Alderwick", "Brackenby", "Castellane", "Dunmere", "Everhart", "Farrowdale", "Glenmoor", "Hartwell")
-_HAN_GIVEN = ("安澜", "博远", "承宇", "丹青", "恩泽", "归舟")
-_STREET = ("Amberfield", "Birchmont", "Coralvale", "Driftwood", "Elmhurst", "Foxglove")
+@lru_cache(maxsize=100_000)
+def enciphered(key: bytes, digits: str, tweak: str, base: int = 10) -> str:
+    """Keyed permutation of the strings of one length over ``base`` signs
+    (digits, or letters of base 26): a Feistel network over the two halves."""
+    signs = "0123456789" if base == 10 else "abcdefghijklmnopqrstuvwxyz"
+    if len(digits) < 2:
+        shift = 1 + _number(key, "one", tweak, base) % (base - 1)
+        return "".join(signs[(signs.index(c) + shift) % base] for c in digits)
+    value = lambda part: sum(signs.index(c) * base**i for i, c in enumerate(reversed(part)))
+    cut = len(digits) // 2
+    sizes = [cut, len(digits) - cut]
+    halves = [value(digits[:cut]), value(digits[cut:])]
+    for step in range(8):
+        side = step % 2
+        halves[side] = (halves[side] + _number(key, "half", tweak, base, step, len(digits), halves[1 - side])) % base ** sizes[side]
+    out = ""
+    for v, n in zip(halves, sizes):
+        part = ""
+        for _ in range(n):
+            v, k = divmod(v, base)
+            part = signs[k] + part
+        out += part
+    return out
+
+
+# Sounds that made-up words are put together from, and their ends
+# by gender (none, female, male); characters of made-up Chinese given names.
+ONSETS = "b br c cl d dr f fl g gr h j k l m n p pr qu r s st t tr v w".split()
+VOWELS = "a e i o u ai ea ou".split()
+ENDS = {"": ("en", "el", "is", "o"), "f": ("a", "ia", "ine", "elle"), "m": ("us", "or", "ian", "ard")}
+HAN_SOUNDS = "安博承丹恩帆光海嘉君凯岚明宁朋青荣舒涛文晓雅泽展哲正之知卓子宇云远月悦致志中忠竹庄准紫宗祖作佐言彦燕阳瑶烨怡艺亦逸意音英"
+HAN_STREETS = "松云桂清梅竹柏枫荷兰菊莲桃柳榕桐杉槐樟茶"
+_SAME_WORDS = frozenset(w.lower() for w in (*TITLES_M, *TITLES_F, *TITLES_N, *LINKS))
+_STREET_WORDS = frozenset(w.lower().rstrip("?.") for w in (*STREETS, *STREETS_FIRST)) | frozenset("block blk no unit singapore s satu dua tiga empat lima jl".split())
+# Second parts of domain endings.
+_SECOND = frozenset("com gov edu org net co ac or go mil".split())
+_SPOKEN_SIGNS = frozenset("at dot plus underscore dash".split())
+
+
+def _cased(word: str, like: str) -> str:
+    return word.upper() if like.isupper() and len(like) > 1 else word.capitalize() if like[:1].isupper() else word
 
 
-def surrogate(key: bytes, kind: str, text: str, attempt: int = 0) -> str:
+@lru_cache(maxsize=100_000)
+def made_word(key: bytes, word: str, what: str, attempt: int, gender: str = "") -> str:
+    """A keyed word in lower case. The stem is that of the word, ``what`` and
+    the attempt alone; only its end shows the gender."""
+    n = _number(key, "word", what, word, attempt)
+    out = ""
+    for _ in range(3 if len(word) > 3 else 2):
+        n, a = divmod(n, len(ONSETS))
+        n, b = divmod(n, len(VOWELS))
+        out += ONSETS[a] + VOWELS[b]
+    ends = ENDS[gender]
+    return out + ONSETS[n % len(ONSETS)][0] + ends[n // 64 % len(ends)]
+
+
+def _figures(key: bytes, digits: str, tweak: str, attempt: int) -> str:
+    """Digits enciphered; a first digit other than zero stays other than zero."""
+    new = enciphered(key, digits, f"{tweak}{attempt}")
+    while len(digits) > 1 and digits[0] != "0" and new[0] == "0":
+        new = enciphered(key, new, f"{tweak}{attempt}")  # walks the cycle, so it stays a permutation
+    return new
+
+
+def _refilled(text: str, digits: str) -> str:
+    """``text`` with its digits, from the last one back, replaced by ``digits``;
+    full-width ones stay full width."""
+    out, left = [], list(digits)
+    for ch in reversed(text):
+        plain = chr(_NARROW.get(ord(ch), ord(ch)))
+        if plain.isdigit() and plain.isascii() and left:
+            new = left.pop()
+            ch = chr(ord(new) + 0xFEE0) if ch != plain else new
+        out.append(ch)
+    return "".join(reversed(out))
+
+
+def gender_of(text: str) -> str:
+    """f, m or nothing, from titles and connectors of a name."""
+    words = set(re.findall(r"[a-z/]+", text.lower()))
+    return "f" if words & {*(w.lower() for w in TITLES_F), "binti", "d/o", "a/p"} else "m" if words & {*(w.lower() for w in TITLES_M), "bin", "s/o", "a/l"} else ""
+
+
+def _given_part(text: str) -> str:
+    """The given name inside a mention, in lower case, or nothing."""
+    t = _narrow(text).lower()
+    if _HAN.search(t):
+        return ""
+    if "," in t:
+        return t.partition(",")[2].strip()
+    words = [w for w in re.split(r"[\s.]+", t) if w and w not in _SAME_WORDS]
+    return words[0] if len(words) > 1 else ""
+
+
+def surrogate(key: bytes, kind: str, text: str, attempt: int = 0, gender: str | None = None) -> str:
     """A replacement of the same kind, format, script and case as ``text``."""
-    who = entity(kind, text)
-    pick = lambda seq, what: seq[_number(key, kind, what, who, attempt) % len(seq)]
-    if kind in ("phone", "id_number"):
-        out, k = [], 0
-        letters = [m for m in re.finditer(r"[A-Za-z]+", text)] if kind == "phone" else []
-        if letters:
-            digits = "".join(DIGIT_WORDS.get(w, "") for w in re.findall("[a-z]+", text.lower()))
-            names = list(DIGIT_WORDS)
-            names.remove("oh")
-            return " ".join(names[(int(d) + _number(key, kind, who, i, attempt)) % 10] for i, d in enumerate(digits))
-        for i, ch in enumerate(text):
-            plain = chr(_NARROW.get(ord(ch), ord(ch)))
-            if plain.isdigit():
-                new = str((int(plain) + _number(key, kind, who, k, attempt)) % 10)
-                k += 1
-                out.append(chr(ord(new) + 0xFEE0) if ch != plain else new)
-            elif plain.isalpha() and kind == "id_number":
-                c = chr(65 + _number(key, kind, who, "l", k, attempt) % 26)
-                k += 1
-                out.append(c if plain.isupper() else c.lower())
+    plain = _narrow(text)
+    if kind == "phone":
+        own = national(plain)
+        new = _figures(key, own, "phone", attempt)
+        new = own[0] + enciphered(key, own[1:], f"phone{own[0]}{attempt}") if len(own) > 2 else new
+        if re.search("[A-Za-z]", plain):
+            names = {d: w for w, d in reversed(DIGIT_WORDS.items()) if w != "oh"}
+            said = " ".join(names[d] for d in spoken_digits(plain)[: -len(new) or None] + new)
+            return said.upper() if plain.isupper() else said
+        return _refilled(_HIDDEN.sub("", text), new)
+    if kind == "id_number":
+        who = entity(kind, text)
+        figures = iter(_figures(key, re.sub(r"\D", "", who), "id", attempt))
+        letters = iter(enciphered(key, re.sub(r"\d", "", who), f"id{attempt}", 26))
+        out = []
+        for ch in _HIDDEN.sub("", text):
+            flat = chr(_NARROW.get(ord(ch), ord(ch)))
+            if flat.isascii() and flat.isdigit():
+                out.append(chr(ord(new) + 0xFEE0) if (new := next(figures)) and ch != flat else new)
+            elif flat.isascii() and flat.isalpha():
+                new = next(letters)
+                out.append(new.upper() if flat.isupper() else new)
             else:
                 out.append(ch)
         return "".join(out)
     if kind == "email":
-        name = f"user{_number(key, kind, who, attempt) % 10**10:010d}"
-        spoken = re.search(r" at | dot |\[|\(", text)
-        out = f"{name} at example dot org" if spoken else f"{name}@example.org"
-        return out.upper() if text.isupper() else out
+        return _new_email(key, plain, attempt)
     if kind == "street_address":
-        house = 1 + _number(key, kind, "house", who, attempt) % 998
-        if re.search("[一-鿿]", text):
-            return f"{pick(('松涛', '云栖', '桂岭', '清溪'), 'street')}路{house}号"
-        out = f"{house} {pick(_STREET, 'street')} Road"
-        return out.upper() if text.isupper() else out.lower() if text.islower() else out
-    if re.search("[一-鿿]", text):
-        return HAN_FAMILY[_number(key, kind, "family", who, attempt) % len(HAN_FAMILY)] + pick(_HAN_GIVEN, "given")
-    words = re.split(r"[\s,]+", text)
-    title = words[0].rstrip(".").capitalize()
-    female = title in TITLES_F or bool(re.search(r"\b(?:binti|d/o|a/p)\b", text, re.I))
-    male = title in TITLES_M or bool(re.search(r"\b(?:bin|s/o|a/l)\b", text, re.I))
-    given = pick(_GIVEN_F if female else _GIVEN_M if male else _GIVEN_N, "given")
-    family = pick(_FAMILY, "family")
-    if title in TITLES_M + TITLES_F + TITLES_N:
-        out = f"{words[0]} {family}"
-    elif "," in text:
-        out = f"{family}, {given}"
-    else:
-        out = f"{given} {family}"
-    return out.upper() if text.isupper() else out.lower() if text.islower() else out
-
-
-def rewrite(text: str, spans: list[tuple[int, int, str]], key: bytes, placeholders: bool) -> str:
-    """``text`` with every span replaced; the rest is unchanged.
+        return _new_address(key, plain, attempt)
+    if _HAN.search(plain):
+        family, given = plain[0], plain[1:]
+        place = HAN_FAMILY.find(family)
+        shift = 1 + _number(key, "family", attempt) % (len(HAN_FAMILY) - 1)
+        family = HAN_FAMILY[(place + shift) % len(HAN_FAMILY)]
+        return family + "".join(HAN_SOUNDS[_number(key, "given", given, i, attempt) % len(HAN_SOUNDS)] for i in range(len(given)))
+    gender = gender_of(plain) if gender is None else gender
+    words = re.findall(r"[A-Za-z][A-Za-z'/-]*", plain)
+    parts = [w for w in words if w.lower() not in _SAME_WORDS]
+    titled = any(w.lower() in _SAME_WORDS - set(LINKS) for w in words)
+    at = iter(range(len(parts)))
+
+    def new(m: re.Match) -> str:
+        w = m[0]
+        if w.lower() in _SAME_WORDS:
+            return w
+        k = next(at)
+        family = (k == 0) if "," in plain else k == len(parts) - 1 and (len(parts) > 1 or titled)
+        return _cased(made_word(key, w.lower(), "family" if family else "given", attempt, "" if family else gender), w)
+
+    return re.sub(r"[A-Za-z][A-Za-z'/-]*", new, plain)
+
+
+def _new_piece(key: bytes, piece: str, what: str, attempt: int) -> str:
+    """Letters as a word, digits enciphered, in their order."""
+    return re.sub(r"[A-Za-z]+|\d+", lambda m: _figures(key, m[0], what, attempt) if m[0].isdigit() else _cased(made_word(key, m[0].lower(), what, attempt), m[0]), piece)
+
+
+def _new_email(key: bytes, text: str, attempt: int) -> str:
+    pieces = re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9]+", text)
+    where = [i for i, p in enumerate(pieces) if p[0].isalnum()]
+    signs = set()
+    for i in where:  # spoken signs stand between blanks or brackets
+        around = (pieces[i - 1][-1:] if i else "", pieces[i + 1][:1] if i + 1 < len(pieces) else "")
+        if pieces[i].lower() in _SPOKEN_SIGNS and all(c and c in " ([])" for c in around):
+            signs.add(i)
+    labels = [i for i in where if i not in signs]
+    keep = {labels[-1]} | ({labels[-2]} if len(labels) > 3 and len(pieces[labels[-1]]) == 2 and pieces[labels[-2]].lower() in _SECOND else set())
+    return "".join(p if i in keep or i not in labels else _new_piece(key, p, "email", attempt) for i, p in enumerate(pieces))
+
+
+def _new_address(key: bytes, text: str, attempt: int) -> str:
+    if _HAN.search(text):
+        name = lambda m: "".join(HAN_STREETS[_number(key, "street", m[0], i, attempt) % len(HAN_STREETS)] for i in range(len(m[0])))
+        text = re.sub("^[一-鿿]{2}", name, text)
+        return re.sub(r"\d+", lambda m: _figures(key, m[0], "house", attempt), text)
+
+    def new(m: re.Match) -> str:
+        w = m[0]
+        if w[0].isdigit():
+            figures = re.match(r"\d+", w)[0]
+            return _figures(key, figures, "house", attempt) + w[len(figures) :]
+        return w if w.lower() in _STREET_WORDS else _cased(made_word(key, w.lower(), "street", attempt), w)
+
+    return re.sub(r"[A-Za-z][A-Za-z']*|\d+[A-Za-z]?(?![\w])|\d+", new, text)
+
+
+def replacements(text: str, spans: list[tuple[int, int, str]], key: bytes, placeholders: bool) -> list[str]:
+    """What stands in place of every span.
 
     Placeholders are <kind_n>, n numbering the kind's entities in the text by
-    first mention. Surrogates that collide with another entity's, or occur in
-    the text, are drawn again.
+    first mention. A surrogate that another entity of the text has or is makes
+    its entity be drawn again, for all its mentions.
     """
-    given: dict[tuple[str, str], str] = {}
-    used: dict[str, tuple[str, str]] = {}
-    number: dict[str, int] = {}
-    out, at = [], 0
+    whos = [(kind, entity(kind, text[a:b])) for a, b, kind in spans]
+    if placeholders:
+        numbers: dict[tuple[str, str], int] = {}
+        count: dict[str, int] = {}
+        for who in whos:
+            if who not in numbers:
+                numbers[who] = count[who[0]] = count.get(who[0], 0) + 1
+        return [f"<{who[0]}_{numbers[who]}>" for who in whos]
+    genders: dict[str, str] = {}
     for a, b, kind in spans:
+        if kind == "person_name" and (g := gender_of(_narrow(text[a:b]))):
+            genders.setdefault(_given_part(text[a:b]), g)
+    genders.pop("", None)
+    originals = set(whos)
+    attempts: dict[tuple[str, str], int] = {}
+    used: dict[tuple[str, str], tuple[str, str]] = {}
+    out = []
+    for (a, b, kind), who in zip(spans, whos):
         mention = text[a:b]
-        who = (kind, entity(kind, mention))
-        if placeholders:
-            if who not in given:
-                number[kind] = number.get(kind, 0) + 1
-                given[who] = f"<{kind}_{number[kind]}>"
-            new = given[who]
-        else:
-            attempt = int(given.get(who, 0))
-            while True:
-                new = surrogate(key, kind, mention, attempt)
-                form = entity(kind, new)
-                if used.setdefault(form, who) == who and (attempt or new not in text):
-                    break
-                attempt += 1
-                if attempt > 50:
-                    new = f"<{kind}_{len(used)}>"
-                    break
-            given[who] = str(attempt)
+        gender = genders.get(_given_part(mention)) if kind == "person_name" else None
+        attempt = attempts.get(who, 0)
+        while True:
+            new = surrogate(key, kind, mention, attempt, gender)
+            form = (kind, entity(kind, new))
+            if form not in originals and used.setdefault(form, who) == who or who in attempts:
+                break
+            attempt += 1
+        attempts[who] = attempt
+        out.append(new)
+    return out
+
+
+def rewrite(text: str, spans: list[tuple[int, int, str]], key: bytes, placeholders: bool) -> str:
+    """``text`` with every span replaced; the rest is unchanged."""
+    out, at = [], 0
+    for (a, b, _), new in zip(spans, replacements(text, spans, key, placeholders)):
         out += [text[at:a], new]
         at = b
     return "".join([*out, text[at:]])
@@ -298,32 +471,32 @@ def _finder(names: DataFrame, part: str, kind: str) -> list[tuple[str, str]]:
     return [(r["p"], r["k"]) for r in rows]
 
 
-def mentions(docs: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
-    """(key, kind, occurrence_no, start, end) of every mention.
+def mentions(docs: DataFrame, key: str, text: str, names: DataFrame, secret: str) -> DataFrame:
+    """(key, kind, occurrence_no, start, end, surrogate) of every mention.
 
     occurrence_no counts the mentions of a kind in a text from 1, repeated
-    mentions included. Null and empty texts have none. ``names`` (at most
-    MAX_NAMES parts, else ValueError) has name_part and kind.
+    mentions included; ``surrogate`` is what the replacing pass writes. Null and
+    empty texts have none. ``names`` (at most MAX_NAMES parts, else ValueError)
+    has name_part and kind.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_finder(names, "name_part", "kind"))
     slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("t")).filter("key is not null and t is not null")
-    schema = schema_with(slim, ["key"], kind=T.StringType(), occurrence_no=T.IntegerType(), start=T.IntegerType(), end=T.IntegerType())
+    schema = schema_with(slim, ["key"], kind=T.StringType(), occurrence_no=T.IntegerType(), start=T.IntegerType(), end=T.IntegerType(), surrogate=T.StringType())
+    secret_key = secret.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(shared.value)
         for batch in batches:
-            keys, kinds, numbers, starts, ends = [], [], [], [], []
+            rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 count: dict[str, int] = {}
-                for a, b, kind in finder.find(t):
+                spans = finder.find(t)
+                for (a, b, kind), new in zip(spans, replacements(t, spans, secret_key, False)):
                     count[kind] = count.get(kind, 0) + 1
-                    keys.append(k)
-                    kinds.append(kind)
-                    numbers.append(count[kind])
-                    starts.append(a)
-                    ends.append(b)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(kinds), pa.array(numbers, pa.int32()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["key", "kind", "occurrence_no", "start", "end"])
+                    rows.append((k, kind, count[kind], a, b, new))
+            if rows:
+                types = [batch.schema.field(0).type, pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=schema.fieldNames())
 
     return slim.mapInArrow(run, schema).withColumnRenamed("key", key)
 
@@ -343,13 +516,19 @@ def replaced(docs: DataFrame, key: str, text: str, names: DataFrame, secret: str
     return slim.mapInArrow(run, schema_with(slim, ["key", "text"])).withColumnRenamed("key", key)
 
 
+def secret_of(spark: SparkSession) -> str:
+    """The key of the replacements: spark.undertone.surrogate.key; sessions
+    without it (tests) have a known one."""
+    return spark.conf.get("spark.undertone.surrogate.key", "no secret: set spark.undertone.surrogate.key")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mentions(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list")).select("doc_id", "kind", "occurrence_no")
+    return mentions(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list"), secret_of(spark)).select("doc_id", "kind", "occurrence_no")
 
 
 def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replaced(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list"), "undertone", True)
+    return replaced(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list"), secret_of(spark), True)
 
 
 def p10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replaced(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list"), "undertone", False)
+    return replaced(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "name_list"), secret_of(spark), False)
