@@ -516,12 +516,19 @@ class Judge:
 
     def __init__(self, tables: list[np.ndarray]):
         self.hasher, self.tables = Hasher(), tables
-        self.kept: tuple = (None, None)
+        self.kept: tuple = (None, None, None)
+        self.last: tuple = (None, None)
 
     def terms(self, ts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
         h = self.hasher.hashes(ts)
         return self.hasher.runs(h, order), information(h, order, self.hasher, self.tables)
 
+    def counted(self, text: list[str]) -> Counter:
+        """The token counts of a text, those of the last one kept."""
+        if self.last[0] is not text:
+            self.last = (text, Counter(text))
+        return self.last[1]
+
     def decide(self, text: list[str], answer: list[str]) -> tuple[int, float] | None:
         """(edits, cosine) of a match, None below the bound or above the edits."""
         n, edits = len(answer), len(answer) // PART
@@ -531,9 +538,7 @@ class Judge:
         if self.kept[0] is not answer:
             self.kept = (answer, Counter(answer), {})
         _, counted, lists = self.kept
-        lost = counted.copy()
-        lost.subtract(text)
-        if sum(c for c in lost.values() if c > 0) > edits:
+        if (counted - self.counted(text)).total() > edits:
             return None
         if order not in lists:
             lists[order] = Listed(*self.terms(answer, order), order, edits)
@@ -585,30 +590,37 @@ class Block:
         runs, weight = judge.hasher.runs(h, order), information(h, order, judge.hasher, judge.tables)
         of = np.repeat(np.arange(len(texts)), self.n)
         inside = np.flatnonzero(np.arange(len(runs)) + order <= end[: len(runs)])
-        by = inside[np.argsort(runs[inside], kind="stable")]
-        self.runs, self.first = np.unique(runs[by], return_index=True)
-        self.last = np.append(self.first[1:], len(by))
-        self.who, self.at, self.weight = of[by], by - start[of[by]], weight[by]
+        at = inside - start[of[inside]]
+        by = np.lexsort((at, runs[inside]))
+        self.runs, number = np.unique(runs[inside][by], return_inverse=True)
+        # the lists one behind another, each in order of places
+        self.keys = number.astype(np.int64) << 32 | at[by]
+        self.who, self.weight = of[inside][by], weight[inside][by]
 
     def matches(self, texts: list[str]):
         """(text, answer, edits, cosine) of all matches: dot products are added
-        up over the lists of a text's runs; what reaches its bound is decided."""
+        up over the lists of a text's runs; what reaches its bound is decided.
+
+        A list is read where the places are near for the answer with the most
+        edits, and a term found at two places counts twice, which only lets
+        more by.
+        """
         h, split, start, end = laid_out(texts, self.judge.hasher)
         runs = self.judge.hasher.runs(h, self.order)
         found = np.searchsorted(self.runs, runs)
         found[found == len(self.runs)] = 0
         hit = np.flatnonzero((self.runs[found] == runs) & (np.arange(len(runs)) + self.order <= end[: len(runs)]))
-        cuts = np.searchsorted(hit, start).tolist()
-        for t, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(hit)])):
-            n = len(split[t])
-            i = found[hit[a:b]]
-            many = self.last[i] - self.first[i]
-            flat = np.repeat(self.first[i] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-            who = self.who[flat]
-            near = np.abs(np.repeat(hit[a:b] - start[t], many) - self.at[flat]) <= self.edits[who]
-            # a term found at two places counts twice, which only lets more by
-            product = np.bincount(who[near], self.weight[flat[near]], minlength=len(self.n))
-            for k in np.flatnonzero((product >= self.bound) & (product > 0) & (np.abs(self.n - n) <= self.edits)).tolist():
+        cuts = np.searchsorted(hit, start)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        place = hit - np.repeat(start, np.diff(cuts, append=len(hit)))
+        reach, lists = int(self.edits.max()), found[hit].astype(np.int64) << 32
+        first, last = np.searchsorted(self.keys, lists | np.maximum(place - reach, 0)), np.searchsorted(self.keys, lists | place + reach, side="right")
+        many = last - first
+        for t, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(hit)])):
+            m = many[a:b]
+            flat = np.repeat(first[a:b] - np.cumsum(m) + m, m) + np.arange(int(m.sum()))
+            product = np.bincount(self.who[flat], self.weight[flat], minlength=len(self.n))
+            for k in np.flatnonzero((product >= self.bound) & (product > 0) & (np.abs(self.n - sizes[t]) <= self.edits)).tolist():
                 if made := self.judge.decide(split[t], self.tokens[k]):
                     yield t, self.eks[k], *made
 
@@ -676,7 +688,8 @@ def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame,
     scanned = cut(scan(_normalised(train, train_key, train_text), key_filter(lists), ranges))
     pairs = cut(listed_pairs(scanned, lists))
     # the texts of the candidates are normalised again rather than kept for all
-    classes = cut(scanned.select("key", "s64", "sk").join(pairs.select("s64").distinct(), "s64").groupBy("s64", "sk").agg(F.min("key").alias("key")))
+    met = pairs.select("s64").distinct()
+    classes = cut(among(scanned.select("key", "s64", "sk"), "s64", met.withColumnRenamed("s64", "key")).join(met, "s64").groupBy("s64", "sk").agg(F.min("key").alias("key")))
     texts = _normalised(among(train, train_key, classes.select("key")), train_key, train_text)
     texts = scan(texts, (1 << PACK_BITS, np.zeros(1 << (PACK_BITS - 3), np.uint8)), [(True, c, 0, 1 << 40) for c in (True, False)]).select("sk", F.col("norm").alias("text"))
     texts = texts.join(classes.select("s64", "sk"), "sk").dropDuplicates(["sk"])
@@ -684,8 +697,8 @@ def _matched(train: DataFrame, train_key: str, train_text: str, held: DataFrame,
     same = verify(joined, shared)
     if any(low for low, *_ in ranges):
         same = same.unionByName(block_pairs(scanned, answers, shared))
-    same = same.groupBy("sk", "ek").agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine"))
-    return same, scanned.select("key", "sk"), held_rows.select("key", "ek")
+    same = cut(same.groupBy("sk", "ek").agg(F.min("edits").alias("edits"), F.max("cosine").alias("cosine")))
+    return same, among(scanned.select("key", "sk"), "sk", same.select(F.col("sk").alias("key")).distinct()), held_rows.select("key", "ek")
 
 
 def cross_split(train: DataFrame, train_key: str, train_text: str, held: DataFrame, held_key: str, held_text: str) -> DataFrame:
