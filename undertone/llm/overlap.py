@@ -78,6 +78,7 @@ def comparable_sql(column: str, chars: set[str]) -> str:
     return rf"trim(regexp_replace({e}, '\b(uh|um|umm|erm|hmm)\b( |$)', '', 'g'))"
 
 
+_CHARACTER_RANGE = frozenset(map(chr, [*range(0x0E00, 0x0E80), *range(0x2E80, 0xA000)]))
 _CHARACTER = re.compile("[฀-๿⺀-鿿]")
 _TOKEN = re.compile("[฀-๿⺀-鿿]|[^฀-๿⺀-鿿 ]+")
 
@@ -88,7 +89,8 @@ def tokens(text: str) -> list[str]:
 
 
 def by_character(ts: list[str]) -> bool:
-    return 2 * sum(len(t) == 1 and ("฀" <= t <= "๿" or "⺀" <= t <= "鿿") for t in ts) > len(ts)
+    """Whether most tokens are single Chinese or Thai characters."""
+    return 2 * sum(map(_CHARACTER_RANGE.__contains__, ts)) > len(ts)
 
 
 def counts(ts: list[str]) -> bool:
@@ -96,24 +98,26 @@ def counts(ts: list[str]) -> bool:
     return len(ts) >= LEAST_WORDS and (len(ts) >= LEAST_CHARS or not by_character(ts))
 
 
+class _Known(dict):
+    """Hashes of the tokens met so far."""
+
+    def __missing__(self, token: str) -> int:
+        import xxhash
+
+        self[token] = made = xxhash.xxh3_64_intdigest(token)
+        return made
+
+
 class Hasher:
     """64-bit hashes of tokens, kept, and of all runs of a length."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known = _Known()
 
     def hashes(self, ts: list[str]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        out = list(map(known.get, ts))
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    out[i] = known[ts[i]] = xxhash.xxh3_64_intdigest(ts[i])
-        return np.array(out, np.uint64)
+        if len(self.known) > 500_000:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, ts), np.uint64, len(ts))
 
     #: Powers of the base and of its inverse, longer as needed.
     _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -427,15 +431,17 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
                 i = i[(filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
         return i
 
+    fitting: dict[int, list] = {}
+
     def wanted(text: str, n: int) -> tuple[bool, bool]:
         """Whether listed, and low, answers may match a text of n tokens."""
-        fitting = {(low, chars) for low, chars, lo, hi in shared.value[1] if lo <= n <= hi}
-        if not fitting:
+        if n not in fitting:
+            fitting[n] = [{chars for low_, chars, lo, hi in shared.value[1] if low_ == low and lo <= n <= hi} for low in (False, True)]
+        if not any(fitting[n]):
             return False, False
         # an edit of a match may change which script has the most
         share = 0.0 if text.isascii() else len(_CHARACTER.findall(text)) / max(1, n)
-        may = {True: share > 0.25, False: share < 0.75}
-        return tuple(any(may[chars] for low_, chars in fitting if low_ == low) for low in (False, True))
+        return tuple(share > 0.25 and True in kinds or share < 0.75 and False in kinds for kinds in fitting[n])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
