@@ -63,19 +63,23 @@ def comparable_sql(column: str, chars: set[str]) -> str:
     """DuckDB expression: lower-case canonical words; annotations, fillers,
     speaker labels, time stamps and punctuation removed."""
     e = canonical_sql(column, chars, lines=False)
+    marks = "one"
     if chars & set("[<*("):
         for _ in range(2):
-            e = rf"regexp_replace({e}, '\[[^\[\]]*\]|<[^<>]*>|\*[^*]*\*|\([A-Za-z]{{1,10}}( [A-Za-z]+)?\)|\([0-9.]+ ?s\)', ' ', 'g')"
+            marks = rf"regexp_replace({marks}, '\[[^\[\]]*\]|<[^<>]*>|\*[^*]*\*|\([A-Za-z]{{1,10}}( [A-Za-z]+)?\)|\([0-9.]+ ?s\)', ' ', 'g')"
     if ":" in chars:
         clock = r"[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?([.,][0-9]+)?"
-        e = rf"regexp_replace({e}, '{clock}( *--> *{clock})?', ' ', 'g')"
-    e = rf"regexp_replace({e}, '(?i)\b(speaker|spk|s)[ _-]?[0-9]+ ?[])>:-]*|\([ ]?(speaker|spk|s)[ _-]?[0-9]+ ?\)|说话人 ?[0-9]+|\b(host|guest|caller|agent|interviewer|student) ?[:>]', ' ', 'g')"
-    e = rf"regexp_replace({e}, '(^|\s)[ABC] ?[:>]', ' ', 'g')"
+        marks = rf"regexp_replace({marks}, '{clock}( *--> *{clock})?', ' ', 'g')"
+    marks = rf"regexp_replace({marks}, '(?i)\b(speaker|spk|s)[ _-]?[0-9]+ ?[])>:-]*|\([ ]?(speaker|spk|s)[ _-]?[0-9]+ ?\)|说话人 ?[0-9]+|\b(host|guest|caller|agent|interviewer|student) ?[:>]', ' ', 'g')"
+    marks = rf"regexp_replace({marks}, '(^|\s)[ABC] ?[:>]', ' ', 'g')"
+    # texts that hold no sign of a mark, or no letters of a filler, are spared
+    e = rf"list_transform([{e}], lambda one: CASE WHEN regexp_matches(one, '[0-9:>\[<*(]') THEN {marks} ELSE one END)[1]"
     e = f"lower({e})"
     if chars & set("'’`´"):
         e = f"translate({e}, '''’`´', '')"
     e = rf"regexp_replace({e}, '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g')"
-    return rf"trim(regexp_replace({e}, '\b(uh|um|umm|erm|hmm)\b( |$)', '', 'g'))"
+    fillers = r"regexp_replace(two, '\b(uh|um|umm|erm|hmm)\b( |$)', '', 'g')"
+    return f"trim(list_transform([{e}], lambda two: CASE WHEN regexp_matches(two, 'uh|um|erm|hmm') THEN {fillers} ELSE two END)[1])"
 
 
 _CHARACTER_RANGE = frozenset(map(chr, [*range(0x0E00, 0x0E80), *range(0x2E80, 0xA000)]))
