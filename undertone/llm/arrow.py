@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -55,11 +56,15 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the cluster's checkpoint folder and read from there.
 
     For results that several later steps read. The folder is the session's
-    spark.checkpoint.dir; only a session without one (as in tests) gets its own.
+    spark.checkpoint.dir; only a local session without one (as in tests) gets
+    its own, on a cluster a missing folder is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="undertone_checkpoint_"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="undertone_checkpoint_"))
     return df.checkpoint()
 
 
