@@ -55,8 +55,13 @@ def test_blocks_do_not_matter(spark):
 
 
 def test_one_table(spark):
-    rows = [(1, 1, '{"Target_Text": "x", "sr": "16000", "zzz": 1}'), (2, 1, '{"answer_text": {"value": "y"}, "duration": "no"}'), (3, 1, '{"answer_text": "cut'), (4, 1, None), (5, 1, "")]
-    got = {r["record_id"]: r for r in sd.one_table(spark.createDataFrame(rows, "record_id long, shard_id long, payload string")).collect()}
+    rows = [(1, 1, '{"Target_Text": "x", "sr": "16000", "zzz": 1}'), (2, 1, '{"answer_text": {"value": "y"}, "duration": "no"}'), (3, 1, '{"answer_text": "cut'), (4, 1, None), (5, 1, ""), (6, None, '{"Language": "", " language": "zh", "LANGUAGE": "en"}'), (7, 77, '{"lang": "ms", "language": null}'), (8, 1, '{"Zzz": "1", "zzz": "2", "a": "b"}')]
+    ix = index(spark, [(["zzz", "target_text"], ["int", "str"])])
+    got = {r["record_id"]: r for r in sd.one_table(spark.createDataFrame(rows, "record_id long, shard_id long, payload string"), ix).collect()}
     assert (got[1]["answer_text"], got[1]["sample_rate"], got[1]["other"]) == ("x", 16000, {"zzz": "1"})
     assert (got[2]["answer_text"], got[2]["duration"]) == ("y", None)
     assert [got[k]["readable"] for k in range(1, 6)] == [True, True, False, False, False]
+    assert got[6]["language"] == "zh" and got[7]["language"] == "ms" and got[8]["other"] == {"zzz": "1", "a": "b"}
+    assert len(got) == 8
+    empty = sd.one_table(spark.createDataFrame([], "record_id long, shard_id long, payload string"), ix.limit(0))
+    assert empty.count() == 0

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from undertone.functions.tokens import let
 from undertone.sources.tables import table
 
 BLOCK = 1024
@@ -162,25 +163,61 @@ def casts(index: DataFrame) -> DataFrame:
     return j.select(F.coalesce("field", "name").alias("field"), "name", "type", F.coalesce("cast_to", F.lit("string")).alias("cast_to"), "n_producers")
 
 
-def one_table(records: DataFrame, payload: str = "payload") -> DataFrame:
+def _entries(payload: str) -> Column:
+    """A payload's entries, one a name in lower case without blanks: of several
+    ways of writing a name the first with a value that is not empty counts."""
+    kind = "array<struct<key:string,value:string>>"
+
+    def one(e):
+        value = F.coalesce(F.get_json_object(e["value"], "$.value"), e["value"])
+        return F.struct(_name(e["key"]).alias("key"), F.nullif(value, F.lit("")).alias("value"))
+
+    def merged(every):
+        names = F.array_distinct(F.transform(every, lambda e: e["key"]))
+        first = lambda n: F.get(F.filter(every, lambda e: (e["key"] == n) & e["value"].isNotNull()), F.lit(0))["value"]
+        return F.transform(names, lambda n: F.struct(n.alias("key"), first(n).alias("value")))
+
+    raw = F.map_entries(F.from_json(F.col(payload), "map<string,string>"))
+    return F.when(F.rtrim(F.col(payload)).endswith("}"), let(F.transform(raw, one).cast(kind), merged))
+
+
+def shard_casts(index: DataFrame) -> DataFrame:
+    """(shard_id, field_of): for the columns a shard lists the field that the
+    generated casts give their name and type."""
+    of = casts(index).select("name", "type", "field")
+    f = fields(sequenced(shards(index))).select("shard_id", "name", "type").distinct()
+    return f.join(of, ["name", "type"]).groupBy("shard_id").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("name", "field")))).alias("field_of"))
+
+
+def one_table(records: DataFrame, index: DataFrame, payload: str = "payload") -> DataFrame:
     """All records in the fields of the alias table.
 
-    A payload is read as a map of lower-case, trimmed names; a field takes the
-    first of its names with a non-empty value, cast to the field's type (null
-    if it can't be). A value given as an object of one value counts as that
-    value. Null and cut-off payloads give a row of nulls with ``readable``
-    false; names outside the alias table are kept in ``other``.
+    A payload is read as entries with lower-case, trimmed names, of which each
+    counts once (the first that is not empty). A name's field is the one the
+    generated casts give it for the record's shard, for a name its shard doesn't
+    list that of the alias table. A field takes its first name with a non-empty
+    value, in the order of the alias table, cast to the field's type (null if it
+    can't be). A value given as an object of one value counts as that value.
+    Null and cut-off payloads give a row of nulls with ``readable`` false; names
+    outside the alias table are kept in ``other``. Records of unknown or null
+    shards are kept.
     """
-    raw = F.from_json(F.col(payload), "map<string,string>")
-    cleaned = F.transform_keys(F.map_from_entries(F.array_distinct(F.transform(F.map_entries(raw), lambda e: F.struct(_name(e["key"]).alias("key"), e["value"].alias("value"))))), lambda k, v: k)
-    whole = F.rtrim(F.col(payload)).endswith("}")
-    m = records.withColumn("__m", F.when(whole, cleaned))
-    val = lambda n: F.coalesce(F.get_json_object(F.col("__m")[n], "$.value"), F.col("__m")[n])
-    cols = [F.coalesce(*[F.nullif(val(n), F.lit("")) for n in names]).try_cast(t).alias(f) for f, t, names in ALIASES]
-    known = [n for _, _, names in ALIASES for n in names]
-    rest = F.map_filter("__m", lambda k, v: ~k.isin(known))
     ids = [c for c in records.columns if c in ("record_id", "shard_id")]
-    return m.select(*ids, F.col("__m").isNotNull().alias("readable"), *cols, rest.alias("other"))
+    m = records.select(*ids, _entries(payload).alias("__e")).join(shard_casts(index), "shard_id", "left") if "shard_id" in ids else records.select(*ids, _entries(payload).alias("__e"), F.lit(None).cast("map<string,string>").alias("field_of"))
+    known = F.create_map(*[F.lit(x) for f, _, names in ALIASES for n in names for x in (n, f)])
+    field = lambda e: F.coalesce(F.try_element_at("field_of", e["key"]), F.try_element_at(known, e["key"]), e["key"])
+    placed = F.transform("__e", lambda e: F.struct(field(e).alias("field"), e["key"].alias("key"), e["value"].alias("value")))
+    m = m.withColumn("__p", placed)
+
+    def value(f: str, kind: str, names: list[str]) -> Column:
+        order = F.array(*[F.lit(n) for n in names])
+        mine = F.filter("__p", lambda e: (e["field"] == f) & e["value"].isNotNull())
+        ranked = F.array_sort(F.transform(mine, lambda e: F.struct(F.array_position(order, e["key"]).alias("at"), e["value"].alias("value"))))
+        return F.get(ranked, F.lit(0))["value"].try_cast(kind).alias(f)
+
+    fields_ = [f for f, _, _ in ALIASES]
+    rest = F.map_from_entries(F.transform(F.filter("__p", lambda e: ~e["field"].isin(fields_)), lambda e: F.struct(e["key"], e["value"])))
+    return m.select(*ids, F.col("__e").isNotNull().alias("readable"), *[value(*a) for a in ALIASES], rest.alias("other"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,4 +233,4 @@ def p2_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_table(table(spark, sf_dir, "shard_records"))
+    return one_table(table(spark, sf_dir, "shard_records"), table(spark, sf_dir, "shard_index"))

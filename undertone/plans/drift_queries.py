@@ -25,6 +25,21 @@ def p2_found(spark, d):
     return sd.p2_found(spark, d)
 
 
-query("p2_lifespans")(sd.p2_lifespans)
-query("p2_casts")(sd.p2_casts)
+LISTS = """s AS (SELECT shard_id, trim(any_value(dataset)) AS dataset, any_value(subdir) AS subdir, any_value(shard_no) AS shard_no, any_value(written_at) AS written_at,
+ list_transform(any_value(column_names), lambda x: lower(trim(x))) AS names, any_value(column_encodings) AS types FROM shard_index GROUP BY shard_id),
+p AS (SELECT *, row_number() OVER (PARTITION BY dataset, subdir ORDER BY written_at, shard_no, shard_id) AS seq FROM s),
+f AS (SELECT DISTINCT dataset, subdir, seq, name, type FROM (SELECT dataset, subdir, seq, unnest(names) AS name, unnest(types) AS type FROM p))"""
+_ALIAS = ", ".join(f"('{n}', '{f}', '{t}')" for f, t, names in sd.ALIASES for n in names)
+
+query(
+    "p2_lifespans",
+    f"""WITH {LISTS}, i AS (SELECT *, seq - row_number() OVER (PARTITION BY dataset, subdir, name, type ORDER BY seq) AS g FROM f),
+l AS (SELECT dataset, subdir, name, type, min(seq) AS first_seq, max(seq) AS last_seq FROM i GROUP BY dataset, subdir, name, type, g)
+SELECT *, row_number() OVER (PARTITION BY dataset, subdir, name, type ORDER BY first_seq) AS lifespan_no FROM l""",
+)(sd.p2_lifespans)
+query(
+    "p2_casts",
+    f"""WITH {LISTS}, a AS (SELECT * FROM (VALUES {_ALIAS}) AS v(name, field, cast_to)), n AS (SELECT name, type, count(DISTINCT (dataset, subdir)) AS n_producers FROM f GROUP BY name, type)
+SELECT coalesce(a.field, n.name) AS field, n.name, n.type, coalesce(a.cast_to, 'string') AS cast_to, n.n_producers FROM n LEFT JOIN a ON a.name = n.name""",
+)(sd.p2_casts)
 query("p2_table")(sd.p2_table)

@@ -21,6 +21,22 @@ def full_rows(spark, d, *columns):
     return ev.last_wins(s, ["sample_id"], "__t").drop("__t")
 
 
+def with_audio(spark, d, drawn, *columns):
+    """Draws with the texts and the audio of their sample's last delivery.
+
+    Which row is the last delivery (its file and place in it) comes from ids and
+    times alone; texts and audio are then fetched once, for the drawn rows, so
+    the bytes of other samples meet no aggregate and (by the join's filter at
+    scale) no shuffle.
+    """
+    s = table(spark, d, "mds_samples").filter("sample_id is not null")
+    where = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    narrow = s.select("sample_id", F.col("ingested_at").cast("timestamp").alias("__t"), where.alias("__where"))
+    last = ev.last_wins(narrow, ["sample_id"], "__t").select("sample_id", "__where.file", "__where.place")
+    rows_ = s.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), *columns, "context_audio")
+    return drawn.join(last, "sample_id").join(rows_, ["file", "place"]).drop("file", "place")
+
+
 LISTS = {lang: kinds["asr"] for lang, kinds in rows.PROMPTS.items()}
 _q = lambda s: "'" + s.replace("'", "''") + "'"
 ASR_MAP = "MAP {" + ", ".join(f"{_q(k)}: [{', '.join(map(_q, v))}]" for k, v in LISTS.items()) + "}"
@@ -42,8 +58,7 @@ def entry_chat_rows(spark, d):
     """Flagship: epoch draw, normalised answer, keyed prompt, chat row."""
     cfg = rows.RowConfig(seed=SEED)
     drawn = chosen(spark, d, 0).select("sample_id", "copy", "name")
-    f = full_rows(spark, d, "task", "language", "instruction_text", "response_text", "context_audio")
-    j = drawn.join(f, "sample_id")
+    j = with_audio(spark, d, drawn, "task", "language", "instruction_text", "response_text")
     clean = t.add_speaker(t.remove_hash(t.remove_no_sound(F.col("response_text"))))
     j = j.withColumn("prompt", rows.random_prompt(F.col("sample_id"), F.col("language"), F.col("task"), F.col("instruction_text"), cfg)).withColumn("answer", F.when(F.substring("task", 1, 3) == "ASR", clean).otherwise(F.col("response_text")))
     built = rows.build_rows(j.withColumnRenamed("name", "dataset"), "prompt", "answer", "context_audio", ["sample_id", "copy", "dataset"], cfg)
