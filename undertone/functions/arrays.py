@@ -7,7 +7,7 @@ import wave
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from undertone.functions.tokens import let
 
@@ -89,21 +89,74 @@ def room(x: Column, seed: Column, taps: int = 16, decay: float = 0.35) -> Column
     return run(x, seed)
 
 
-def stretched(x: Column, speed: Column) -> Column:
-    """Resampled by linear interpolation; stands for the phase vocoder
-    (pitch moves with speed)."""
+FRAME, HOP = 512, 128
+
+
+def vocoded(v: np.ndarray, rate: float) -> np.ndarray:
+    """A phase vocoder: round(len / rate) values at the same pitch.
+
+    Frames of the spectrum are read at steps of ``rate`` hops; magnitudes are
+    interpolated, phases go on by what each bin turned between two frames.
+    """
+    n = max(1, int(round(len(v) / rate)))
+    window = np.hanning(FRAME + 1)[:-1]
+    padded_ = np.concatenate([np.zeros(FRAME // 2), v, np.zeros(FRAME + HOP)])
+    spectrum = np.fft.rfft(np.lib.stride_tricks.sliding_window_view(padded_, FRAME)[::HOP] * window, axis=1)
+    at = np.arange(0, len(spectrum) - 1, rate)
+    low = at.astype(int)
+    part = (at - low)[:, None]
+    size = np.abs(spectrum[low]) * (1 - part) + np.abs(spectrum[low + 1]) * part
+    bins = 2 * np.pi * HOP * np.arange(FRAME // 2 + 1) / FRAME
+    turn = np.angle(spectrum[low + 1]) - np.angle(spectrum[low]) - bins
+    turn = bins + turn - 2 * np.pi * np.round(turn / (2 * np.pi))
+    phase = np.angle(spectrum[0]) + np.concatenate([np.zeros((1, turn.shape[1])), np.cumsum(turn[:-1], axis=0)])
+    frames = np.fft.irfft(size * np.exp(1j * phase), FRAME, axis=1) * window
+    out, weight = np.zeros(HOP * len(frames) + FRAME), np.zeros(HOP * len(frames) + FRAME)
+    for k, f in enumerate(frames):
+        out[k * HOP : k * HOP + FRAME] += f
+        weight[k * HOP : k * HOP + FRAME] += window**2
+    y = (out / np.maximum(weight, 1e-3))[FRAME // 2 : FRAME // 2 + n]
+    return np.concatenate([y, np.zeros(n - len(y))])
+
+
+def resampled(v: np.ndarray, n: int) -> np.ndarray:
+    """``n`` values by linear interpolation."""
+    return np.interp(np.linspace(0, len(v) - 1, n), np.arange(len(v)), v)
 
+
+def _effect(x: Column, amount: Column, f) -> Column:
     @F.pandas_udf("array<double>")
     def run(s: pd.Series, r: pd.Series) -> pd.Series:
-        def one(v, rate):
-            if v is None or len(v) == 0:
-                return v
-            n = max(1, int(round(len(v) / rate)))
-            return np.interp(np.linspace(0, len(v) - 1, n), np.arange(len(v)), np.asarray(v, float))
+        return pd.Series([v if v is None or len(v) == 0 or q is None else f(np.asarray(v, float), float(q)) for v, q in zip(s, r)])
 
-        return pd.Series([one(v, q) for v, q in zip(s, r)])
+    return run(x, amount)
+
+
+def stretched(x: Column, speed: Column) -> Column:
+    """The speed changed, the pitch kept; null and empty stay."""
+    return _effect(x, speed, vocoded)
+
+
+def pitched(x: Column, semitones: Column) -> Column:
+    """The pitch moved by semitones, the length kept; null and empty stay."""
+    return _effect(x, semitones, lambda v, k: resampled(vocoded(v, 2.0 ** (-k / 12)), len(v)))
+
+
+def header_seconds(data: Column) -> Column:
+    """Frames over rate from a WAV header; null where there is none."""
+
+    def one(b):
+        try:
+            with wave.open(io.BytesIO(b)) as w:
+                return w.getnframes() / w.getframerate()
+        except (wave.Error, EOFError, TypeError, ZeroDivisionError):
+            return None
+
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(one).astype("float64")
 
-    return run(x, speed)
+    return F.nanvl(run(data), F.lit(None).cast("double"))
 
 
 def decode_wav(data: Column) -> Column:
@@ -154,5 +207,15 @@ def encode_wav(x: Column) -> Column:
 
 
 def seconds_of(data: Column, n_bytes: Column | None = None) -> Column:
-    """Bytes / 32,000 where no header is read, 30 without bytes."""
-    return F.coalesce((n_bytes if n_bytes is not None else F.length(data)) / 32000.0, F.lit(30.0))
+    """From the header, else bytes / 32,000, else 30."""
+    return F.coalesce(header_seconds(data), (n_bytes if n_bytes is not None else F.length(data)) / 32000.0, F.lit(30.0))
+
+
+def background_clips(df: DataFrame, sample: str, clip: str, seed: int, n: int = 8, shares: int = 4096) -> DataFrame:
+    """With every row ``background``, up to ``n`` clips of the rows
+    before it in a keyed order (a reservoir of fixed size). Rows are dealt to
+    ``shares`` parts by a second hash, so no task orders all of them; null clips
+    are no background, and the first row of a part has none."""
+    w = W.partitionBy("__part").orderBy("__h", sample).rowsBetween(-n, -1)
+    d = df.withColumn("__h", F.xxhash64(F.lit(seed), sample)).withColumn("__part", F.pmod(F.xxhash64(F.lit(seed), F.lit("part"), sample), F.lit(shares)))
+    return d.withColumn("background", F.collect_list(clip).over(w)).drop("__h", "__part")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from undertone.functions.text import space_out, tokens_13a
 from undertone.functions.tokens import edit_distance, let, ngrams, words
+from undertone.operators.ranking import positions, value_hash
 
 REGISTRY: dict[str, "Metric"] = {}
 #: Unit of the error rate by language; words where none is named.
@@ -148,3 +149,34 @@ def class_scores(df: DataFrame, truth: str, guess: str) -> DataFrame:
 def judge_score(df: DataFrame, group: list[str], score: str, scale: Column) -> DataFrame:
     """Mean score, unparsable ones 0, on 0 to 100."""
     return df.groupBy(*group).agg(F.avg(F.coalesce(F.col(score).cast("double"), F.lit(0.0)) * scale).alias("value"), F.count(F.lit(1)).alias("n"))
+
+
+def average_precision(df: DataFrame, label: str, score: str, positive: str) -> DataFrame:
+    """Average precision of every label and, by their mean, mAP.
+
+    Rows are ranked by falling score (0 to 1; of equal scores positive ones
+    last, so ties flatter nobody) without sorting a label in one task; each
+    positive adds its rank among the positives over its rank. Labels without
+    positives have none.
+    """
+    d = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).select(F.col(label).alias("label"), F.col(score).cast("double").alias("s"), F.coalesce(F.col(positive).cast("int"), F.lit(0)).alias("y"))
+    d = d.withColumn("h", value_hash(F.col("s"), descending=True)).withColumn("down", -F.col("s"))
+    placed = positions(d, "h", ["down", "y"], ["label"], "rank", bits=30).filter("y = 1")
+    own = positions(placed, "h", ["down", "rank"], ["label"], "k", bits=30)
+    return own.groupBy("label").agg(F.avg((F.col("k") + 1) / (F.col("rank") + 1)).alias("ap"), F.count(F.lit(1)).alias("n_positive"))
+
+
+def switch_points(words_: Column) -> Column:
+    """Neighbouring tokens of which one has Chinese letters and one has not."""
+    han = lambda w: w.rlike("[一-鿿]")
+    pairs = F.zip_with(F.slice(words_, 1, F.greatest(F.size(words_) - 1, F.lit(0))), F.slice(words_, 2, F.greatest(F.size(words_) - 1, F.lit(0))), lambda a, b: F.when(han(a) != han(b), F.concat_ws(" ", a, b)))
+    return F.filter(pairs, lambda x: x.isNotNull())
+
+
+def switch_error(df: DataFrame, group: list[str], ref: str, hyp: str) -> DataFrame:
+    """Share of the references' switch points (both tokens, as often as
+    they come) that the hypothesis doesn't have; null without switch points."""
+    d = df.select(*group, switch_points(mixed(F.col(ref))).alias("r"), switch_points(mixed(F.col(hyp))).alias("h"))
+    d = d.select(*group, F.size("r").alias("n"), F.size(F.array_intersect(numbered(F.col("r")), numbered(F.col("h")))).alias("kept"))
+    out = d.groupBy(*group).agg(F.sum("n").cast("long").alias("n_switch"), F.sum(F.col("n") - F.col("kept")).cast("long").alias("n_wrong"))
+    return out.withColumn("value", F.when(F.col("n_switch") > 0, F.col("n_wrong") / F.col("n_switch")))

@@ -75,27 +75,47 @@ def peak_guard(spark, d):
     return vectors(spark, d).select("vec_id", checksum(a.peak_guard(F.transform("x", lambda v: v * 4))).alias("s"))
 
 
+def summed(y):
+    """Length and checksum of an effect's values, and their peak."""
+    return F.size(y).alias("n"), F.round(checksum(y), 6).alias("s"), F.round(a.peak(y), 6).alias("peak")
+
+
 @query("rir_effect")
 def rir_effect(spark, d):
     """X5."""
-    y = a.room(F.col("x"), F.col("vec_id"))
-    return vectors(spark, d).select("vec_id", F.size(y).alias("n"))
+    return vectors(spark, d).select("vec_id", a.room(F.col("x"), F.col("vec_id")).alias("y")).select("vec_id", *summed(F.col("y")))
 
 
 @query("speed_effect")
 def speed_effect(spark, d):
-    """X6, X7."""
-    return vectors(spark, d).select("vec_id", F.size(a.stretched(F.col("x"), F.lit(1.1))).alias("n"))
+    """X6."""
+    return vectors(spark, d).select("vec_id", a.stretched(F.col("x"), F.lit(1.1)).alias("y")).select("vec_id", *summed(F.col("y")))
+
+
+@query("pitch_effect")
+def pitch_effect(spark, d):
+    """X7."""
+    return vectors(spark, d).select("vec_id", a.pitched(F.col("x"), F.lit(2.0)).alias("y")).select("vec_id", *summed(F.col("y")))
 
 
 @query("single_effect")
 def single_effect(spark, d):
-    """Keyed choice of one effect."""
+    """Keyed choice of one effect; an effect runs on its own rows only."""
     k = F.pmod(hashed(key("effect", F.col("vec_id"))), F.lit(10))
     v = vectors(spark, d).withColumn("effect", F.when(k < 3, "speed").when(k < 6, "rir").when(k < 8, "pitch").otherwise("still"))
-    rate = F.when(F.col("effect") == "speed", 1.1).when(F.col("effect") == "pitch", 0.94).otherwise(1.0)
-    y = F.when(F.col("effect") == "rir", a.room(F.col("x"), F.col("vec_id"))).otherwise(a.stretched(F.col("x"), rate))
-    return v.select("vec_id", "effect", F.size(y).alias("n"))
+    x, of = F.col("x"), lambda name: F.when(F.col("effect") == name, F.col("x"))
+    y = F.coalesce(a.room(of("rir"), F.col("vec_id")), a.stretched(of("speed"), F.lit(1.1)), a.pitched(of("pitch"), F.lit(-1.0)), x)
+    return v.select("vec_id", "effect", y.alias("y")).select("vec_id", "effect", *summed(F.col("y")))
+
+
+@query("crowd_clips")
+def crowd_clips(spark, d):
+    """Crowd noise from two of the eight clips before a row in a keyed
+    order; rows without two have none."""
+    v = a.background_clips(vectors(spark, d), "vec_id", "x", 9176)
+    start = lambda k: F.pmod(hashed(key(k, F.col("vec_id"))), F.lit(64)).cast("int")
+    crowd = F.when(F.size("background") > 1, a.windows_sum(F.slice("background", 1, 2), F.array(start("a"), start("b")), 32))
+    return v.select("vec_id", F.size("background").alias("n_clips"), F.round(checksum(crowd), 3).alias("s"))
 
 
 @query("augment_batch")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from undertone.plans import base
 from undertone.sources.ship import ship
 
-FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries", "source_queries", "drift_queries", "more_queries")
+FAMILIES = ("sampling_queries", "text_queries", "eval_queries", "row_queries", "array_queries", "source_queries", "drift_queries", "more_queries", "extension_queries")
 
 
 def shipped(query):

@@ -32,9 +32,9 @@ def with_audio(spark, d, drawn, *columns):
     s = table(spark, d, "mds_samples").filter("sample_id is not null")
     where = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
     narrow = s.select("sample_id", F.col("ingested_at").cast("timestamp").alias("__t"), where.alias("__where"))
-    last = ev.last_wins(narrow, ["sample_id"], "__t").select("sample_id", "__where.file", "__where.place")
-    rows_ = s.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"), *columns, "context_audio")
-    return drawn.join(last, "sample_id").join(rows_, ["file", "place"]).drop("file", "place")
+    last = ev.last_wins(narrow, ["sample_id"], "__t").select("sample_id", "__where.place", "__where.file")
+    rows_ = s.select("sample_id", F.col("_metadata.row_index").alias("place"), F.col("_metadata.file_path").alias("file"), *columns, "context_audio")
+    return drawn.join(last, "sample_id").join(rows_, ["sample_id", "place", "file"]).drop("place", "file")
 
 
 LISTS = {lang: kinds["asr"] for lang, kinds in rows.PROMPTS.items()}

@@ -17,7 +17,7 @@ import struct
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, DataSourceStreamReader
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 FIXED = {"int": "<q", "int32": "<i", "int64": "<q", "uint32": "<I", "float32": "<f", "float64": "<d"}
@@ -124,10 +124,15 @@ def read_shard(folder: str, entry: dict, want: set[str] | None, first: int = 0,
         n = struct.unpack("<I", exactly(4))[0]
         offsets = struct.unpack(f"<{n + 1}I", exactly(4 * (n + 1)))
         stop = n if limit is None else min(n, first + limit)
-        for i in range(stop):
-            data = exactly(offsets[i + 1] - offsets[i])
-            if i >= first:
-                yield decode_sample(data, entry["column_names"], entry["column_encodings"], sizes, want)
+        first = min(first, n)
+        if zipped:  # a compressed stream is passed over, a raw shard is entered at its offset
+            at = offsets[0]
+            while at < offsets[first]:
+                at += len(exactly(min(1 << 20, offsets[first] - at)))
+        else:
+            f.seek(offsets[first])
+        for i in range(first, stop):
+            yield decode_sample(exactly(offsets[i + 1] - offsets[i]), entry["column_names"], entry["column_encodings"], sizes, want)
 
 
 class ShardPartition(InputPartition):
@@ -153,37 +158,48 @@ class ShardReader(DataSourceReader):
             yield (*[sample.get(n) for n in names], partition.number, i)
 
 
-class ShardStream(SimpleDataSourceStreamReader):
-    """Shards one batch after another; the offset is (shard, row), so a query
-    goes on exactly where its checkpoint says."""
+class ShardRange(InputPartition):
+    def __init__(self, folder: str, entry: dict, number: int, first: int, limit: int):
+        super().__init__(number)
+        self.folder, self.entry, self.number, self.first, self.limit = folder, entry, number, first, limit
+
+
+class ShardStream(DataSourceStreamReader):
+    """Shards as a stream; the offset is (shard, row), so a query goes on exactly
+    where its checkpoint says.
+
+    A batch takes all shards that are there; executors read it in ranges of
+    ``batch`` rows, each from its offset in the shard. Only the index is read on
+    the driver.
+    """
 
     def __init__(self, options: dict, schema: StructType):
         self.path, self.schema, self.batch = options["path"], schema, int(options.get("batch", "1000"))
 
-    def initialOffset(self):
+    def initialOffset(self) -> dict:
         return {"shard": 0, "row": 0}
 
-    def _every(self):
+    def _every(self) -> list[tuple[str, dict]]:
         return [(f, e) for f in index_folders(self.path) for e in load_index(f)]
 
-    def read(self, start: dict):
-        every, names = self._every(), [f.name for f in self.schema.fields if f.name not in ("shard", "row")]
-        if start["shard"] >= len(every):
-            return iter([]), start
-        folder, entry = every[start["shard"]]
-        rows = [(*[s.get(n) for n in names], start["shard"], start["row"] + i) for i, s in enumerate(read_shard(folder, entry, set(names), start["row"], self.batch))]
-        at = start["row"] + len(rows)
-        end = {"shard": start["shard"] + 1, "row": 0} if at >= entry["samples"] else {"shard": start["shard"], "row": at}
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict, end: dict):
+    def latestOffset(self) -> dict:
+        return {"shard": len(self._every()), "row": 0}
+
+    def partitions(self, start: dict, end: dict) -> list[ShardRange]:
         out = []
-        while (start["shard"], start["row"]) < (end["shard"], end["row"]):
-            rows, start = self.read(start)
-            out += list(rows)
-        return iter(out)
+        for number, (folder, entry) in enumerate(self._every()):
+            first = start["row"] if number == start["shard"] else 0
+            stop = end["row"] if number == end["shard"] else entry["samples"]
+            if start["shard"] <= number <= end["shard"]:
+                out += [ShardRange(folder, entry, number, at, min(self.batch, stop - at)) for at in range(first, stop, self.batch)]
+        return out
+
+    def read(self, partition: ShardRange):
+        names = [f.name for f in self.schema.fields if f.name not in ("shard", "row")]
+        for i, sample in enumerate(read_shard(partition.folder, partition.entry, set(names), partition.first, partition.limit)):
+            yield (*[sample.get(n) for n in names], partition.number, partition.first + i)
 
-    def commit(self, end: dict):
+    def commit(self, end: dict) -> None:
         pass
 
 
@@ -210,7 +226,7 @@ class MdsSource(DataSource):
     def reader(self, schema: StructType):
         return ShardReader(self.options, schema)
 
-    def simpleStreamReader(self, schema: StructType):
+    def streamReader(self, schema: StructType):
         return ShardStream(self.options, schema)
 
 

@@ -14,25 +14,33 @@ def epoch_stream(spark: SparkSession, folder: str, schema: StructType, files_per
 
 
 def fold_predictions(stream: DataFrame, key: list[str], target: str, checkpoint: str) -> StreamingQuery:
-    """Append finished predictions to ``target``, each key once.
+    """Append finished predictions to ``target``, each key once (K2).
 
-    A batch is written under its id, so a batch that is run again after a
-    failure replaces its own rows; keys that ``target`` has are left out, which
-    is the same as skipping finished units.
+    Keys that are done stand in the query's state, partitioned by key, so a
+    batch costs what it holds however many came before. A batch is written
+    under its id, so one that is run again after a failure replaces its rows.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(key)
-        try:
-            old = spark.read.parquet(f"{target}/batch=*").where(~F.input_file_name().contains(f"/batch={number}/"))
-            new = new.join(old.select(*key), key, "left_anti")
-        except Exception as error:  # the first batch has nothing before it
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-        new.write.mode("overwrite").parquet(f"{target}/batch={number}")
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return stream.dropDuplicates(key).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def finalise(spark: SparkSession, parts: str, final: str, order: list[str]) -> None:
+    """All parts as one result in order of ``order``.
+
+    It is written beside ``final`` and renamed when whole, so readers see the
+    old result or the new one; then the parts go.
+    """
+    rows = spark.read.parquet(f"{parts}/batch=*")
+    rows.orderBy(*order).write.mode("overwrite").parquet(final + ".tmp")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(final).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(path(final), True)
+    if not fs.rename(path(final + ".tmp"), path(final)):
+        raise OSError(f"cannot rename {final}.tmp")
+    fs.delete(path(parts), True)
 
 
 def running_scores(stream: DataFrame, group: list[str], edits: str, n_ref: str) -> DataFrame:
