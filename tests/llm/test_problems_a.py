@@ -117,7 +117,19 @@ def test_texts_are_covered_within_limits(spark):
         splitting.text_pieces(df, "t", 5, 5)
 
 
+def test_no_word_is_cut_while_a_boundary_is_near(spark):
+    df = spark.createDataFrame([("ab cd " + "x" * 14 + " " + "y" * 40,)], "t string")
+    got = [p["piece"] for p in splitting.text_pieces(df, "t", 20).first()["pieces"]]
+    assert got == ["ab cd ", "x" * 14 + " ", "y" * 20, "y" * 20]
+
+
 # --- 7: look-alikes
+def test_classes_count_links(spark):
+    rows = [(1, "The cat"), (2, "Ｔhe cat"), (3, "The cat"), (4, "other"), (5, None), (6, ""), (7, "Тhe cat")] + [(100 + k, "hot") for k in range(300)] + [(900, "ｈot")]
+    got = {r["key"]: r["n_links"] for r in lookalike.lookalike_classes(spark.createDataFrame(rows, "key long, text string")).collect()}
+    assert got == {1: 2, 2: 3, 3: 2, 7: 3, 900: 300} | {100 + k: 1 for k in range(300)}
+
+
 def test_canonical(spark):
     rows = {1: "Ｔhe cаt​", 2: "The cat", 3: "the cat", 4: "⼯資", 5: "工資", 6: "ﬁn", 7: "fin", 8: unicodedata.normalize("NFD", "Việt"), 9: "Việt", 10: None, 11: " ​ ", 12: "", 13: "น้ำ", 14: "น้ํา", 15: "The  cat", 16: "The\ncat", 17: "x" * 100_000 + "а", 18: "x" * 100_000 + "a", 19: "The cat"}
     df = spark.createDataFrame(list(rows.items()), "key long, text string")

@@ -21,6 +21,7 @@ def queries() -> dict:
         "p6_found": transcripts.p6_found,
         "p6_turns": transcripts.p6_turns,
         "p7_found": lookalike.p7_found,
+        "p7_classes": lookalike.p7_classes,
         "p7_canonical": lookalike.p7_canonical,
         "p8_ids": tokenise.p8_ids,
         "p8_token_counts": tokenise.p8_token_counts,
@@ -37,7 +38,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     """SQL of the problems that SQL can state plainly; the others are tested
     against brute force, round trips or held-out accuracy."""
-    return {"p1_found": P1, "p5_found": P5, "p7_found": P7, "p9_found": P9, "p9_coverage": P9_COVERAGE}
+    return {"p1_found": P1, "p5_found": P5, "p7_found": P7, "p9_found": P9, "p9_coverage": P9_COVERAGE, "p9_by_set": P9_BY_SET}
 
 
 P1 = """WITH e AS (SELECT * FROM (SELECT *, trim(name) AS nm, row_number() OVER (PARTITION BY trim(name) ORDER BY spec_id) AS rn FROM dataset_specs WHERE split = 'train') WHERE rn = 1),
@@ -71,3 +72,5 @@ dw AS (SELECT doc_id, string_split(w, ' ') AS ws FROM d), pw AS (SELECT string_s
 dr AS (SELECT doc_id, k, len(ws) AS n, array_to_string(ws[k:k + 9], ' ') AS run FROM (SELECT *, unnest(range(1, len(ws) - 8)) AS k FROM dw WHERE len(ws) >= 10)),
 pr AS (SELECT DISTINCT array_to_string(ws[k:k + 9], ' ') AS run FROM (SELECT *, unnest(range(1, len(ws) - 8)) AS k FROM pw WHERE len(ws) >= 10))
 SELECT doc_id, max(n)::int AS n_tokens, count(DISTINCT i)::int AS n_leaked FROM (SELECT doc_id, n, unnest(range(k, k + 10)) AS i FROM dr JOIN pr USING (run)) GROUP BY doc_id"""
+
+P9_BY_SET = f"SELECT set_name, count(DISTINCT passage_id) AS n_items, count(DISTINCT doc_id) AS n_docs FROM ({P9}) AS h JOIN heldout_passages USING (passage_id) GROUP BY set_name"

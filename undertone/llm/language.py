@@ -288,16 +288,17 @@ class Labeller:
 def sample_for_fit(samples: DataFrame, text: str, lang: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most about ``per_language`` labelled rows of each language.
 
-    Rows are taken by a hash threshold, so they come from all over the table
-    and the driver holds no more than the bound (plus the threshold's noise,
-    cut off at twice the bound).
+    Texts are taken by a hash threshold, so they come from all over the table,
+    a repeated text counts once, and of more than twice the bound those with the
+    lowest hashes are kept: the sample depends on the rows alone.
     """
     named = samples.select(lang.alias("lang"), F.col(text).alias("t")).filter(F.col("lang").isin(*LANGUAGES) & (F.length("t") > 20))
     counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
     share = F.create_map(*[x for code, n in counts.items() for x in (F.lit(code), F.lit(int(2**31 * min(1.0, per_language / n))))])
-    picked = named.filter(F.pmod(F.xxhash64("t"), F.lit(2**31)) < share[F.col("lang")]).limit(2 * per_language * len(LANGUAGES))
+    place = F.pmod(F.xxhash64("t"), F.lit(2**31))
+    picked = named.filter(place < share[F.col("lang")]).distinct().withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy(place, "t"))).filter(F.col("place") <= 2 * per_language).drop("place")
     spoken = duckdb_project(picked, {"s": lambda chars: spoken_sql('"t"', chars)}, ["lang"], "t")
     return [(r["lang"], r["s"]) for r in spoken.collect() if r["s"]]
 

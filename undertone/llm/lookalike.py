@@ -145,6 +145,27 @@ def lookalike_pairs(df: DataFrame, key: str = "key", text: str = "text") -> Data
     return pairs.filter("left_key <> right_key").select(F.least("left_key", "right_key").alias("key_a"), F.greatest("left_key", "right_key").alias("key_b")).distinct()
 
 
+def lookalike_classes(df: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
+    """(key, class_id, n_links): every record whose look is drawn in several
+    ways, with its class and the number of records that draw it differently.
+
+    Keys are counted per drawing and look in two steps, so a look that holds a
+    third of all records is spread, and copies are counted, not paired. A key
+    with several texts of one look has a row for each.
+    """
+    slim = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("drawn"))
+    canon = canonicalise(slim, "text", "canonical", keep=["key", "drawn"])
+    members = cut(canon.filter("canonical <> ''").select("key", "drawn", *key128(F.col("canonical"))).distinct())
+    drawings = members.groupBy("k1", "k2", "drawn").agg(F.count(F.lit(1)).alias("n_same"))
+    looks = drawings.groupBy("k1", "k2").agg(F.sum("n_same").alias("n_all"), F.count(F.lit(1)).alias("ways")).filter("ways > 1")
+    links = drawings.join(looks, ["k1", "k2"]).select("k1", "k2", "drawn", (F.col("n_all") - F.col("n_same")).alias("n_links"))
+    return members.join(links, ["k1", "k2", "drawn"]).select(F.col("key").alias(key), F.concat(F.lower(F.hex("k1")), F.lower(F.hex("k2"))).alias("class_id"), "n_links")
+
+
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike_classes(records(spark, sf_dir))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(records(spark, sf_dir))
 

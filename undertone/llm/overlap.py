@@ -184,11 +184,11 @@ def most_lost(weights: np.ndarray, order: int, edits: int) -> float:
     """The most that ``edits`` edits can take from the squared weights of the
     runs of one text, an edit taking up to ``order`` neighbouring runs."""
     total = np.concatenate([[0.0], np.cumsum(weights)])
-    at = np.arange(1, len(total))
-    low = np.maximum(at - order, 0)
+    low = np.maximum(np.arange(1, len(total)) - order, 0)
+    taken = total[1:] - total[low]
     best = np.zeros(len(total))
     for _ in range(edits):
-        best = np.concatenate([[0.0], np.maximum.accumulate(best[low] + total[at] - total[low])])
+        np.maximum.accumulate(best[low] + taken, out=best[1:])
     return float(best[-1])
 
 
@@ -317,7 +317,9 @@ def answers_of(classes: DataFrame) -> tuple[DataFrame, object]:
             if not batch.num_rows:
                 continue
             h, split, start, _ = laid_out(batch.column(1).to_pylist(), hasher)
-            known = {k: (hasher.runs(h, k), information(h, k, hasher, tables)) for k in ORDERS}
+            lengths = sorted({len(ts) for ts in split})
+            needed = {int(order_of(length_class(m))) for n in lengths for m in (n - n // PART, n, n + n // PART)}
+            known = {k: (hasher.runs(h, k), information(h, k, hasher, tables)) for k in needed}
             out = []
             for ek, t, ts, a in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), split, start.tolist()):
                 if not counts(ts):

@@ -98,8 +98,9 @@ def text_pieces(df: DataFrame, text: str, limit: int, overlap: int = 0) -> DataF
 
     Boundaries from strong to weak: the end of the text, a blank line, a line,
     a sentence, a clause, a word, any character; each consumes as much as fits.
-    The window of a stronger boundary is used only if it holds at least half of
-    the limit, so a piece is not cut tiny for a strong boundary near its start.
+    A boundary in the first half of the limit is used only where the second half
+    has none of any strength, so a piece is not cut tiny for a strong boundary
+    near its start, and no word is cut while its window holds a boundary.
     Pieces overlap by ``overlap`` code points (below the limit). Null gives
     null, an empty text no pieces.
     """
@@ -109,7 +110,8 @@ def text_pieces(df: DataFrame, text: str, limit: int, overlap: int = 0) -> DataF
     half = n // 2
     strong = [r"\n\s*\n", r"\n", r"[.!?。！？]+[\"'”’)]*\s*", r"[,;:，；：、]\s*", r"\s"]
     alternatives = [r"(?s:.{1,%d})\z" % n]
-    alternatives += [r"(?s:.{%d,%d})(?<=%s)" % (max(half, 1), n, s.replace("+", "{1,8}").replace("*", "{0,8}")) for s in strong]
+    for least, most in ((max(half, 1), n), (1, max(half - 1, 1))):
+        alternatives += [r"(?s:.{%d,%d})(?<=%s)" % (least, most, s.replace("+", "{1,8}").replace("*", "{0,8}")) for s in strong]
     alternatives += [r"(?s:.{%d})" % n]
     body = F.expr(f"substring(`{text}`, {overlap + 1})")
     parts = F.regexp_extract_all(body, F.lit("(" + "|".join(alternatives) + ")"), F.lit(1))
