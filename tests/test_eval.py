@@ -94,3 +94,21 @@ def test_bleu_of_several_references(spark):
 def test_bleu_tokens(spark):
     df = spark.createDataFrame([("你好, world.",), (None,)], "x string")
     assert [r[0] for r in df.select(m.bleu_tokens(F.col("x"), "zh")).collect()] == [["你", "好", ",", "world", "."], []]
+
+
+def test_chrf_against_plain_counts(spark):
+    from collections import Counter
+
+    rows = [("the cat sat", "the cat sit"), ("你好 世界", "你好 世"), ("", "x"), ("abc", None)]
+    got = m.chrf(spark.createDataFrame(rows, "r string, h string"), [], "r", "h").first()["value"]
+    ps, rs = [], []
+    for unit, top in ((lambda x: list("".join((x or "").split())), 6), (lambda x: (x or "").split(), 2)):
+        for n in range(1, top + 1):
+            grams = lambda t: Counter(tuple(t[i : i + n]) for i in range(len(t) - n + 1))  # noqa: B023, E731
+            hits = sum(sum((grams(unit(r)) & grams(unit(h))).values()) for r, h in rows)
+            nh, nr = (sum(sum(grams(unit(x[k])).values()) for x in rows) for k in (1, 0))
+            if nh and nr:
+                ps.append(hits / nh)
+                rs.append(hits / nr)
+    p, r = sum(ps) / len(ps), sum(rs) / len(rs)
+    assert abs(got - 100 * 5 * p * r / (4 * p + r)) < 1e-9

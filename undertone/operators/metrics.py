@@ -111,6 +111,28 @@ def bleu(df: DataFrame, group: list[str], refs: Column, hyp: Column, order: int
     return out.withColumn("value", F.when(F.col("orders") == order, 100 * penalty * F.exp("m")).otherwise(0.0)).drop("m", "orders")
 
 
+def chrf(df: DataFrame, group: list[str], ref: str, hyp: str, char_order: int = 6, word_order: int = 2, beta: float = 2.0) -> DataFrame:
+    """chrF++ of each group, 0 to 100 (chrF with ``word_order`` 0).
+
+    Precision and recall are averaged over the orders of character and word
+    n-grams that both sides have; null texts count as empty.
+    """
+
+    def orders(unit, n: int, kind: str) -> DataFrame:
+        d = df.select(*group, unit(F.col(ref)).alias("r"), unit(F.col(hyp)).alias("h"))
+        keys = [*group, "o"]
+        there = bleu_counts(d, group, F.array("r"), F.col("h"), n).select(*keys, "hits", "total")
+        back = bleu_counts(d, group, F.array("h"), F.col("r"), n).select(*keys, F.col("total").alias("ref_total"))
+        return there.join(back, keys).withColumn("kind", F.lit(kind))
+
+    c = orders(characters, char_order, "chars")
+    if word_order:
+        c = c.unionByName(orders(words, word_order, "words"))
+    s = c.filter("total > 0 and ref_total > 0").groupBy(*group).agg(F.avg(F.col("hits") / F.col("total")).alias("p"), F.avg(F.col("hits") / F.col("ref_total")).alias("r"))
+    b = beta * beta
+    return s.withColumn("value", F.when(F.col("p") + F.col("r") > 0, 100 * (1 + b) * F.col("p") * F.col("r") / (b * F.col("p") + F.col("r"))).otherwise(0.0))
+
+
 #: Token rules of BLEU by target language, 13a where none is named.
 BLEU_TOKENS: dict[str, Callable[[Column], Column]] = {"zh": lambda c: tokens_13a(space_out(c))}
 

@@ -78,14 +78,8 @@ def entity_recall(spark, d):
 
 @query("chrf")
 def chrf(spark, d):
-    """chrF (characters to order 6, beta 2) of each set, from counts."""
-    chars = lambda c: F.filter(F.split(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", ""), ""), lambda x: x != "")
-    p = predictions(spark, d, ("base",)).withColumn("r", chars(F.col("answer"))).withColumn("h", chars(F.col("hyp")))
-    hits = m.bleu_counts(p, ["set_name"], "item_id", F.col("r"), F.col("h"), 6)
-    refs = m.bleu_counts(p, ["set_name"], "item_id", F.col("h"), F.col("r"), 6).select("set_name", "o", F.col("total").alias("ref_total"))
-    c = hits.join(refs, ["set_name", "o"]).filter("total > 0 and ref_total > 0")
-    s = c.groupBy("set_name").agg(F.avg(F.col("hits") / F.col("total")).alias("p"), F.avg(F.col("hits") / F.col("ref_total")).alias("r"))
-    return s.select("set_name", F.round(F.when(F.col("p") + F.col("r") > 0, 100 * 5 * F.col("p") * F.col("r") / (4 * F.col("p") + F.col("r"))).otherwise(0.0), 4).alias("chrf"))
+    """chrF++ of each set."""
+    return m.chrf(predictions(spark, d, ("base",)), ["set_name"], "answer", "hyp").select("set_name", F.round("value", 4).alias("chrf"))
 
 
 @query("preprocess_asr")
