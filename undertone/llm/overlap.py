@@ -457,12 +457,17 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
             if not batch.num_rows:
                 continue
             norms = batch.column(1).to_pylist()
-            h, split, start, end = laid_out(norms, hasher)
+            split = [tokens(t) for t in norms]
             sizes = np.fromiter(map(len, split), np.int64, len(split))
-            owner = np.repeat(np.arange(len(split)), sizes)
-            cls = length_class(sizes)
             listed, low = np.array([wanted(t, len(ts)) for t, ts in zip(norms, split)], bool).T
-            wide, order = stretch(cls), np.where(listed, order_of(cls), 0)
+            # only texts that listed answers may match are hashed
+            mine = np.flatnonzero(listed)
+            inner = sizes[mine]
+            stop = np.cumsum(inner)
+            start, end, owner = stop - inner, np.repeat(stop, inner), np.repeat(np.arange(len(mine)), inner)
+            h = hasher.hashes([t for i in mine.tolist() for t in split[i]])
+            cls = length_class(inner)
+            wide, order = stretch(cls), order_of(cls)
             keys, places, owners = [], [], []
             for k in ORDERS:
                 if not (order == k).any():
@@ -476,19 +481,20 @@ def scan(rows: DataFrame, known: tuple[int, np.ndarray] | None, ranges: list[tup
                 keys.append(key[j])
                 places.append(at[j])
                 owners.append(o[j])
-            short = np.flatnonzero(listed & (sizes < PART) & (sizes >= LEAST_WORDS))
+            short = np.flatnonzero((inner < PART) & (inner >= LEAST_WORDS))
             if len(short):
-                key = np.concatenate([whole(h[start[o] : start[o] + sizes[o]], hasher) for o in short.tolist()])
+                key = np.concatenate([whole(h[start[o] : stop[o]], hasher) for o in short.tolist()])
                 j = inside(key)
                 keys.append(key[j])
                 places.append(np.zeros(len(j), np.int64))
                 owners.append(short[j])
             key, at, o = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.uint64, keys), (np.int64, places), (np.int64, owners)))
+            o = mine[o]
             by = np.argsort(o, kind="stable")
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(split)))]).astype(np.int32))
             marks = np.zeros(len(split), np.int64)
-            some = np.flatnonzero(sizes)
-            marks[some] = sketch(h, start[some])
+            some = np.flatnonzero(inner)
+            marks[mine[some]] = sketch(h, start[some])
             digests = [xxhash.xxh3_128_digest(t) for t in norms]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.frombuffer(b"".join(digests), "<i8")[::2]), pa.array(digests, pa.binary()), pa.array(sizes.astype(np.int32)), pa.array(marks), pa.ListArray.from_arrays(offsets, pa.array(key[by].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(at[by].astype(np.int32))), pa.array([t if w else None for t, w in zip(norms, low.tolist())], pa.string())],
