@@ -32,7 +32,7 @@ def test_cer_of_every_script(spark, sf, monkeypatch):
 def test_every_line_of_a_transcript(spark, sf, monkeypatch):
     docs = [(1, "a-1 HELLO  THERE\na-2 你好 吗\r\n\n a-3 x \nalone"), (2, "b-1 one"), (3, None)]
     monkeypatch.setattr(row_queries, "table", lambda *_: spark.createDataFrame(docs, "doc_id long, text string"))
-    got = sorted(tuple(r) for r in catalogue.queries()["transcript_all_lines"](spark, sf).collect())
+    got = sorted(tuple(r) for r in catalogue.queries()["transcript_lines"](spark, sf).collect())
     assert got == [(1, 1, "a-1", "HELLO  THERE"), (1, 2, "a-2", "你好 吗"), (1, 4, "a-3", "x"), (2, 1, "b-1", "one")]
 
 

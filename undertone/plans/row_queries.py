@@ -330,20 +330,11 @@ def rank_logs(spark, d):
     return e.groupBy("rank").agg(F.sum("c").alias("n"), F.sum(F.col("c") - 1).alias("dup_within"))
 
 
-@query("transcript_lines", "SELECT doc_id, string_split(l, ' ')[1] AS uid, substr(l, length(string_split(l, ' ')[1]) + 2) AS rest FROM (SELECT doc_id, string_split(text, chr(10))[1] AS l FROM documents WHERE text IS NOT NULL) WHERE contains(l, ' ')")
-def transcript_lines(spark, d):
-    """Id and text of a line, split once at the first blank."""
-    first = F.split("text", "\n")[0]
-    x = table(spark, d, "documents").filter("text is not null").select("doc_id", first.alias("l")).filter(F.contains("l", F.lit(" ")))
-    p = F.split("l", " ", 2)
-    return x.select("doc_id", p[0].alias("uid"), p[1].alias("rest"))
-
-
 _EDGE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 
 
-@query("transcript_all_lines", f"SELECT doc_id, line_no, string_split(l, ' ')[1] AS uid, substr(l, length(string_split(l, ' ')[1]) + 2) AS rest FROM (SELECT doc_id, k AS line_no, regexp_replace(regexp_replace(ls[k], '^{_EDGE}', ''), '{_EDGE}$', '') AS l FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT doc_id, string_split_regex(text, '\r\n|\r|\n') AS ls FROM documents WHERE text IS NOT NULL))) WHERE contains(l, ' ')")
-def transcript_all_lines(spark, d):
+@query("transcript_lines", f"SELECT doc_id, line_no, string_split(l, ' ')[1] AS uid, substr(l, length(string_split(l, ' ')[1]) + 2) AS rest FROM (SELECT doc_id, k AS line_no, regexp_replace(regexp_replace(ls[k], '^{_EDGE}', ''), '{_EDGE}$', '') AS l FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT doc_id, string_split_regex(text, '\r\n|\r|\n') AS ls FROM documents WHERE text IS NOT NULL))) WHERE contains(l, ' ')")
+def transcript_lines(spark, d):
     """Id and text of every line of a document, without blanks at its
     ends and split once at the first blank; a line without one has no text."""
     x = table(spark, d, "documents").filter("text is not null").select("doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n", -1)).alias("k", "l"))
